@@ -2,24 +2,28 @@
 
 The default rules are relational (gaps-and-islands with skew-safe scans, partial
 aggregates, equi-joins). The re-arming variants are sequential folds; they run as
-``applyInPandas`` on groups that the relational part has already cut into
-independent pieces (a rise run, or a burst of events without a ``span`` gap), so a
-group is one burst of one key, not the key's whole history.
+one ``mapInPandas`` pass (:mod:`streamlens.operators.fold`) over pieces that the
+relational part has already cut into independent units (a rise run, or a burst of
+events without a ``span`` gap), so a fold sees one burst of one key, never the
+key's whole history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlens.operators.fold import fold_pieces, ns, ts_series
 from streamlens.operators.rolling import previous_value
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
 
 
+
 def sustained_rise(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temperature",
                    order: Sequence[str] = ("ts",), hold: str | float = "1 second",
                    rearm: bool = False) -> DataFrame:
@@ -51,27 +55,32 @@ def sustained_rise(df: DataFrame, key: str = "id", ts: str = "ts", value: str =
                                                           [key, "_run"])
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
-    hold_td = pd.Timedelta(seconds=h)
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        nf = pdf["_next_fall"].iloc[0]
-        out, deadline = [], None
-        for t in pdf[ts]:
-            if deadline is not None and t > deadline:
-                out.append((deadline - hold_td, deadline))
+
+    hold_ns = int(h * 1e9)
+    nat = np.iinfo("int64").min
+
+    def chain(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        t, nf, keys = ns(b[ts]), ns(b["_next_fall"]), b[key].to_numpy()
+        ok, rise, alert = [], [], []
+        deadline = None
+        for i in range(len(b) + 1):
+            if i == len(b) or starts[i]:
+                # close the previous run: its next fall cancels a pending timer
+                if i > 0 and deadline is not None and (nf[i - 1] == nat or nf[i - 1] > deadline):
+                    ok.append(keys[i - 1]); rise.append(deadline - hold_ns); alert.append(deadline)
+                deadline = None
+                if i == len(b):
+                    break
+            if deadline is not None and t[i] > deadline:
+                ok.append(keys[i]); rise.append(deadline - hold_ns); alert.append(deadline)
                 deadline = None
             if deadline is None:
-                deadline = t + hold_td
-        if deadline is not None and (pd.isna(nf) or nf > deadline):
-            out.append((deadline - hold_td, deadline))
-        k = pdf[key].iloc[0]
-        return pd.DataFrame({key: pd.Series([k] * len(out), dtype=pdf[key].dtype),
-                             "rise_ts": pd.Series([a for a, _ in out], dtype=pdf[ts].dtype),
-                             "alert_ts": pd.Series([b for _, b in out], dtype=pdf[ts].dtype)})
+                deadline = t[i] + hold_ns
+        return pd.DataFrame({key: pd.Series(ok, dtype=b[key].dtype),
+                             "rise_ts": ts_series(rise), "alert_ts": ts_series(alert)})
 
-    return rows.groupBy(key, "_run").applyInPandas(
-        chain, f"{key} {key_type}, rise_ts {ts_type}, alert_ts {ts_type}")
+    return fold_pieces(rows, [key, "_run"], [ts], f"{key} {key_type}, rise_ts {ts_type}, alert_ts {ts_type}",
+                       chain)
 
 
 def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event: str = "event_type",
@@ -106,29 +115,34 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
                  agg="sum", out="_burst")
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
-    span_td = pd.Timedelta(seconds=sp)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([ts, "_tb"])
-        out, t0, n = [], None, 0
-        for t, e in zip(pdf[ts], pdf[event]):
-            if t0 is not None and t > t0 + span_td:
+    span_ns = int(sp * 1e9)
+
+    def fold(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        t, keys, is_fail = ns(b[ts]), b[key].to_numpy(), (b[event] == fail).to_numpy()
+        out_k, out_s, out_n = [], [], []
+        t0, n = None, 0
+        for i in range(len(b) + 1):
+            if i == len(b) or starts[i]:
+                if i > 0 and t0 is not None and n >= min_fails:
+                    out_k.append(keys[i - 1]); out_s.append(t0); out_n.append(n)
+                t0, n = None, 0
+                if i == len(b):
+                    break
+            if t0 is not None and t[i] > t0 + span_ns:
                 if n >= min_fails:
-                    out.append((t0, t0 + span_td, n))
+                    out_k.append(keys[i]); out_s.append(t0); out_n.append(n)
                 t0, n = None, 0
-            if e == fail:
+            if is_fail[i]:
                 n += 1
                 if t0 is None:
-                    t0 = t
+                    t0 = t[i]
             else:
                 t0, n = None, 0
-        if t0 is not None and n >= min_fails:
-            out.append((t0, t0 + span_td, n))
-        k = pdf[key].iloc[0]
-        return pd.DataFrame({key: pd.Series([k] * len(out), dtype=pdf[key].dtype),
-                             "span_start": pd.Series([a for a, _, _ in out], dtype=pdf[ts].dtype),
-                             "span_end": pd.Series([b for _, b, _ in out], dtype=pdf[ts].dtype),
-                             "n_fails": pd.Series([c for _, _, c in out], dtype="int64")})
-
-    return ev.select(key, ts, event, "_tb", "_burst").groupBy(key, "_burst").applyInPandas(
-        fold, f"{key} {key_type}, span_start {ts_type}, span_end {ts_type}, n_fails long")
+        return pd.DataFrame({key: pd.Series(out_k, dtype=b[key].dtype),
+                             "span_start": ts_series(out_s),
+                             "span_end": ts_series([x + span_ns for x in out_s]),
+                             "n_fails": pd.Series(out_n, dtype="int64")})
+
+    return fold_pieces(ev.select(key, ts, event, "_tb", "_burst"), [key, "_burst"], [ts, "_tb"],
+                       f"{key} {key_type}, span_start {ts_type}, span_end {ts_type}, n_fails long", fold)

@@ -46,20 +46,50 @@ def window_agg(df: DataFrame, ts: str, size: str, aggs: dict[str, Column], slide
             .select(*keys, F.col("w.end").alias("window_end"), *aggs))
 
 
+def _epoch_us(c: Column) -> Column:
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def pane_counts(df: DataFrame, ts: str, size: str, slide: str, keys: tuple[str, ...] = (),
-                out: str = "count") -> DataFrame:
-    """Sliding-window counts in pane form: count per (keys, slide pane), expand each
-    pane into the ``size/slide`` windows that contain it, sum. Same rows as the direct
-    form; pays when panes hold many rows (less expansion before the shuffle)."""
+                out: str = "count", block_windows: int = 16) -> DataFrame:
+    """Sliding-window counts in pane form, expanded *after* the shuffle.
+
+    1. count per (keys, slide-sized pane): partial aggregation map-side;
+    2. a pane feeds the windows ending in ``[pane_end, pane_end + size - slide]``;
+       copy it to the one or two time *blocks* (``block_windows * size`` long) those
+       ends fall in;
+    3. shuffle panes on (keys, block) -- about 2 rows per pane instead of
+       ``size/slide`` rows per input row;
+    4. inside each task expand panes to window ends of that block and sum; the
+       partitioning on (keys, block) already satisfies the final aggregate, so no
+       second exchange.
+
+    Per-task work is bounded by ``(block/slide) * (size/slide)``, a parameter bound:
+    a hot key is split over its time blocks. Same rows as the direct form.
+    """
     k = int(round(seconds(size) / seconds(slide)))
     if abs(k * seconds(slide) - seconds(size)) > 1e-9:
         raise ValueError("pane form needs size to be a multiple of slide")
-    panes = df.groupBy(*keys, F.window(ts, slide).alias("p")).agg(F.count(F.lit(1)).alias("_n"))
-    step = seconds(slide)
-    exp = panes.select(*keys, "_n", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"),
-                       F.col("p.end").alias("_pe"))
-    exp = exp.withColumn("window_end", F.col("_pe") + F.make_dt_interval(secs=F.col("_j") * F.lit(step)))
-    return exp.groupBy(*keys, "window_end").agg(F.sum("_n").alias(out))
+    step_us = int(seconds(slide) * 1e6)
+    blk_us = int(seconds(size) * 1e6) * block_windows
+    panes = (df.groupBy(*keys, F.window(ts, slide).getField("end").alias("_pe"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    # integer microseconds from here on: the expansion is plain long arithmetic
+    panes = panes.select(*keys, "_n", _epoch_us(F.col("_pe")).alias("_pe"))
+    first_blk = F.floor(F.col("_pe") / F.lit(blk_us))
+    last_blk = F.floor((F.col("_pe") + F.lit((k - 1) * step_us)) / F.lit(blk_us))
+    rep = panes.withColumn("_blk", F.explode(F.sequence(first_blk, last_blk)))
+    # explicit count: AQE would coalesce this (small) pane shuffle into a few tasks,
+    # but each pane expands size/slide-fold after it
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rep = rep.repartition(n, *keys, "_blk")
+    exp = rep.select(*keys, "_blk", "_n",
+                     F.explode(F.sequence(F.col("_pe"), F.col("_pe") + F.lit((k - 1) * step_us),
+                                          F.lit(step_us))).alias("_we"))
+    exp = exp.filter(F.floor(F.col("_we") / F.lit(blk_us)) == F.col("_blk"))
+    agg = exp.groupBy(*keys, "_blk", "_we").agg(F.sum("_n").alias(out))
+    end = F.timestamp_micros(F.col("_we")).cast(df.schema[ts].dataType)
+    return agg.select(*keys, end.alias("window_end"), out)
 
 
 # ---- named window jobs -------------------------------------------------------

@@ -176,7 +176,8 @@ def hot_items_top3(spark, d):
 
 
 def url_top5(spark, d):
-    t = topn.top_n(url_views(spark, d), "url", P["url_n"])
+    # pane form: the 120-fold window expansion happens after the shuffle
+    t = topn.top_n(url_views(spark, d, pane=True), "url", P["url_n"])
     return t.select("url", "window_end", "count", F.col("rank").cast("long").alias("rank"))
 
 

@@ -4,11 +4,15 @@ Each parser returns ``(rows, rejects)``: well-formed lines become typed rows, li
 with a missing field or text in a number field go to ``rejects`` (the original
 line kept) instead of failing the job. Parsing is JVM-side (``from_csv``,
 ``split``, ``try_to_timestamp``), one pass, no shuffle.
+
+The parsed struct is produced by a one-element ``inline(array(...))`` generator:
+predicate pushdown does not cross a Generate, so the validity filter reads the
+parsed fields instead of re-inlining the parser once per null check.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.schemas import BEHAVIOR_CSV_DDL, KEY_SECONDS_DDL
@@ -19,53 +23,55 @@ ACCESS_LOG_FIELDS = {"ip": 0, "user_id": 2, "time": 3, "method": 5, "url": 6}
 ACCESS_LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 
 
-def _split_valid(parsed: DataFrame, line_col: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+def _parsed(lines: DataFrame, col: str, fields: Column) -> DataFrame:
+    """``_line`` plus the fields of the struct ``fields`` (evaluated once per line)."""
+    return lines.select(F.inline(F.array(F.struct(F.col(col).alias("_line"), fields.alias("_r")))))
+
+
+def _split_valid(parsed: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
     ok = F.lit(True)
     for f in fields:
         ok = ok & F.col(f).isNotNull()
-    tagged = parsed.withColumn("_ok", ok)
-    rows = tagged.filter("_ok").drop("_ok", line_col)
-    rejects = tagged.filter(~F.col("_ok")).select(F.col(line_col).alias("line"))
+    rows = parsed.filter(ok).select(*fields)
+    rejects = parsed.filter(~ok).select(F.col("_line").alias("line"))
     return rows, rejects
 
 
 def parse_behavior_csv(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """``userId,itemId,categoryId,behavior,epochSeconds`` -> behavior rows."""
-    p = lines.select(F.col(col).alias("_line"),
-                     F.from_csv(F.col(col), BEHAVIOR_CSV_DDL, {"mode": "PERMISSIVE"}).alias("r"))
-    # A sixth field or a short line is malformed too.
+    p = _parsed(lines, col, F.from_csv(F.col(col), BEHAVIOR_CSV_DDL, {"mode": "PERMISSIVE"}))
+    # a sixth field or a short line is malformed too
     n = F.size(F.split(F.col("_line"), ","))
     p = p.select("_line",
-                 F.when(n == 5, F.col("r.user_id")).alias("user_id"),
-                 F.col("r.item_id").alias("item_id"),
-                 F.col("r.category_id").alias("category_id"),
-                 F.col("r.behavior").alias("behavior"),
-                 F.timestamp_seconds(F.col("r.ts_s")).alias("ts"))
-    return _split_valid(p, "_line", ["user_id", "item_id", "category_id", "behavior", "ts"])
+                 F.when(n == 5, F.col("_r.user_id")).alias("user_id"),
+                 F.col("_r.item_id").alias("item_id"),
+                 F.col("_r.category_id").alias("category_id"),
+                 F.col("_r.behavior").alias("behavior"),
+                 F.timestamp_seconds(F.col("_r.ts_s")).alias("ts"))
+    return _split_valid(p, ["user_id", "item_id", "category_id", "behavior", "ts"])
 
 
 def parse_access_log(lines: DataFrame, col: str = "value",
                      time_format: str = ACCESS_LOG_TIME) -> tuple[DataFrame, DataFrame]:
     """Space-separated access-log line -> (ip, user_id, ts, method, url)."""
-    parts = F.split(F.col(col), " ")
+    p = _parsed(lines, col, F.split(F.col(col), " "))
     f = ACCESS_LOG_FIELDS
-    p = lines.select(
-        F.col(col).alias("_line"),
-        parts.getItem(f["ip"]).alias("ip"),
-        parts.getItem(f["user_id"]).alias("user_id"),
-        F.try_to_timestamp(parts.getItem(f["time"]), F.lit(time_format)).alias("ts"),
-        parts.getItem(f["method"]).alias("method"),
-        parts.getItem(f["url"]).alias("url"),
+    p = p.select(
+        "_line",
+        F.col("_r").getItem(f["ip"]).alias("ip"),
+        F.col("_r").getItem(f["user_id"]).alias("user_id"),
+        F.try_to_timestamp(F.col("_r").getItem(f["time"]), F.lit(time_format)).alias("ts"),
+        F.col("_r").getItem(f["method"]).alias("method"),
+        F.col("_r").getItem(f["url"]).alias("url"),
     )
-    return _split_valid(p, "_line", ["ip", "user_id", "ts", "method", "url"])
+    return _split_valid(p, ["ip", "user_id", "ts", "method", "url"])
 
 
 def parse_key_seconds(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """``key,seconds`` -> (key, ts)."""
-    p = lines.select(F.col(col).alias("_line"),
-                     F.from_csv(F.col(col), KEY_SECONDS_DDL, {"mode": "PERMISSIVE"}).alias("r"))
+    p = _parsed(lines, col, F.from_csv(F.col(col), KEY_SECONDS_DDL, {"mode": "PERMISSIVE"}))
     n = F.size(F.split(F.col("_line"), ","))
     p = p.select("_line",
-                 F.when(n == 2, F.col("r.key")).alias("key"),
-                 F.timestamp_seconds(F.col("r.ts_s")).alias("ts"))
-    return _split_valid(p, "_line", ["key", "ts"])
+                 F.when(n == 2, F.col("_r.key")).alias("key"),
+                 F.timestamp_seconds(F.col("_r.ts_s")).alias("ts"))
+    return _split_valid(p, ["key", "ts"])

@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
 
-ONE_MS = F.make_dt_interval(secs=F.lit(0.001))
+
+
+def _one_ms():
+    return F.make_dt_interval(secs=F.lit(0.001))
 
 
 def with_watermark(df: DataFrame, ts: str, arrival: Sequence[str], bound: str | float,
@@ -48,7 +51,7 @@ def late_windows(df: DataFrame, key: str, ts: str, arrival: Sequence[str], size:
     closed when they arrived: ``window_end - 1 ms <= wm_i``)."""
     d = with_watermark(df, ts, arrival, bound, num_parts=num_parts)
     d = d.withColumn("window_end", _tumble_end(ts, size))
-    d = d.withColumn("is_late", F.coalesce(F.col("window_end") - ONE_MS <= F.col("wm"), F.lit(False)))
+    d = d.withColumn("is_late", F.coalesce(F.col("window_end") - _one_ms() <= F.col("wm"), F.lit(False)))
     counts = (d.filter(~F.col("is_late")).groupBy(key, "window_end")
               .agg(F.count(F.lit(1)).alias("count")))
     late = d.filter(F.col("is_late")).drop("is_late")
@@ -69,7 +72,7 @@ def allowed_lateness(df: DataFrame, key: str, ts: str, arrival: Sequence[str], s
     """
     d = with_watermark(df, ts, arrival, bound, num_parts=num_parts)
     d = d.withColumn("window_end", _tumble_end(ts, size))
-    close = F.col("window_end") - ONE_MS
+    close = F.col("window_end") - _one_ms()
     lat = F.make_dt_interval(secs=F.lit(seconds(lateness)))
     d = d.withColumn("_state", F.when(F.col("wm").isNull() | (F.col("wm") < close), F.lit(0))
                      .when(F.col("wm") < close + lat, F.lit(1)).otherwise(F.lit(2)))

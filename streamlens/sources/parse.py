@@ -58,11 +58,11 @@ def parse_access_log(lines: DataFrame, col: str = "value",
     f = ACCESS_LOG_FIELDS
     p = p.select(
         "_line",
-        F.col("_r").getItem(f["ip"]).alias("ip"),
-        F.col("_r").getItem(f["user_id"]).alias("user_id"),
-        F.try_to_timestamp(F.col("_r").getItem(f["time"]), F.lit(time_format)).alias("ts"),
-        F.col("_r").getItem(f["method"]).alias("method"),
-        F.col("_r").getItem(f["url"]).alias("url"),
+        F.get(F.col("_r"), f["ip"]).alias("ip"),
+        F.get(F.col("_r"), f["user_id"]).alias("user_id"),
+        F.try_to_timestamp(F.get(F.col("_r"), f["time"]), F.lit(time_format)).alias("ts"),
+        F.get(F.col("_r"), f["method"]).alias("method"),
+        F.get(F.col("_r"), f["url"]).alias("url"),
     )
     return _split_valid(p, ["ip", "user_id", "ts", "method", "url"])
 

@@ -34,8 +34,9 @@ def seconds(duration: str | int | float) -> float:
 
 
 def interval(duration: str | int | float) -> Column:
-    """A day-time interval column for ``duration``."""
-    return F.make_dt_interval(secs=F.lit(seconds(duration)))
+    """A day-time interval literal for ``duration`` (a literal, so streaming join
+    analysis can read the time bound of a range condition)."""
+    return F.expr(f"INTERVAL {int(round(seconds(duration) * 1e6))} MICROSECONDS")
 
 
 def window_agg(df: DataFrame, ts: str, size: str, aggs: dict[str, Column], slide: str | None = None,

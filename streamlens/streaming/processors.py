@@ -294,3 +294,77 @@ def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
           time_mode: str = "None", output_mode: str = "Append") -> DataFrame:
     """``groupBy(key).transformWithState(processor, ...)``."""
     return df.groupBy(key).transformWithState(processor, schema, output_mode, time_mode)
+
+
+class SequencePattern(StatefulProcessor):
+    """#58-#60 on a stream: strict-contiguity pattern of ``k`` steps within ``within``.
+
+    Input rows carry the step predicates as boolean columns ``_s0.._s{k-1}`` and a
+    ``payload`` string. Rows of a key are buffered (list state) and decided in event
+    time order once they are final: a start row is decided when its next ``k-1`` rows
+    are at or below the watermark, or when the watermark passes ``start + within``
+    (any row still to come would be too late). Outcomes equal the batch
+    :func:`streamlens.operators.patterns.sequence_pattern`.
+    Output: key, kind (``match``/``timeout``), payloads (one per matched step; the
+    first step's for a time-out).
+    """
+
+    def __init__(self, ts: str, k: int, within_ms: int, tiebreak: str):
+        self.ts, self.k, self.within_ms, self.tb = ts, k, within_ms, tiebreak
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", "t long, tb long, flags string, payload string")
+
+    def _decide(self, key, rows: list[tuple], wm: int) -> tuple[list[Row], list[tuple]]:
+        out, i, k = [], 0, self.k
+        while i < len(rows):
+            s = rows[i]
+            nxt = rows[i + 1:i + k]
+            final = len(nxt) == k - 1 and all(r[0] <= wm for r in nxt)
+            if not (final or wm >= s[0] + self.within_ms):
+                break
+            if s[2][0] == "1":
+                pays = [s[3]]
+                kind = "match"
+                for j in range(1, k):
+                    r = rows[i + j] if i + j < len(rows) and rows[i + j][0] <= wm else None
+                    if r is None or r[0] - s[0] >= self.within_ms:
+                        kind = "timeout"
+                        break
+                    if r[2][j] != "1":
+                        kind = None
+                        break
+                    pays.append(r[3])
+                if kind == "match":
+                    out.append(Row(key=key[0], kind="match", payloads=pays))
+                elif kind == "timeout":
+                    out.append(Row(key=key[0], kind="timeout", payloads=[s[3]]))
+            i += 1
+        return out, rows[i:]
+
+    def _store(self, rows: list[tuple]) -> None:
+        self.buf.clear()
+        if rows:
+            self.buf.put(rows)
+            self.handle.registerTimer(max(r[0] for r in rows))
+            self.handle.registerTimer(rows[0][0] + self.within_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        old = list(self.buf.get()) if self.buf.exists() else []
+        new = [(_ms(r[self.ts]), int(r[self.tb]),
+                "".join("1" if r[f"_s{j}"] else "0" for j in range(self.k)), r["payload"]) for r in rows]
+        allrows = sorted([tuple(x) for x in old] + new, key=lambda x: (x[0], x[1]))
+        out, keep = self._decide(key, allrows, timerValues.getCurrentWatermarkInMs())
+        self._store(keep)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = sorted([tuple(x) for x in self.buf.get()], key=lambda x: (x[0], x[1])) if self.buf.exists() else []
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        out, keep = self._decide(key, rows, wm)
+        self._store(keep)
+        return iter(out)
+
+    def close(self) -> None:
+        pass

@@ -134,3 +134,40 @@ def test_forward_switch_processor(spark, tmp_path):
     src = file_stream(spark, d, "id string, ts timestamp, tag int, dur_ms long, rid long", 10)
     out = run_available(sp.apply(src, "id", sp.ForwardSwitch("ts", ("rid",)), "rid long"))
     assert _rows(out, "rid") == [(1,), (2,), (3,)]
+
+
+def test_pattern_processor_equals_batch(spark, tmp_path):
+    from streamlens.operators import patterns
+    lg = td.login(spark, SF001)
+    within = "2 days"
+    m_b = patterns.fail_sequence(lg, within)
+    steps = [F.col("event_type") == "fail"] * 3
+    src = lg.select("user_id", "ts", "event_id", *[s.alias(f"_s{j}") for j, s in enumerate(steps)],
+                    F.to_json(F.struct("ip", "ts")).alias("payload"))
+    d, schema = _as_files(spark, src, tmp_path, flush_row=("zz_flush", FLUSH, 0, False, False, False, "{}"))
+    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
+    out = run_available(sp.apply(s, "user_id", sp.SequencePattern("ts", 3, 2 * 86400 * 1000, "event_id"),
+                                 "key string, kind string, payloads array<string>", time_mode="EventTime"))
+    got = sorted((r.key, r.payloads[0]) for r in out.filter("kind = 'match'").collect())
+    exp = lg.select("user_id", "ip", "ts").join(m_b.select("user_id", F.col("begin_ip").alias("ip"),
+                                                         F.col("begin_ts").alias("ts")), ["user_id", "ip", "ts"])
+    exp = sorted((r.user_id, r.p) for r in exp.select("user_id", F.to_json(F.struct(
+        "ip", "ts")).alias("p")).collect())
+    assert len(got) == m_b.count() > 0
+    assert got == exp
+
+
+def test_stream_join_match_with_timeout(spark, tmp_path):
+    from streamlens.streaming import joins
+    o = [("1", T(842)), ("2", T(843)), ("3", T(849))]
+    p = [("1", "weixin", T(847)), ("2", "zhifubao", T(848)), ("4", "zhifubao", T(850))]
+    do, dp = str(tmp_path / "o"), str(tmp_path / "p")
+    spark.createDataFrame(o + [("zz", FLUSH)], "order_id string, ts timestamp").coalesce(1).write.parquet(do)
+    spark.createDataFrame(p + [("zz", "x", FLUSH)], "order_id string, channel string, ts timestamp").coalesce(1).write.parquet(dp)
+    so = file_stream(spark, do, "order_id string, ts timestamp")
+    sp_ = file_stream(spark, dp, "order_id string, channel string, ts timestamp")
+    out = run_available(joins.match_with_timeout(so, sp_, "5 seconds"))
+    got = {(r.kind, r.order_id) for r in out.filter("order_id <> 'zz'").collect()}
+    assert ("matched", "1") in got and ("matched", "2") in got
+    # outer rows appear once the watermark passes them; the flush row moves it
+    assert ("order_only", "3") in got and ("pay_only", "4") in got

@@ -45,6 +45,15 @@ def _num_parts(df: DataFrame, num_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """``n`` balanced range partitions on (keys, order), partition id stored as ``_p``,
+    checkpointed to the shared checkpoint folder (one fixed cut, lineage cut)."""
+    checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(n, *keys, *order)
+            .withColumn("_p", F.spark_partition_id())
+            .checkpoint(eager=True))
+
+
 def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
             value: str | Column | None = None, keys: Sequence[str] = (),
             inclusive: bool = True, num_parts: int | None = None) -> DataFrame:
@@ -65,10 +74,7 @@ def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
         v = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], v.alias("v"))
     base = df.withColumn("_v", v)
 
-    checkpoint_dir(df.sparkSession)
-    ranged = (base.repartitionByRange(n, *keys, *order)
-              .withColumn("_p", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = range_cut(base, keys, order, n)
     small = F.broadcast if n <= BROADCAST_MAX_PARTS else (lambda d: d)
     kstruct = F.struct(*keys) if keys else F.lit(0)
 

@@ -49,3 +49,19 @@ def top_n(counts: DataFrame, key: str, n: int, count: str = "count") -> DataFram
                          F.posexplode("_top").alias("_pos", "_e")).select(
         "window_end", F.col("_e._k").alias(key), (-F.col("_e._neg")).alias(count),
         (F.col("_pos") + 1).cast("long").alias("rank"))
+
+
+def allowed_lateness(df: DataFrame, key: str, ts: str, size: str, bound: str, lateness: str) -> DataFrame:
+    """#50 on a stream: watermark delay = bound + allowed lateness, run in **update**
+    mode: a window's count is emitted when it changes, so each late-but-allowed row
+    re-emits the cumulative count; rows behind the watermark are dropped."""
+    from streamlens.operators.windows import seconds
+    delay = f"{int(round((seconds(bound) + seconds(lateness)) * 1e6))} microseconds"
+    return window_counts(with_event_time(df, ts, delay), key, ts, size)
+
+
+def early_counts(df: DataFrame, key: str, ts: str, size: str, bound: str = "0 seconds") -> DataFrame:
+    """#51/#52 early (per-trigger) results: the same aggregation in **update** mode,
+    started with ``trigger(processingTime='1 second')`` (#51) or per micro-batch (#52):
+    every trigger emits the running count of each changed window."""
+    return window_counts(with_event_time(df, ts, bound), key, ts, size)

@@ -56,3 +56,13 @@ def test_sequence_and_neighbours(spark):
     exp2 = df.select("id", F.lead("id", 1).over(w).alias("a"), F.lead("id", 2).over(w).alias("b"),
                      F.lag("id", 1).over(w).alias("c"))
     assert _rows(nb, ["id", "id_n1", "id_n2", "id_p1"]) == _rows(exp2, ["id", "a", "b", "c"])
+
+
+def test_hot_key_is_split_evenly(spark):
+    from streamlens.operators.scan import range_cut
+    df = _data(spark, n=6000, hot=0.4)
+    cut = range_cut(df, ["k"], ["t", "id"], 12)
+    sizes = [r["count"] for r in cut.groupBy("_p").count().collect()]
+    hot_parts = cut.filter("k = 'hot'").select("_p").distinct().count()
+    assert hot_parts >= 4                       # the hot key spans several partitions
+    assert max(sizes) <= 2.0 * (6000 / 12)      # no partition holds much more than its share

@@ -171,3 +171,16 @@ def test_stream_join_match_with_timeout(spark, tmp_path):
     assert ("matched", "1") in got and ("matched", "2") in got
     # outer rows appear once the watermark passes them; the flush row moves it
     assert ("order_only", "3") in got and ("pay_only", "4") in got
+
+
+def test_allowed_lateness_update_mode(spark, tmp_path):
+    # arrivals 1, 10, 2 (late but allowed), 20, 3 (too late): window 0-5 emits 1 then 2
+    d = str(tmp_path / "al")
+    for t in [1, 10, 2, 20, 3]:
+        spark.createDataFrame([("a", T(t))], "key string, ts timestamp").write.mode("append").parquet(d)
+        time.sleep(1.1)
+    src = file_stream(spark, d, "key string, ts timestamp", 1)
+    out = run_available(sa.allowed_lateness(src, "key", "ts", "5 seconds", "5 seconds", "5 seconds"),
+                        output_mode="update")
+    first = [r["count"] for r in out.filter(F.col("window.end") == T(5)).collect()]
+    assert max(first) == 2

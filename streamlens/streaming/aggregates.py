@@ -65,3 +65,21 @@ def early_counts(df: DataFrame, key: str, ts: str, size: str, bound: str = "0 se
     started with ``trigger(processingTime='1 second')`` (#51) or per micro-batch (#52):
     every trigger emits the running count of each changed window."""
     return window_counts(with_event_time(df, ts, bound), key, ts, size)
+
+
+def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item") -> DataFrame:
+    """#44 on a stream: the ranked text per window, built inside the chained top-N
+    aggregation (no third aggregation)."""
+    from streamlens.functions.scalar import timestamp_text
+    from streamlens.operators.topn import (ITEM_REPORT_FOOT, ITEM_REPORT_HEAD, ITEM_REPORT_LINE,
+                                           URL_REPORT_FOOT, URL_REPORT_HEAD, URL_REPORT_LINE)
+    head, line, foot = {"item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),
+                        "url": (URL_REPORT_HEAD, URL_REPORT_LINE, URL_REPORT_FOOT)}[style]
+    fmt = line.replace("{rank}", "%d").replace("{key}", "%s").replace("{count}", "%d")
+    top = counts.groupBy("window").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct((-F.col(count)).alias("_neg"),
+                                                     F.col(key).alias("_k")))), 1, n).alias("_top"))
+    lines = F.transform("_top", lambda e, i: F.format_string(fmt, i + 1, e["_k"].cast("string"), -e["_neg"]))
+    return top.select(F.col("window.end").alias("window_end"),
+                      F.concat(F.lit(head), timestamp_text(F.col("window.end")), F.lit("\n"),
+                               F.array_join(lines, ""), F.lit(foot)).alias("report"))

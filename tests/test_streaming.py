@@ -184,3 +184,24 @@ def test_allowed_lateness_update_mode(spark, tmp_path):
                         output_mode="update")
     first = [r["count"] for r in out.filter(F.col("window.end") == T(5)).collect()]
     assert max(first) == 2
+
+
+def test_hot_items_report_from_text_lines(spark, tmp_path):
+    from streamlens.plans.streams import hot_items_report_stream
+    from streamlens.sources import read_lines
+    from streamlens.operators import topn as btopn
+    lines = td.behavior_lines(spark, SF001)
+    d = str(tmp_path / "lines")
+    lines.coalesce(1).write.text(d)
+    time.sleep(1.1)
+    spark.createDataFrame([("-1,-1,0,pv,4102444800",)], "value string").write.mode("append").text(d)
+    rep = run_available(hot_items_report_stream(read_lines(spark, d, stream=True, max_files_per_trigger=1),
+                                                bound="10 minutes"))
+    rep = rep.filter(F.col("window_end") < FLUSH - timedelta(days=1))
+    b = td.behavior(spark, SF001)
+    b = b.withColumn("ts", F.date_trunc("second", "ts"))
+    exp = btopn.ranked_report(btopn.top_n(windows.view_counts(b, "item_id", "ts", "60 minutes", "5 minutes"),
+                                          "item_id", 3), "item_id")
+    assert rep.count() == exp.count() > 0
+    got = {r.report for r in rep.collect()}
+    assert got == {r.report for r in exp.collect()}

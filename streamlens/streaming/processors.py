@@ -1,5 +1,5 @@
-"""``transformWithState`` processors: keyed state and timers (#22, #24-#26, #49,
-#53-#57).
+"""``transformWithState`` processors: keyed state and timers (#22, #24-#26,
+#53-#60).
 
 Rows of a key arrive unordered within a micro-batch, so every processor sorts its
 batch by event time first. Event-time timers fire once the watermark passes them
@@ -271,25 +271,6 @@ class ForwardSwitch(StatefulProcessor):
         pass
 
 
-class LateRouter(StatefulProcessor):
-    """#49 on a stream: tag rows older than the batch watermark (ProcessingTime mode
-    delivers them; EventTime mode would drop them silently)."""
-
-    def __init__(self, ts: str, keep: tuple[str, ...]):
-        self.ts, self.keep = ts, keep
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        pass
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        for r in rows:
-            yield Row(**{k: r[k] for k in self.keep}, is_late=bool(wm > 0 and _ms(r[self.ts]) < wm))
-
-    def close(self) -> None:
-        pass
-
-
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
           time_mode: str = "None", output_mode: str = "Append") -> DataFrame:
     """``groupBy(key).transformWithState(processor, ...)``."""

@@ -34,3 +34,4 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     """Parquet files as a stream, ``max_files_per_trigger`` files per micro-batch."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger))
             .parquet(path))
+

@@ -205,3 +205,25 @@ def test_hot_items_report_from_text_lines(spark, tmp_path):
     assert rep.count() == exp.count() > 0
     got = {r.report for r in rep.collect()}
     assert got == {r.report for r in exp.collect()}
+
+
+def test_route_late_before_aggregate(spark, tmp_path):
+    from streamlens.streaming.late import route_late
+    from streamlens.session import stream_checkpoint
+    d = str(tmp_path / "late")
+    spark.createDataFrame([("a", T(10), 0), ("a", T(20), 1)], "key string, ts timestamp, id long").write.parquet(d)
+    time.sleep(1.1)
+    spark.createDataFrame([("a", T(5), 2), ("a", T(25), 3)], "key string, ts timestamp, id long") \
+        .write.mode("append").parquet(d)
+    src = file_stream(spark, d, "key string, ts timestamp, id long", 1)
+    main_p, late_p = str(tmp_path / "main"), str(tmp_path / "lateout")
+    name = f"route_{uuid.uuid4().hex[:6]}"
+    h = route_late("ts", "0 seconds",
+                   lambda b, i: b.write.mode("overwrite").parquet(f"{main_p}/batch_id={i}"),
+                   lambda b, i: b.write.mode("overwrite").parquet(f"{late_p}/batch_id={i}"),
+                   str(tmp_path / "wm"))
+    q = (src.writeStream.foreachBatch(h).option("checkpointLocation", stream_checkpoint(spark, name))
+         .trigger(availableNow=True).start())
+    assert q.awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(late_p).collect()) == [2]
+    assert sorted(r.id for r in spark.read.parquet(main_p).collect()) == [0, 1, 3]

@@ -1,11 +1,5 @@
 """Scalar column functions (all JVM-side Spark SQL expressions, no Python UDFs)."""
 
-from streamlens.functions.scalar import (
-    epoch_ms,
-    poly_hash,
-    ranked_report,
-    timestamp_text,
-    words,
-)
+from streamlens.functions.scalar import poly_hash, timestamp_text, words
 
-__all__ = ["epoch_ms", "poly_hash", "ranked_report", "timestamp_text", "words"]
+__all__ = ["poly_hash", "timestamp_text", "words"]

@@ -46,16 +46,7 @@ def words(text) -> Column:
     return F.filter(F.split(_col(text), WORD_SPLIT), lambda w: w != "")
 
 
-def epoch_ms(ts) -> Column:
-    """Epoch milliseconds of a TIMESTAMP or TIMESTAMP_NTZ column (UTC)."""
-    return F.unix_millis(_col(ts).cast("timestamp"))
-
-
 def timestamp_text(ts) -> Column:
     """Render like ``java.sql.Timestamp.toString`` for whole-second values: ``yyyy-MM-dd HH:mm:ss.0``."""
     return F.concat(F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss"), F.lit(".0"))
 
-
-def ranked_report(header: Column, lines: Column, footer: str) -> Column:
-    """Join a header, ordered lines and a footer into one report string."""
-    return F.concat(header, F.array_join(lines, ""), F.lit(footer))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.functions.scalar import poly_hash
+from streamlens.functions.scalar import poly_hash, timestamp_text
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", bound: str = "0 seconds") -> DataFrame:
@@ -70,7 +70,6 @@ def early_counts(df: DataFrame, key: str, ts: str, size: str, bound: str = "0 se
 def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item") -> DataFrame:
     """#44 on a stream: the ranked text per window, built inside the chained top-N
     aggregation (no third aggregation)."""
-    from streamlens.functions.scalar import timestamp_text
     from streamlens.operators.topn import (ITEM_REPORT_FOOT, ITEM_REPORT_HEAD, ITEM_REPORT_LINE,
                                            URL_REPORT_FOOT, URL_REPORT_HEAD, URL_REPORT_LINE)
     head, line, foot = {"item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),

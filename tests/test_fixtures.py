@@ -274,3 +274,19 @@ def test_forward_switch(spark):
     switches = spark.createDataFrame([("sensor_2", T(5), 10000)], "id string, ts timestamp_ntz, dur_ms long")
     got = rows(match.forward_switch(readings, switches, "id", "ts", duration_col="dur_ms", tiebreak="rid"), "rid")
     assert got == [(1,), (2,), (3,)]
+
+
+def test_fan_out_and_key_by(spark):
+    df = spark.createDataFrame([("s1", T(0), 70.0), ("s2", T(0), 10.0)], "id string, ts timestamp_ntz, temperature double")
+    hot, ids = basic.fan_out(df, lambda d: basic.readings_above(d, 60.0), lambda d: d.select("id"))
+    assert rows(hot, "id") == [("s1",)] and ids.count() == 2
+    keyed = basic.key_by(df, "id", num_partitions=4)
+    assert keyed.rdd.getNumPartitions() == 4 and keyed.count() == 2
+
+
+def test_text_source_batch(spark, tmp_path):
+    from streamlens.sources import read_lines
+    p = tmp_path / "lines.txt"
+    p.write_text("a,1\nb,2\nbad\n")
+    ok, bad = parse.parse_key_seconds(read_lines(spark, str(p)))
+    assert rows(ok, "key") == [("a",), ("b",)] and bad.count() == 1

@@ -38,19 +38,27 @@ def distinct_users(df: DataFrame, user: str, ts: str, size: str, slide: str, bit
     return per.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
 
 
-def top_n(counts: DataFrame, key: str, n: int, count: str = "count") -> DataFrame:
-    """#41/#42 on a stream: ``row_number`` is rejected on streams, so keep the top n of
-    each window in a chained aggregation: ``slice(sort_array(collect_list((-count,
-    key))), 1, n)``. State per open window is one row per key of that window."""
-    ranked = counts.groupBy("window").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col(count)).alias("_neg"), F.col(key).alias("_k")))),
-                1, n).alias("_top"))
+def _ranked_top(counts: DataFrame, key: str, n: int, count: str, salts: int) -> DataFrame:
+    """Per window, the top ``n`` (-count, key) structs, in two chained aggregations:
+    top ``n`` per (window, hash(key) mod ``salts``), then top ``n`` of those ``salts * n``
+    candidates. A group holds at most keys/salts entries, the merge ``salts * n``:
+    a window with millions of keys is never collected in one task."""
+    entry = F.struct((-F.col(count)).alias("_neg"), F.col(key).alias("_k"))
+    part = counts.groupBy("window", F.pmod(F.hash(F.col(key)), F.lit(salts)).alias("_salt")).agg(
+        F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("_part"))
+    return part.groupBy("window").agg(
+        F.slice(F.sort_array(F.flatten(F.collect_list("_part"))), 1, n).alias("_top"))
+
+
+def top_n(counts: DataFrame, key: str, n: int, count: str = "count", salts: int = 64) -> DataFrame:
+    """#41/#42 on a stream. ``row_number`` is rejected on streams, so the top ``n`` per
+    window is kept by chained aggregations in append mode (see :func:`_ranked_top`)."""
+    ranked = _ranked_top(counts, key, n, count, salts)
     return ranked.select(F.col("window.end").alias("window_end"),
                          F.posexplode("_top").alias("_pos", "_e")).select(
         "window_end", F.col("_e._k").alias(key), (-F.col("_e._neg")).alias(count),
         (F.col("_pos") + 1).cast("long").alias("rank"))
 
-
 def allowed_lateness(df: DataFrame, key: str, ts: str, size: str, bound: str, lateness: str) -> DataFrame:
     """#50 on a stream: watermark delay = bound + allowed lateness, run in **update**
     mode: a window's count is emitted when it changes, so each late-but-allowed row
@@ -67,17 +75,16 @@ def early_counts(df: DataFrame, key: str, ts: str, size: str, bound: str = "0 se
     return window_counts(with_event_time(df, ts, bound), key, ts, size)
 
 
-def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item") -> DataFrame:
-    """#44 on a stream: the ranked text per window, built inside the chained top-N
-    aggregation (no third aggregation)."""
+def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item",
+                 salts: int = 64) -> DataFrame:
+    """#44 on a stream: the ranked text per window, built on the chained top-N
+    aggregations (no further aggregation)."""
     from streamlens.operators.topn import (ITEM_REPORT_FOOT, ITEM_REPORT_HEAD, ITEM_REPORT_LINE,
                                            URL_REPORT_FOOT, URL_REPORT_HEAD, URL_REPORT_LINE)
     head, line, foot = {"item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),
                         "url": (URL_REPORT_HEAD, URL_REPORT_LINE, URL_REPORT_FOOT)}[style]
     fmt = line.replace("{rank}", "%d").replace("{key}", "%s").replace("{count}", "%d")
-    top = counts.groupBy("window").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col(count)).alias("_neg"),
-                                                     F.col(key).alias("_k")))), 1, n).alias("_top"))
+    top = _ranked_top(counts, key, n, count, salts)
     lines = F.transform("_top", lambda e, i: F.format_string(fmt, i + 1, e["_k"].cast("string"), -e["_neg"]))
     return top.select(F.col("window.end").alias("window_end"),
                       F.concat(F.lit(head), timestamp_text(F.col("window.end")), F.lit("\n"),

@@ -255,3 +255,21 @@ def test_restart_from_checkpoint_is_exactly_once(spark, tmp_path):
     got = spark.read.parquet(out_dir).filter(F.col("window_end") < FLUSH - timedelta(days=1))
     exp = windows.view_counts(b, "item_id", "ts", "60 minutes", "5 minutes")
     assert _rows(got, "window_end", "item_id", "count") == _rows(exp, "window_end", "item_id", "count")
+
+
+def test_rolling_list_and_min_stream(spark, tmp_path):
+    b = td.behavior(spark, SF001).select("event_id", "user_id", "behavior", "ts")
+    d, schema = _as_files(spark, b, tmp_path)
+    src = file_stream(spark, d, schema)
+    lists = run_available(sp.apply(src, "user_id", sp.RunningList("behavior", ("ts", "event_id"), keep=("event_id",)),
+                                   "event_id long, items array<string>"))
+    exp = rolling.rolling_list(b, "user_id", "behavior", ("ts", "event_id"))
+    assert _rows(lists.select("event_id", F.array_join("items", ",").alias("i")), "event_id", "i") == \
+        _rows(exp.select("event_id", F.array_join("items", ",").alias("i")), "event_id", "i")
+    s_b = td.sensor(spark, SF001).select("event_id", "id", "ts", "temperature")
+    d2, schema2 = _as_files(spark, s_b, tmp_path)
+    mins = run_available(sp.apply(file_stream(spark, d2, schema2), "id",
+                                  sp.RunningAggregate("temperature", ("ts", "event_id"), "min", "m", keep=("event_id",)),
+                                  "event_id long, m double"))
+    exp = rolling.rolling_min(s_b, "id", "temperature", ("ts", "event_id"), out="m")
+    assert _rows(mins, "event_id", "m") == _rows(exp, "event_id", "m")

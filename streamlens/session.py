@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of the skew-safe scans are deleted once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -20,6 +20,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.default.parallelism", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.checkpoint.dir", ck)

@@ -273,3 +273,20 @@ def test_rolling_list_and_min_stream(spark, tmp_path):
                                   "event_id long, m double"))
     exp = rolling.rolling_min(s_b, "id", "temperature", ("ts", "event_id"), out="m")
     assert _rows(mins, "event_id", "m") == _rows(exp, "event_id", "m")
+
+
+def test_order_pattern_timeouts_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import patterns
+    ev = td.order_events(spark, SF001)
+    m_b, t_b = patterns.order_pay_pattern(ev, "30 days")
+    src = ev.select("order_id", "ts", (F.col("op") == "create").alias("_s0"), (F.col("op") == "pay").alias("_s1"),
+                    F.when(F.col("op") == "create", 0).otherwise(1).cast("long").alias("tb"),
+                    F.col("op").alias("payload"))
+    d, schema = _as_files(spark, src, tmp_path, flush_row=("zz_flush", FLUSH, False, False, 0, "flush"))
+    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
+    out = run_available(sp.apply(s, "order_id", sp.SequencePattern("ts", 2, 30 * 86400 * 1000, "tb"),
+                                 "key string, kind string, payloads array<string>", time_mode="EventTime"))
+    got_t = sorted(r.key for r in out.filter("kind = 'timeout'").collect())
+    got_m = sorted(r.key for r in out.filter("kind = 'match'").collect())
+    assert got_m == sorted(r.order_id for r in m_b.collect())
+    assert got_t == sorted(r.order_id for r in t_b.collect())

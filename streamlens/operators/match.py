@@ -50,8 +50,9 @@ def forward_switch(readings: DataFrame, switches: DataFrame, key: str = "id", ts
     s = switches.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(0).alias("_tag"),
                         F.lit(0).cast("long").alias("_id"), (F.col(ts) + dur).alias("_end"),
                         F.lit(None).cast(r.schema["_row"].dataType).alias("_row"))
+    # a generated tie-break cannot be joined back on, so then keep whole rows in the scan
     u = running(r.unionByName(s), keys=["_k"], order=["_t", "_tag", "_id"], value="_end",
-                agg="max", out="_open_until")
+                agg="max", out="_open_until", narrow=None if tiebreak else False)
     return u.filter((F.col("_tag") == 1) & (F.col("_open_until") > F.col("_t"))).select("_row.*")
 
 

@@ -43,10 +43,10 @@ def rolling_list(df: DataFrame, key: str, value: str, order: Sequence[str], out:
 
 
 def previous_value(df: DataFrame, key: str, value: str, order: Sequence[str], out: str = "last",
-                   num_parts: int | None = None) -> DataFrame:
+                   num_parts: int | None = None, narrow: bool | None = None) -> DataFrame:
     """``lag(value)`` per key, skew-safe."""
     return running(df, keys=[key], order=order, value=value, agg="last", inclusive=False,
-                   out=out, num_parts=num_parts)
+                   out=out, num_parts=num_parts, narrow=narrow)
 
 
 def jump_alert(df: DataFrame, key: str, value: str, order: Sequence[str], threshold: float = 1.7,

@@ -56,19 +56,38 @@ def range_cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int)
 
 def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
             value: str | Column | None = None, keys: Sequence[str] = (),
-            inclusive: bool = True, num_parts: int | None = None) -> DataFrame:
+            inclusive: bool = True, num_parts: int | None = None,
+            narrow: bool | None = None) -> DataFrame:
     """Add ``out`` = ``agg(value)`` over the earlier rows of the same ``keys`` in ``order``.
 
     ``order`` must be unique within a key (add a tie-break column). ``inclusive``
     includes the row itself; otherwise the frame ends at the previous row (so
     ``agg="last"``, ``inclusive=False`` is ``lag(value, 1)``). ``count`` ignores
     ``value``. An empty frame gives null (0 for ``count``).
+
+    ``narrow`` (default: when ``df`` has columns beyond keys, order and value) runs
+    the scan on ``(keys, order, value)`` only and joins the result back on the
+    unique ``(keys, order)``: the range shuffle, the checkpoint and the window
+    shuffle then move a few columns, and wide rows cross the network once.
     """
     if agg not in _AGGS:
         raise ValueError(f"agg must be one of {_AGGS}")
     keys, order = list(keys), list(order)
     n = _num_parts(df, num_parts)
     v = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
+    used = set(keys) | set(order) | ({value} if isinstance(value, str) else set())
+    if narrow is None:
+        narrow = any(c not in used for c in df.columns)
+    if narrow:
+        slim = df.select(*keys, *order, v.alias("_val"))
+        res = running(slim, order=order, out=out, agg=agg, value="_val", keys=keys,
+                      inclusive=inclusive, num_parts=n, narrow=False)
+        res = res.select(*[F.col(c).alias(f"_j_{c}") for c in keys + order], out)
+        cond = None
+        for c in keys + order:
+            e = df[c].eqNullSafe(res[f"_j_{c}"])
+            cond = e if cond is None else cond & e
+        return df.join(res, cond, "inner").drop(*[f"_j_{c}" for c in keys + order])
     if agg == "last":
         # the latest row wins: compare (order..., value) structs
         v = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], v.alias("v"))

@@ -66,3 +66,12 @@ def test_hot_key_is_split_evenly(spark):
     hot_parts = cut.filter("k = 'hot'").select("_p").distinct().count()
     assert hot_parts >= 4                       # the hot key spans several partitions
     assert max(sizes) <= 2.0 * (6000 / 12)      # no partition holds much more than its share
+
+
+def test_narrow_scan_joins_back_payload(spark):
+    df = _data(spark, n=1500).withColumn("payload", F.concat(F.lit("p"), F.col("id").cast("string")))
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.withColumn("r", F.sum("v").over(w))
+    got = running(df, keys=["k"], order=["t", "id"], value="v", agg="sum", out="r", num_parts=5)
+    assert got.columns == df.columns + ["r"]
+    assert _rows(got, ["id", "payload", "r"]) == _rows(exp, ["id", "payload", "r"])

@@ -59,28 +59,33 @@ def sustained_rise(df: DataFrame, key: str = "id", ts: str = "ts", value: str =
     hold_ns = int(h * 1e9)
     nat = np.iinfo("int64").min
 
-    def chain(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    # fold state of a run: [key, pending deadline or None, next fall (ns)]
+    def close_run(st) -> list:
+        k, deadline, nf = st
+        return [(k, deadline - hold_ns, deadline)] if deadline is not None and (nf == nat or nf > deadline) else []
+
+    def scan_runs(b: pd.DataFrame, starts: np.ndarray, st):
         t, nf, keys = ns(b[ts]), ns(b["_next_fall"]), b[key].to_numpy()
-        ok, rise, alert = [], [], []
-        deadline = None
-        for i in range(len(b) + 1):
-            if i == len(b) or starts[i]:
-                # close the previous run: its next fall cancels a pending timer
-                if i > 0 and deadline is not None and (nf[i - 1] == nat or nf[i - 1] > deadline):
-                    ok.append(keys[i - 1]); rise.append(deadline - hold_ns); alert.append(deadline)
-                deadline = None
-                if i == len(b):
-                    break
-            if deadline is not None and t[i] > deadline:
-                ok.append(keys[i]); rise.append(deadline - hold_ns); alert.append(deadline)
-                deadline = None
-            if deadline is None:
-                deadline = t[i] + hold_ns
-        return pd.DataFrame({key: pd.Series(ok, dtype=b[key].dtype),
-                             "rise_ts": ts_series(rise), "alert_ts": ts_series(alert)})
+        out = []
+        for i in range(len(b)):
+            if starts[i]:
+                if st is not None:
+                    out += close_run(st)
+                st = [keys[i], None, nf[i]]
+            if st[1] is not None and t[i] > st[1]:
+                out.append((st[0], st[1] - hold_ns, st[1]))
+                st[1] = None
+            if st[1] is None:
+                st[1] = t[i] + hold_ns
+        return out, st
+
+    def frame(recs: list) -> pd.DataFrame:
+        return pd.DataFrame({key: pd.Series([r[0] for r in recs], dtype=object),
+                             "rise_ts": ts_series([r[1] for r in recs]),
+                             "alert_ts": ts_series([r[2] for r in recs])})
 
     return fold_pieces(rows, [key, "_run"], [ts], f"{key} {key_type}, rise_ts {ts_type}, alert_ts {ts_type}",
-                       chain)
+                       scan_runs, close_run, frame)
 
 
 def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event: str = "event_type",
@@ -120,31 +125,36 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
 
     span_ns = int(sp * 1e9)
 
-    def fold(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    # fold state of a burst: [key, span start or None, fails in the span]
+    def close_burst(st) -> list:
+        k, t0, n = st
+        return [(k, t0, n)] if t0 is not None and n >= min_fails else []
+
+    def scan_bursts(b: pd.DataFrame, starts: np.ndarray, st):
         t, keys, is_fail = ns(b[ts]), b[key].to_numpy(), (b[event] == fail).to_numpy()
-        out_k, out_s, out_n = [], [], []
-        t0, n = None, 0
-        for i in range(len(b) + 1):
-            if i == len(b) or starts[i]:
-                if i > 0 and t0 is not None and n >= min_fails:
-                    out_k.append(keys[i - 1]); out_s.append(t0); out_n.append(n)
-                t0, n = None, 0
-                if i == len(b):
-                    break
-            if t0 is not None and t[i] > t0 + span_ns:
-                if n >= min_fails:
-                    out_k.append(keys[i]); out_s.append(t0); out_n.append(n)
-                t0, n = None, 0
+        out = []
+        for i in range(len(b)):
+            if starts[i]:
+                if st is not None:
+                    out += close_burst(st)
+                st = [keys[i], None, 0]
+            if st[1] is not None and t[i] > st[1] + span_ns:
+                out += close_burst(st)
+                st[1], st[2] = None, 0
             if is_fail[i]:
-                n += 1
-                if t0 is None:
-                    t0 = t[i]
+                st[2] += 1
+                if st[1] is None:
+                    st[1] = t[i]
             else:
-                t0, n = None, 0
-        return pd.DataFrame({key: pd.Series(out_k, dtype=b[key].dtype),
-                             "span_start": ts_series(out_s),
-                             "span_end": ts_series([x + span_ns for x in out_s]),
-                             "n_fails": pd.Series(out_n, dtype="int64")})
+                st[1], st[2] = None, 0
+        return out, st
+
+    def frame(recs: list) -> pd.DataFrame:
+        return pd.DataFrame({key: pd.Series([r[0] for r in recs], dtype=object),
+                             "span_start": ts_series([r[1] for r in recs]),
+                             "span_end": ts_series([r[1] + span_ns for r in recs]),
+                             "n_fails": pd.Series([r[2] for r in recs], dtype="int64")})
 
     return fold_pieces(ev.select(key, ts, event, "_tb", "_burst"), [key, "_burst"], [ts, "_tb"],
-                       f"{key} {key_type}, span_start {ts_type}, span_end {ts_type}, n_fails long", fold)
+                       f"{key} {key_type}, span_start {ts_type}, span_end {ts_type}, n_fails long",
+                       scan_bursts, close_burst, frame)

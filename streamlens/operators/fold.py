@@ -1,11 +1,14 @@
 """Sequential folds over independent pieces of a key.
 
 ``repartition(n, piece)`` + ``sortWithinPartitions(piece, order)`` + one
-``mapInPandas`` pass: each task receives whole pieces in order; a piece that
-straddles two Arrow batches is carried over. The step function runs over plain
-numpy arrays of a batch holding many complete pieces (``starts`` marks where each
-piece begins), so there is no per-piece Python set-up. Pieces of a hot key are
-hash-spread over tasks and never split.
+``mapInPandas`` pass: each task receives whole pieces in order. The fold is given
+as ``scan(batch, starts, state) -> (rows, state)`` and ``close(state) -> rows``:
+``scan`` walks a batch's numpy arrays (``starts`` marks where pieces begin),
+closes every piece that ends inside the batch and returns the open state of the
+last one; the state -- not the rows -- is carried into the next Arrow batch, and
+``close`` finishes a piece once the next piece (or the partition end) shows it is
+complete. Memory is one batch plus a small state, however long a piece is; there
+is no per-piece Python set-up. Pieces of a hot key are hash-spread over tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+Scan = Callable[[pd.DataFrame, np.ndarray, object], tuple[list, object]]
+Close = Callable[[object], list]
+
 
 def piece_starts(pdf: pd.DataFrame, piece: Sequence[str]) -> np.ndarray:
     """Boolean array: True where a new piece begins (rows sorted by piece)."""
@@ -30,28 +36,37 @@ def piece_starts(pdf: pd.DataFrame, piece: Sequence[str]) -> np.ndarray:
 
 
 def fold_pieces(df: DataFrame, piece: Sequence[str], order: Sequence[str], schema: str,
-                fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame],
+                scan: Scan, close: Close, to_frame: Callable[[list], pd.DataFrame],
                 num_partitions: int | None = None) -> DataFrame:
-    """Apply ``fn(batch, starts)`` to batches of complete pieces sorted by
-    (``piece``, ``order``); ``fn`` returns a frame matching ``schema``."""
+    """Run the fold over every piece; ``to_frame`` turns emitted records into a
+    frame matching ``schema``."""
     piece, order = list(piece), list(order)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = df.repartition(n, *piece).sortWithinPartitions(*piece, *order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
+        state, last = None, None
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if pdf.empty:
                 continue
+            pdf = pdf.reset_index(drop=True)
             starts = piece_starts(pdf, piece)
-            cut = int(np.flatnonzero(starts)[-1])  # the last piece may continue
-            if cut > 0:
-                yield fn(pdf.iloc[:cut].reset_index(drop=True), starts[:cut])
-            carry = pdf.iloc[cut:].reset_index(drop=True)
-        if carry is not None and len(carry):
-            yield fn(carry, piece_starts(carry, piece))
+            out: list = []
+            if state is not None:
+                if tuple(pdf.loc[0, piece]) == last:
+                    starts[0] = False          # the open piece continues here
+                else:
+                    out += close(state)
+                    state = None
+            recs, state = scan(pdf, starts, state)
+            out += recs
+            last = tuple(pdf.loc[len(pdf) - 1, piece])
+            if out:
+                yield to_frame(out)
+        if state is not None:
+            out = close(state)
+            if out:
+                yield to_frame(out)
 
     return parts.mapInPandas(run, schema)
 

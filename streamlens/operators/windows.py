@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.functions.scalar import poly_hash, words
+from streamlens.functions.scalar import WORD_SPLIT, poly_hash
 
 _UNITS = {"ms": 0.001, "millisecond": 0.001, "milliseconds": 0.001,
           "s": 1, "sec": 1, "second": 1, "seconds": 1,
@@ -97,7 +97,7 @@ def pane_counts(df: DataFrame, ts: str, size: str, slide: str, keys: tuple[str,
 
 def word_count(docs: DataFrame, size: str = "5 seconds", text: str = "text", ts: str = "ts") -> DataFrame:
     """#27 tokens counted per word in tumbling windows."""
-    toks = docs.select(ts, F.explode(words(text)).alias("word"))
+    toks = docs.select(ts, F.explode(F.split(F.col(text), WORD_SPLIT)).alias("word")).filter(F.col("word") != "")
     return window_agg(toks, ts, size, {"count": F.count(F.lit(1))}, keys=("word",))
 
 

@@ -290,3 +290,15 @@ def test_order_pattern_timeouts_stream_equals_batch(spark, tmp_path):
     got_m = sorted(r.key for r in out.filter("kind = 'match'").collect())
     assert got_m == sorted(r.order_id for r in m_b.collect())
     assert got_t == sorted(r.order_id for r in t_b.collect())
+
+
+def test_stream_join_order_timeout(spark, tmp_path):
+    from streamlens.streaming import joins
+    c = [("1", T(842)), ("2", T(843)), ("9", T(0))]
+    p = [("2", T(844)), ("3", T(942)), ("9", T(5))]
+    dc, dp = str(tmp_path / "c"), str(tmp_path / "p")
+    spark.createDataFrame(c + [("zz", FLUSH)], "order_id string, ts timestamp").coalesce(1).write.parquet(dc)
+    spark.createDataFrame(p + [("zz", FLUSH)], "order_id string, ts timestamp").coalesce(1).write.parquet(dp)
+    out = run_available(joins.order_timeout(file_stream(spark, dc, "order_id string, ts timestamp"),
+                                            file_stream(spark, dp, "order_id string, ts timestamp"), "5 seconds"))
+    assert sorted(r.order_id for r in out.filter("order_id <> 'zz'").collect()) == ["1"]

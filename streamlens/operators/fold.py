@@ -41,8 +41,9 @@ def fold_pieces(df: DataFrame, piece: Sequence[str], order: Sequence[str], schem
     """Run the fold over every piece; ``to_frame`` turns emitted records into a
     frame matching ``schema``."""
     piece, order = list(piece), list(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartition(n, *piece).sortWithinPartitions(*piece, *order)
+    # without a count AQE sizes the exchange (it only merges partitions, never splits a piece)
+    parts = df.repartition(num_partitions, *piece) if num_partitions else df.repartition(*piece)
+    parts = parts.sortWithinPartitions(*piece, *order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state, last = None, None

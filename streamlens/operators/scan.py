@@ -45,11 +45,16 @@ def _num_parts(df: DataFrame, num_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """``n`` balanced range partitions on (keys, order), partition id stored as ``_p``,
-    checkpointed to the shared checkpoint folder (one fixed cut, lineage cut)."""
+def range_cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
+    """Balanced range partitions on (keys, order), partition id stored as ``_p``,
+    checkpointed to the shared checkpoint folder (one fixed cut, lineage cut).
+
+    With ``n`` None the exchange starts at ``spark.sql.shuffle.partitions`` ranges and
+    AQE merges small neighbouring ranges (coalescing keeps them contiguous, so ids stay
+    in range order); a given ``n`` is kept exactly."""
     checkpoint_dir(df.sparkSession)
-    return (df.repartitionByRange(n, *keys, *order)
+    cut = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
+    return (cut
             .withColumn("_p", F.spark_partition_id())
             .checkpoint(eager=True))
 
@@ -73,7 +78,7 @@ def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
     if agg not in _AGGS:
         raise ValueError(f"agg must be one of {_AGGS}")
     keys, order = list(keys), list(order)
-    n = _num_parts(df, num_parts)
+    n = _num_parts(df, num_parts)   # upper bound on the range partitions
     v = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
     used = set(keys) | set(order) | ({value} if isinstance(value, str) else set())
     if narrow is None:
@@ -81,7 +86,7 @@ def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
     if narrow:
         slim = df.select(*keys, *order, v.alias("_val"))
         res = running(slim, order=order, out=out, agg=agg, value="_val", keys=keys,
-                      inclusive=inclusive, num_parts=n, narrow=False)
+                      inclusive=inclusive, num_parts=num_parts, narrow=False)
         res = res.select(*[F.col(c).alias(f"_j_{c}") for c in keys + order], out)
         cond = None
         for c in keys + order:
@@ -93,7 +98,7 @@ def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
         v = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], v.alias("v"))
     base = df.withColumn("_v", v)
 
-    ranged = range_cut(base, keys, order, n)
+    ranged = range_cut(base, keys, order, num_parts)
     small = F.broadcast if n <= BROADCAST_MAX_PARTS else (lambda d: d)
     kstruct = F.struct(*keys) if keys else F.lit(0)
 

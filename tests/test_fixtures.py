@@ -2,7 +2,6 @@
 
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from streamlens.operators import alerts, basic, late, match, patterns, rolling, topn, windows

@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from streamlens.sources import sinks
 

@@ -5,7 +5,6 @@ import time
 import uuid
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001

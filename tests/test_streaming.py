@@ -301,3 +301,14 @@ def test_stream_join_order_timeout(spark, tmp_path):
     out = run_available(joins.order_timeout(file_stream(spark, dc, "order_id string, ts timestamp"),
                                             file_stream(spark, dp, "order_id string, ts timestamp"), "5 seconds"))
     assert sorted(r.order_id for r in out.filter("order_id <> 'zz'").collect()) == ["1"]
+
+
+def test_early_counts_update_mode(spark, tmp_path):
+    """#51/#52: each trigger re-emits the running count of a still-open window."""
+    d = str(tmp_path / "early")
+    for t in [0.2, 1.4]:
+        spark.createDataFrame([("a", T(t))], "key string, ts timestamp").write.mode("append").parquet(d)
+        time.sleep(1.1)
+    out = run_available(sa.early_counts(file_stream(spark, d, "key string, ts timestamp", 1), "key", "ts",
+                                        "5 seconds", "10 seconds"), output_mode="update")
+    assert sorted(r["count"] for r in out.collect()) == [1, 2]

@@ -146,27 +146,28 @@ def url_views(spark, d, pane=False):
 
 
 def pv(spark, d):
-    return windows.pv_count(td.behavior(spark, d), P["hot_size"], P["hot_slide"])
+    return windows.pv_count(td.behavior(spark, d, only=("pv",)), P["hot_size"], P["hot_slide"])
 
 
 def uv_exact(spark, d):
-    return windows.uv_exact(td.behavior(spark, d), P["hot_size"], P["hot_slide"])
+    return windows.uv_exact(td.behavior(spark, d, only=("pv",)), P["hot_size"], P["hot_slide"])
 
 
 def uv_bitmap(spark, d):
-    return windows.uv_bitmap(td.behavior(spark, d), P["hot_size"], P["hot_slide"])
+    return windows.uv_bitmap(td.behavior(spark, d, only=("pv",)), P["hot_size"], P["hot_slide"])
 
 
 def uv_approx(spark, d):
-    return windows.uv_approx(td.behavior(spark, d), P["hot_size"], P["hot_slide"])
+    return windows.uv_approx(td.behavior(spark, d, only=("pv",)), P["hot_size"], P["hot_slide"])
 
 
 def marketing_total(spark, d):
-    return windows.marketing_total(td.marketing(spark, d), P["mkt_size"], P["mkt_slide"])
+    return windows.marketing_total(td.marketing(spark, d, exclude=("UNINSTALL",)), P["mkt_size"], P["mkt_slide"])
 
 
 def marketing_by_channel(spark, d):
-    return windows.marketing_by_channel(td.marketing(spark, d), P["mkt_size"], P["mkt_slide"])
+    return windows.marketing_by_channel(td.marketing(spark, d, exclude=("UNINSTALL",)), P["mkt_size"],
+                                        P["mkt_slide"])
 
 
 # ---- top-N ---------------------------------------------------------------------------
@@ -251,7 +252,7 @@ def early_firings(spark, d):
 
 
 def uv_per_row(spark, d):
-    b = td.behavior(spark, d).filter(F.col("behavior") == "pv")
+    b = td.behavior(spark, d, only=("pv",)).filter(F.col("behavior") == "pv")
     b = b.select("event_id", "ts", poly_hash(F.col("user_id").cast("string")).alias("h"))
     r = late.per_row_updates(b, "h", "ts", ("ts", "event_id"), P["hot_size"], P["hot_slide"])
     return r.select("window_end", "event_id", "distinct_so_far")

@@ -31,9 +31,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UserBehavior: ``view`` plays ``pv``; item = props.k, category = k mod 10."""
-    return events(spark, sf_dir).select(
+# raw event type of each mapped behavior value (inverse of the view mappings)
+_RAW_BEHAVIOR = {"pv": "view"}
+_RAW_MARKETING = {"UNINSTALL": "signup"}
+
+
+def behavior(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None) -> DataFrame:
+    """UserBehavior: ``view`` plays ``pv``; item = props.k, category = k mod 10.
+
+    ``only`` keeps just those behaviors, filtered on the raw ``event_type`` so the
+    predicate reaches the parquet scan (a filter on the mapped column cannot)."""
+    e = events(spark, sf_dir)
+    if only:
+        e = e.filter(F.col("event_type").isin([_RAW_BEHAVIOR.get(b, b) for b in only]))
+    return e.select(
         "event_id", "user_id", _k().alias("item_id"),
         (_k() % 10).cast("int").alias("category_id"),
         F.when(F.col("event_type") == "view", "pv").otherwise(F.col("event_type")).alias("behavior"),
@@ -81,9 +92,12 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 method, url).alias("value"))
 
 
-def marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MarketingUserBehavior: ``signup`` plays UNINSTALL; channel by user parity."""
+def marketing(spark: SparkSession, sf_dir: str, exclude: tuple[str, ...] | None = None) -> DataFrame:
+    """MarketingUserBehavior: ``signup`` plays UNINSTALL; channel by user parity.
+    ``exclude`` drops behaviors on the raw column (pushed to the scan)."""
     e = events(spark, sf_dir)
+    if exclude:
+        e = e.filter(~F.col("event_type").isin([_RAW_MARKETING.get(b, b.lower()) for b in exclude]))
     return e.select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),

@@ -43,3 +43,10 @@ def test_pane_form_expands_after_the_shuffle(spark):
     expand = p.find("Generate explode(sequence(_pe")
     # the 120-fold expansion sits above (after) the last exchange in the tree text
     assert expand != -1 and all(expand < e for e in exchanges)
+
+
+def test_view_filters_reach_the_scan(spark):
+    p = _plan(E.queries()["uv_exact"](spark, SF001))
+    assert "EqualTo(event_type,view)" in p
+    p = _plan(E.queries()["marketing_total"](spark, SF001))
+    assert "EqualTo(event_type,signup)" in p or "Not(EqualTo(event_type,signup))" in p or "In(event_type" in p

@@ -34,6 +34,18 @@ def with_watermark(df: DataFrame, ts: str, arrival: Sequence[str], bound: str |
     return d.withColumn(out, F.col("_maxts") - F.make_dt_interval(secs=F.lit(seconds(bound)))).drop("_maxts")
 
 
+def ascending_watermark(df: DataFrame, ts: str, arrival: Sequence[str], out: str = "wm") -> DataFrame:
+    """#46 ascending timestamps: the watermark trails the max event time by 1 ms."""
+    return with_watermark(df, ts, arrival, "1 millisecond", out=out)
+
+
+def periodic_watermark(df: DataFrame, ts: str, arrival: Sequence[str], bound: str = "1 second",
+                       out: str = "wm") -> DataFrame:
+    """#47 the periodic extractor: max event time minus a fixed bound (1 s). Before the
+    first row the watermark is null, not a wrapped minimum value."""
+    return with_watermark(df, ts, arrival, bound, out=out)
+
+
 def _tumble_end(ts: str, size: str):
     return F.window(ts, size).getField("end")
 

@@ -289,3 +289,11 @@ def test_text_source_batch(spark, tmp_path):
     p.write_text("a,1\nb,2\nbad\n")
     ok, bad = parse.parse_key_seconds(read_lines(spark, str(p)))
     assert rows(ok, "key") == [("a",), ("b",)] and bad.count() == 1
+
+
+def test_watermark_variants(spark):
+    df = _arr(spark, [("a", 1), ("a", 6), ("a", 2)])
+    asc = {r.arrival: r.wm for r in late.ascending_watermark(df, "ts", ["arrival"]).collect()}
+    per = {r.arrival: r.wm for r in late.periodic_watermark(df, "ts", ["arrival"]).collect()}
+    assert asc[0] is None and asc[1] == T(1) - timedelta(milliseconds=1) and asc[2] == T(6) - timedelta(milliseconds=1)
+    assert per[0] is None and per[2] == T(5)

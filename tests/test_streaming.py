@@ -312,3 +312,20 @@ def test_early_counts_update_mode(spark, tmp_path):
     out = run_available(sa.early_counts(file_stream(spark, d, "key string, ts timestamp", 1), "key", "ts",
                                         "5 seconds", "10 seconds"), output_mode="update")
     assert sorted(r["count"] for r in out.collect()) == [1, 2]
+
+
+def test_repeated_failures_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import alerts
+    lg = td.login(spark, SF001).select("user_id", "ts", "event_type")
+    d, schema = _as_files(spark, lg, tmp_path, flush_row=("zz_flush", FLUSH, "view"))
+    schema_out = "key string, span_start_ms long, span_end_ms long, n_fails long"
+    for rearm in (False, True):
+        s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
+        out = run_available(sp.apply(s, "user_id", sp.RepeatedFailures("ts", "event_type", 86400 * 1000,
+                                                                       rearm=rearm), schema_out,
+                                     time_mode="EventTime"))
+        got = sorted((r.key, r.span_start_ms, r.n_fails) for r in out.collect())
+        exp = alerts.repeated_failures(lg, span="1 day", rearm=rearm)
+        exp = sorted((r.user_id, int(r.ms), r.n_fails) for r in exp.select(
+            "user_id", F.unix_millis(F.col("span_start").cast("timestamp")).alias("ms"), "n_fails").collect())
+        assert got == exp and got, rearm

@@ -329,3 +329,17 @@ def test_repeated_failures_stream_equals_batch(spark, tmp_path):
         exp = sorted((r.user_id, int(r.ms), r.n_fails) for r in exp.select(
             "user_id", F.unix_millis(F.col("span_start").cast("timestamp")).alias("ms"), "n_fails").collect())
         assert got == exp and got, rearm
+
+
+def test_sustained_rise_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import alerts
+    s_b = td.sensor(spark, SF001).select("id", "ts", "temperature", "event_id")
+    d, schema = _as_files(spark, s_b, tmp_path, flush_row=("zz_flush", FLUSH, 0.0, 0))
+    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
+    out = run_available(sp.apply(s, "id", sp.SustainedRise("temperature", "ts", 600 * 1000),
+                                 "key string, rise_ms long, alert_ms long", time_mode="EventTime"))
+    got = sorted((r.key, r.rise_ms) for r in out.filter("key <> 'zz_flush'").collect())
+    exp = alerts.sustained_rise(s_b, "id", "ts", "temperature", ("ts", "event_id"), "10 minutes", rearm=True)
+    exp = sorted((r.id, int(r.ms)) for r in exp.select(
+        "id", F.unix_millis(F.col("rise_ts").cast("timestamp")).alias("ms")).collect())
+    assert got == exp and got

@@ -343,3 +343,15 @@ def test_sustained_rise_stream_equals_batch(spark, tmp_path):
     exp = sorted((r.id, int(r.ms)) for r in exp.select(
         "id", F.unix_millis(F.col("rise_ts").cast("timestamp")).alias("ms")).collect())
     assert got == exp and got
+
+
+def test_order_timeout_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import match
+    ev = td.order_events(spark, SF001)
+    d, schema = _as_files(spark, ev, tmp_path, flush_row=("zz_flush", "create", FLUSH))
+    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
+    out = run_available(sp.apply(s, "order_id", sp.OrderTimeout("ts", "op", 30 * 86400 * 1000),
+                                 "order_id string, op string, ts_ms long", time_mode="EventTime"))
+    got = sorted(r.order_id for r in out.filter("order_id <> 'zz_flush'").collect())
+    exp = match.order_timeout(td.order_creates(spark, SF001), td.pays(spark, SF001), "30 days")
+    assert got == sorted(r.order_id for r in exp.collect()) and got

@@ -355,3 +355,32 @@ def test_order_timeout_stream_equals_batch(spark, tmp_path):
     got = sorted(r.order_id for r in out.filter("order_id <> 'zz_flush'").collect())
     exp = match.order_timeout(td.order_creates(spark, SF001), td.pays(spark, SF001), "30 days")
     assert got == sorted(r.order_id for r in exp.collect()) and got
+
+
+def test_forward_switch_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import match
+    readings = td.sensor(spark, SF001)
+    e = td.events(spark, SF001).filter("event_type = 'signup'")
+    switches = e.select(F.concat(F.lit("sensor_"), (F.col("user_id") % 10 + 1).cast("string")).alias("id"), "ts")
+    tagged = readings.select("id", "ts", F.lit(1).alias("tag"), F.lit(0).cast("long").alias("dur_ms"),
+                             F.col("event_id").alias("rid")).unionByName(
+        switches.select("id", "ts", F.lit(0).alias("tag"), F.lit(600000).cast("long").alias("dur_ms"),
+                        F.lit(-1).cast("long").alias("rid")))
+    d, schema = _as_files(spark, tagged, tmp_path)
+    out = run_available(sp.apply(file_stream(spark, d, schema), "id", sp.ForwardSwitch("ts", ("rid",)), "rid long"))
+    exp = match.forward_switch(readings, switches, "id", "ts", "10 minutes", tiebreak="event_id")
+    assert sorted(r.rid for r in out.collect()) == sorted(r.event_id for r in exp.collect())
+
+
+def test_match_with_timeout_stream_equals_batch(spark, tmp_path):
+    from streamlens.operators import match
+    from streamlens.streaming import joins
+    o, p = td.order_creates(spark, SF001).select("order_id", "ts"), td.pays(spark, SF001)
+    do, _ = _as_files(spark, o, tmp_path, slices=2, flush_row=("zz", FLUSH))
+    dp, _ = _as_files(spark, p, tmp_path, slices=2, flush_row=("zz", "x", FLUSH))
+    so = file_stream(spark, do, "order_id string, ts timestamp", 10)
+    sp_ = file_stream(spark, dp, "order_id string, channel string, ts timestamp", 10)
+    out = run_available(joins.match_with_timeout(so, sp_, "30 days"))
+    got = sorted((r.kind, r.order_id) for r in out.filter("order_id <> 'zz'").collect())
+    exp = sorted((r.kind, r.order_id) for r in match.match_with_timeout(o, p, "30 days").collect())
+    assert got == exp

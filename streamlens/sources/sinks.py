@@ -8,6 +8,7 @@ writer; every such write is idempotent per ``batch_id`` so a replayed micro-batc
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,3 +61,19 @@ def console(df: DataFrame, output_mode: str = "append", checkpoint: str | None =
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     return w.start()
+
+
+def fan_out_batches(*handlers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """#17 on a stream: one ``foreachBatch`` that persists the micro-batch once and
+    hands it to every output (each handler ``(batch, batch_id)`` must be idempotent
+    per batch id, e.g. overwrite a ``batch_id=`` folder)."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for h in handlers:
+                h(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return handle

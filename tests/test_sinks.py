@@ -26,3 +26,19 @@ def test_upsert_window_counts_replaces_only_present_windows(spark, tmp_path):
     sinks.upsert_window_counts(b2, 1, p)  # replayed batch
     got = sorted((r.window_end, r.uv) for r in spark.read.parquet(p).collect())
     assert got == [("w1", 1), ("w2", 6)]
+
+
+def test_fan_out_batches_feeds_every_output(spark, tmp_path):
+    from streamlens.session import stream_checkpoint
+    from streamlens.streaming.runner import file_stream
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, 70.0), (2, 10.0)], "id long, t double").write.parquet(src)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    h = sinks.fan_out_batches(
+        lambda d, i: d.filter("t > 60").write.mode("overwrite").parquet(f"{a}/batch_id={i}"),
+        lambda d, i: d.select("id").write.mode("overwrite").parquet(f"{b}/batch_id={i}"))
+    q = (file_stream(spark, src, "id long, t double").writeStream.foreachBatch(h)
+         .option("checkpointLocation", stream_checkpoint(spark, "fanout_test")).trigger(availableNow=True).start())
+    assert q.awaitTermination(120)
+    assert [r.id for r in spark.read.parquet(a).collect()] == [1]
+    assert sorted(r.id for r in spark.read.parquet(b).collect()) == [1, 2]

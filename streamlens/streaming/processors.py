@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -344,3 +345,13 @@ class SequencePattern(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def pattern_rows(df: DataFrame, key: str, steps, select, ts: str = "ts") -> DataFrame:
+    """Input of :class:`SequencePattern` from the same ``steps`` (name, predicate) as the
+    batch :func:`streamlens.operators.patterns.sequence_pattern`: one boolean column per
+    step and the selected columns as a JSON ``payload``."""
+    preds = [F.expr(p) if isinstance(p, str) else p for _, p in steps]
+    return df.select(key, ts, *[c for c in df.columns if c not in (key, ts)],
+                     *[p.alias(f"_s{j}") for j, p in enumerate(preds)],
+                     F.to_json(F.struct(*select)).alias("payload"))

@@ -140,9 +140,9 @@ def test_pattern_processor_equals_batch(spark, tmp_path):
     lg = td.login(spark, SF001)
     within = "2 days"
     m_b = patterns.fail_sequence(lg, within)
-    steps = [F.col("event_type") == "fail"] * 3
-    src = lg.select("user_id", "ts", "event_id", *[s.alias(f"_s{j}") for j, s in enumerate(steps)],
-                    F.to_json(F.struct("ip", "ts")).alias("payload"))
+    steps = [(n, F.col("event_type") == "fail") for n in ("begin", "next", "third")]
+    src = sp.pattern_rows(lg, "user_id", steps, ("ip", "ts")).select(
+        "user_id", "ts", "event_id", "_s0", "_s1", "_s2", "payload")
     d, schema = _as_files(spark, src, tmp_path, flush_row=("zz_flush", FLUSH, 0, False, False, False, "{}"))
     s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
     out = run_available(sp.apply(s, "user_id", sp.SequencePattern("ts", 3, 2 * 86400 * 1000, "event_id"),

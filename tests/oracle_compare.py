@@ -4,12 +4,14 @@ column names and the multiset of rows (order-insensitive)."""
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
 import duckdb
 import pandas as pd
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -47,7 +49,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def compare(spark, name: str, sf_dir: str, con=None, verbose: bool = False) -> tuple[bool, str]:
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, REPO)
     import __spark_entry__ as E
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -71,7 +73,7 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose: bool = False) -> t
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, REPO)
     from streamlens.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]

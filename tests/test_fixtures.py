@@ -297,3 +297,28 @@ def test_watermark_variants(spark):
     per = {r.arrival: r.wm for r in late.periodic_watermark(df, "ts", ["arrival"]).collect()}
     assert asc[0] is None and asc[1] == T(1) - timedelta(milliseconds=1) and asc[2] == T(6) - timedelta(milliseconds=1)
     assert per[0] is None and per[2] == T(5)
+
+
+def test_views_and_parsers_carry_the_record_schemas(spark):
+    from conftest import SF001
+    from streamlens import schemas as S
+    from streamlens.sources import testdata as td
+
+    def norm(t):
+        return "timestamp" if t.startswith("timestamp") else t
+
+    def check(df, record):
+        have = {f.name: norm(f.dataType.simpleString()) for f in df.schema.fields}
+        for f in record.fields:
+            assert have.get(f.name) == norm(f.dataType.simpleString()), (f.name, have)
+
+    check(td.sensor(spark, SF001), S.SENSOR)
+    check(td.behavior(spark, SF001).withColumn("item_id", F.col("item_id")), S.BEHAVIOR)
+    check(td.login(spark, SF001), S.LOGIN)
+    check(td.marketing(spark, SF001), S.MARKETING)
+    check(td.order_creates(spark, SF001), S.ORDER)
+    check(td.pays(spark, SF001), S.PAY)
+    rows_, _ = parse.parse_access_log(td.access_lines(spark, SF001))
+    check(rows_, S.ACCESS_LOG)
+    counts = windows.count_per_key(td.arrivals(spark, SF001), "key", "ts", "1 hour")
+    check(counts, S.KEYED_COUNT)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe
+from streamlens.llm import bpe, langid
+from streamlens.llm.common import held_out
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +26,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by rank-order profiles learned from two thirds of them."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    test = held_out(F.col("doc_id"), 3, 1)
+    profiles = langid.learn_profiles(docs.where(~test))
+    found = langid.identify(docs.drop("lang"), profiles)
+    return found.select("doc_id", test.alias("held_out"), "lang_pred", "score", "distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language_id": op5_language_id,
     "op10_bpe": op10_bpe,
 }
 

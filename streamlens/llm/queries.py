@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, langid
+from streamlens.llm import bpe, langid, merkle
 from streamlens.llm.common import held_out
 
 
@@ -35,8 +35,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", test.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return merkle.edited_pairs(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
+    "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
 }
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, langid, merkle
-from streamlens.llm.common import held_out
+from streamlens.llm import bpe, langid, merkle, warc
+from streamlens.llm.common import fresh_path, held_out
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives in the shared folder and read back."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(warc.with_originals(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    back = warc.read_archives(spark, path, payloads=False)
+    return back.where(F.col("failed_check").isNull()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "start", "length")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by rank-order profiles learned from two thirds of them."""
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -41,6 +49,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op5_language_id": op5_language_id,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,

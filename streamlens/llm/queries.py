@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, langid, merkle, warc
+from streamlens.llm import bpe, langid, merkle, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -34,6 +34,15 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.where(F.col("failed_check").isNull()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "start", "length")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of two thirds of the ids."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    test = held_out(F.col("doc_id"), 3, 1)
+    model = toxicity.fit(docs.where(~test), labels.where(~test))
+    return toxicity.score(docs, model).select("doc_id", test.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by rank-order profiles learned from two thirds of them."""
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -50,6 +59,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
+    "op3_toxicity": op3_toxicity,
     "op5_language_id": op5_language_id,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, langid, merkle, toxicity, warc
+from streamlens.llm import bpe, langid, merkle, superkmer, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -52,6 +52,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", test.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated 20-word windows, as digests."""
+    kept = superkmer.remove_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return merkle.edited_pairs(_documents(spark, sf_dir))
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op5_language_id": op5_language_id,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
 }

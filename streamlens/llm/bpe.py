@@ -17,10 +17,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from array import array
-from collections import defaultdict
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +32,18 @@ from streamlens.llm.common import slices
 _SPACE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[^{_SPACE}]+")
 _ODD = re.compile("[\x1c-\x1f]")  # str.split() cuts at these, the rule does not
-_PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+_PIECE_OR_END = regex.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Vocabulary files beyond this size are refused: the vocabulary is the only thing broadcast.
 MOST_VOCABULARY_BYTES = 64 << 20
 
 
+def normal(text: str) -> str:
+    """NFC and lower case, character by character (a final sigma is not special)."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: printable
     Latin-1 bytes stand for themselves, the others follow from U+0100."""
@@ -48,148 +53,174 @@ def byte_symbols() -> list[str]:
 
 
 class PairIndexBPE:
-    """Vocabulary, merge ranks and the bounded cache of encoded chunks of one worker."""
+    """Vocabulary, merge ranks and the bounded caches of one worker. Ids are kept as packed int32."""
 
     def __init__(self, spec: dict, most_cached: int = 400_000):
         model = spec["model"]
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
         sym = byte_symbols()
-        self.inner = [vocab[s] for s in sym]
-        self.last = [vocab[s + end] for s in sym]
-        self.ranks: dict[tuple[int, int], int] = {}
-        self.merges: list[tuple[int, int, int]] = []
-        for rank, m in enumerate(model["merges"]):
-            a, b = m if isinstance(m, list) else m.split(" ")
-            self.merges.append((vocab[a], vocab[b], vocab[a + b]))
-            self.ranks.setdefault((vocab[a], vocab[b]), rank)
+        self.inner = np.array([vocab[s] for s in sym], "int64")
+        self.last = np.array([vocab[s + end] for s in sym], "int64")
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        keys = np.array([(a << 32) | b for a, b, _ in self.merges] or [-1], "int64")
+        self.keys, self.ranks = np.unique(keys, return_index=True)  # of a pair listed twice, the first rank
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = [names.get(i) for i in range(max(names) + 1)]
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pieces: dict[str, array] = {}
-        self.chunks: dict[str, array] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.most_cached = most_cached
 
     # --- splitting ---------------------------------------------------------------------
     def split(self, text: str) -> list[str]:
         return _CHUNK.findall(text) if _ODD.search(text) else text.split()
 
-    def parts(self, chunk: str) -> list[str | int]:
-        """Pieces of a chunk in order; special tokens as their ids."""
-        if not chunk.isascii():
-            runs = self.cut.split(chunk) if self.cut and "<" in chunk else [chunk]
-            runs = [r if r in self.special else unicodedata.normalize("NFC", r).replace("Σ", "σ").lower() for r in runs]
-        else:
-            runs = self.cut.split(chunk) if self.cut and "<" in chunk else [chunk]
-            runs = [r if r in self.special else r.lower() for r in runs]
-        out: list[str | int] = []
-        for r in runs:
-            if r in self.special:
-                out.append(self.special[r])
-            elif r.isalpha() and "'" not in r and r.isascii():
-                out.append(r)
-            elif r:
-                out.extend(_PIECE.findall(r))
+    def parts(self, chunks: list[str]) -> list[list[str]]:
+        """Pieces of each chunk in order; a special token is a piece that starts with a line end."""
+        whole = "\n".join(chunks)
+        if self.cut and self.cut.search(whole):
+            # no chunk holds white space, so line ends part chunks and carriage returns part runs
+            runs = [r if r in self.special else normal(r) for r in self.cut.sub("\r\\1\r", whole).split("\r")]
+            out: list[list[str]] = [[]]
+            for r in runs:
+                if r in self.special:
+                    out[-1].append("\n" + r)
+                    continue
+                for p in _PIECE_OR_END.findall(r):
+                    if p == "\n":
+                        out.append([])
+                    else:
+                        out[-1].append(p)
+            return out
+        out = [[]]
+        own = out[0]
+        for p in _PIECE_OR_END.findall(normal(whole)):
+            if p == "\n":
+                own = []
+                out.append(own)
+            else:
+                own.append(p)
         return out
 
     # --- merging -----------------------------------------------------------------------
-    def merge(self, pieces: list[str]) -> list[array]:
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols, -1 for none."""
+        key = (left << 32) | right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.ranks[at], -1)
+
+    def merge(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece, by the pair occurrence index over all of them."""
-        sym: list[int] = []
-        nxt: list[int] = []
-        prv: list[int] = []
-        starts: list[int] = []
-        inner, last, ranks = self.inner, self.last, self.ranks
-        index: defaultdict[int, list[int]] = defaultdict(list)  # rank of a pair -> left positions
-        for p in pieces:
-            raw = p.encode()
-            s, n = len(sym), len(raw)
-            starts.append(s)
-            sym.extend([inner[b] for b in raw[:-1]])
-            sym.append(last[raw[-1]])
-            prv.append(-1)
-            prv.extend(range(s, s + n - 1))
-            nxt.extend(range(s + 1, s + n))
-            nxt.append(-1)
-            for i in range(s, s + n - 1):
-                r = ranks.get((sym[i], sym[i + 1]))
-                if r is not None:
-                    index[r].append(i)
-        active = list(index)
-        heapify(active)
+        if not pieces:
+            return []
+        raw = [p.encode() for p in pieces]
+        sizes = np.array([len(r) for r in raw], "int64")
+        stops = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(raw), "uint8")
+        n = len(data)
+        sym = self.inner[data]
+        sym[stops - 1] = self.last[data[stops - 1]]
+        nxt = np.arange(1, n + 1)
+        nxt[stops - 1] = -1
+        prv = np.arange(-1, n - 1)
+        prv[stops - sizes] = -1
+        # the index: rank -> arrays of left positions
+        at = np.flatnonzero(nxt >= 0)
+        r = self.rank_of(sym[at], sym[at + 1])
+        at, r = at[r >= 0], r[r >= 0]
+        index: dict[int, list[np.ndarray]] = {}
+        active: list[int] = []
+
+        def enter(ranks: np.ndarray, where: np.ndarray) -> None:
+            if len(ranks) == 1:
+                groups = ((int(ranks[0]), where),)
+            else:
+                order = np.argsort(ranks, kind="stable")
+                ranks, where = ranks[order], where[order]
+                cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+                groups = zip(ranks[np.concatenate([[0], cuts])].tolist(), np.split(where, cuts)) if len(cuts) else ((int(ranks[0]), where),)
+            for k, g in groups:
+                if k in index:
+                    index[k].append(g)
+                else:
+                    index[k] = [g]
+                    heappush(active, k)
+
+        if len(at):
+            enter(r, at)
         while active:
             rank = heappop(active)
             left, right, made = self.merges[rank]
-            at = index.pop(rank, None)
-            if at is None:
+            lists = index.pop(rank)
+            i = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+            j = nxt[i]
+            ok = (sym[i] == left) & (j >= 0)
+            ok &= sym[j] == right
+            i, j = i[ok], j[ok]
+            if left == right and len(i) > 1:  # of overlapping pairs the leftmost counts
+                taken, kept = -1, []
+                for k, (x, y) in enumerate(zip(np.sort(i).tolist(), np.sort(j).tolist())):
+                    if x != taken:
+                        kept.append(k)
+                        taken = y
+                i, j = np.sort(i)[kept], np.sort(j)[kept]
+            if not len(i):
                 continue
-            at.sort()
-            for i in at:
-                j = nxt[i]
-                if sym[i] != left or j < 0 or sym[j] != right:
-                    continue  # taken by an earlier merge
-                sym[i], sym[j] = made, -1
-                k, h = nxt[j], prv[i]
-                nxt[i] = k
-                if k >= 0:
-                    prv[k] = i
-                    r = ranks.get((made, sym[k]))
-                    if r is not None:
-                        if r not in index:
-                            heappush(active, r)
-                        index[r].append(i)
-                if h >= 0:
-                    r = ranks.get((sym[h], made))
-                    if r is not None:
-                        if r not in index:
-                            heappush(active, r)
-                        index[r].append(h)
-        out = []
-        for s in starts:
-            ids = array("i")
-            while s >= 0:
-                ids.append(sym[s])
-                s = nxt[s]
-            out.append(ids)
-        return out
+            k = nxt[j]
+            sym[i], sym[j] = made, -1
+            nxt[i] = k
+            inside = k >= 0
+            prv[k[inside]] = i[inside]
+            h = prv[i]
+            before = h >= 0
+            where = np.concatenate([i[inside], h[before]])
+            if len(where):
+                r = self.rank_of(sym[where], sym[nxt[where]])
+                found = r >= 0
+                if found.any():
+                    enter(r[found], where[found])
+        alive = sym >= 0
+        ids = sym[alive].astype("int32").tobytes()
+        ends = (np.cumsum(alive)[stops - 1] * 4).tolist()
+        return [ids[s:e] for s, e in zip([0, *ends], ends)]
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not cached yet, their pieces together."""
         if len(self.chunks) + len(chunks) > self.most_cached:
             self.chunks.clear()
+        new_chunks = list(chunks - self.chunks.keys())
+        if not new_chunks:
+            return
+        parts = self.parts(new_chunks)
+        wanted = {p for ps in parts for p in ps}
+        if len(self.pieces) + len(wanted) > self.most_cached:
             self.pieces.clear()
-        parts = {c: self.parts(c) for c in chunks if c not in self.chunks}
-        new = list({p for ps in parts.values() for p in ps if isinstance(p, str)} - self.pieces.keys())
+        new = list(wanted - self.pieces.keys())
+        for p in [p for p in new if p[0] == "\n"]:
+            self.pieces[p] = np.array([self.special[p[1:]]], "int32").tobytes()
+        new = [p for p in new if p[0] != "\n"]
         self.pieces.update(zip(new, self.merge(new)))
-        for c, ps in parts.items():
-            if len(ps) == 1 and isinstance(ps[0], str):
-                self.chunks[c] = self.pieces[ps[0]]
-            else:
-                ids = array("i")
-                for p in ps:
-                    if isinstance(p, str):
-                        ids.extend(self.pieces[p])
-                    else:
-                        ids.append(p)
-                self.chunks[c] = ids
+        known = self.pieces
+        for c, ps in zip(new_chunks, parts):
+            self.chunks[c] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
 
-    def encode_batch(self, texts: list[str | None]) -> tuple[array, list[int]]:
-        """All ids one after another, and the end offset of each text."""
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
         split = [self.split(t) if t else () for t in texts]
         self.learn(set().union(*split))
-        flat, ends, known = array("i"), [], self.chunks
-        for chunks in split:
-            for c in chunks:
-                flat.extend(known[c])
-            ends.append(len(flat))
-        return flat, ends
-
-    def decode(self, ids) -> str:
+        known = self.chunks
+        return [np.frombuffer(b"".join([known[c] for c in chunks]), "int32") for chunks in split]
+
+    def decode(self, ids: list[int]) -> str:
         """Token texts joined by a space (the vocabulary file names no decoder); unknown ids are skipped."""
-        tokens = self.tokens
+        tokens, most = self.tokens, len(self.tokens)
         try:
             return " ".join([tokens[i] for i in ids])
-        except KeyError:
-            return " ".join([tokens[i] for i in ids if i in tokens])
+        except (IndexError, TypeError):
+            return " ".join([tokens[i] for i in ids if i is not None and 0 <= i < most and tokens[i] is not None])
 
 
 def read_vocabulary(path: str) -> str:
@@ -213,7 +244,7 @@ def _mapper(df: DataFrame, path: str, add: list[tuple[str, T.DataType]], make):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = PairIndexBPE(json.loads(shared.value))
-        for b in slices(batches, column, 8 << 20):
+        for b in slices(batches, column, 12 << 20):
             cols = [b.column(b.schema.get_field_index(f.name)) for f in keep]
             yield pa.RecordBatch.from_arrays(cols + make(bpe, b), names=[f.name for f in keep] + names)
 
@@ -225,12 +256,11 @@ class _Encode:
         self.column, self.decoded = column, decoded
 
     def __call__(self, bpe: PairIndexBPE, b: pa.RecordBatch) -> list[pa.Array]:
-        flat, ends = bpe.encode_batch(b.column(b.schema.get_field_index(self.column)).to_pylist())
-        offsets = pa.array(np.concatenate([[0], ends]).astype("int32"))
-        out = [pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(flat, "int32") if len(flat) else np.empty(0, "int32")))]
+        ids = bpe.encode_batch(b.column(b.schema.get_field_index(self.column)).to_pylist())
+        offsets = np.cumsum([0, *[len(x) for x in ids]]).astype("int32")
+        out: list[pa.Array] = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))]
         if self.decoded:
-            starts = [0, *ends]
-            out.append(pa.array([bpe.decode(flat[s:e]) for s, e in zip(starts, ends)], pa.string()))
+            out.append(pa.array([bpe.decode(x.tolist()) for x in ids], pa.string()))
         return out
 
 
@@ -255,17 +285,4 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the column ``text`` decoded from the array column ``ids`` (null: empty text)."""
-    slim = _Decode(ids)
-    shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    keep = [f for f in df.schema.fields if f.name != text]
-    schema = T.StructType([*keep, T.StructField(text, T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PairIndexBPE(json.loads(shared.value))
-        for b in batches:
-            for k in range(0, b.num_rows, 500):
-                part = b.slice(k, 500)
-                cols = [part.column(part.schema.get_field_index(f.name)) for f in keep]
-                yield pa.RecordBatch.from_arrays(cols + slim(bpe, part), names=[f.name for f in keep] + [text])
-
-    return df.mapInArrow(run, schema)
+    return _mapper(df, path, [(text, T.StringType())], _Decode(ids))

@@ -67,12 +67,13 @@ def py_held_out(doc_id, mod: int, remainder: int) -> bool:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds at most ``most_bytes`` per slice (one row at
+    """Cut Arrow batches so that ``column`` holds at most ``most_bytes`` (or list items) per slice (one row at
     least); bounds the memory of a task whatever the batch size and text lengths."""
     for b in batches:
         n, start = b.num_rows, 0
         col = b.column(b.schema.get_field_index(column))
-        sizes = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+        size = pa.compute.list_value_length if pa.types.is_list(col.type) else pa.compute.binary_length
+        sizes = size(col).fill_null(0).to_numpy(zero_copy_only=False)
         total = 0
         for i in range(n):
             total += int(sizes[i]) + 64

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, langid, merkle, superkmer, toxicity, warc
+from streamlens.llm import bpe, ctw, langid, merkle, superkmer, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -52,6 +52,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", test.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op6_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learned from nine tenths of them."""
+    test = held_out(F.col("doc_id"), 10, 0)
+    found = ctw.score(_documents(spark, sf_dir), ~test)
+    return found.select("doc_id", test.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated 20-word windows, as digests."""
     kept = superkmer.remove_repeats(_documents(spark, sf_dir))
@@ -67,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op5_language_id": op5_language_id,
+    "op6_ctw": op6_ctw,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,

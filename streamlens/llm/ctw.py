@@ -282,7 +282,7 @@ def _answered(asked: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
             distinct = sum(1 for n in total.values() if n)
             for r in rows:
                 if r[1] == _GRAMS:
-                    yield _batch([(r[2], _GRAMS, bucket, 0, _squeeze(logp[np.searchsorted(codes, _unpack_sorted(r[4]))].tobytes()))], _ANSWER)
+                    yield _batch([(r[2], _GRAMS, bucket, 0, _squeeze(logp[np.searchsorted(codes, _unpack_sorted(r[4]))].astype("float32").tobytes()))], _ANSWER)
                 elif r[1] == _WORDS:
                     words = _words_of(r[4])
                     n = np.fromiter(map(total.__getitem__, words), "int64", len(words))
@@ -305,7 +305,7 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     value = np.empty(len(distinct))
     for b, at in enumerate(_by_bucket(_mix(distinct[order]), buckets)):
         if len(at):
-            value[order[at]] = np.frombuffer(_open(kinds[_GRAMS][b]), "float64")
+            value[order[at]] = np.frombuffer(_open(kinds[_GRAMS][b]), "float32")
     total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
     del codes, place
     words = sorted({w for t in texts for w in t.split()} | {_END_TOKEN})
@@ -322,7 +322,7 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     return out
 
 
-def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 4, per_chunk: int = 12 << 20) -> DataFrame:
+def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 5, per_chunk: int = 12 << 20) -> DataFrame:
     """Rows (doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for every row of
     ``df``, the model learned from the rows where ``train`` holds: ``score`` is the tree's log10 probability
     of the text, ``base_score`` that of its words and the end under smoothed word counts."""

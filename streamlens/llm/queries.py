@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, ctw, langid, merkle, superkmer, toxicity, warc
+from streamlens.llm import bpe, ctw, langid, lines, merkle, superkmer, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -43,6 +43,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", test.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line, exactly or nearly."""
+    return lines.report(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by rank-order profiles learned from two thirds of them."""
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -73,6 +78,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_ctw": op6_ctw,
     "op7_substring_dedup": op7_substring_dedup,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, ctw, langid, lines, merkle, superkmer, toxicity, warc
+from streamlens.llm import bpe, ctw, decontaminate, langid, lines, merkle, superkmer, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -26,6 +26,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage like a benchmark item, with the most similar window."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leaks(_documents(spark, sf_dir), items).drop("row")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archives in the shared folder and read back."""
     path = fresh_path(spark, "warc")
@@ -76,6 +82,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,

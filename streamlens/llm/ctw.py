@@ -32,25 +32,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import parts_for, slices, written
+from streamlens.llm.chunks import batch, by_bucket, chunked, documents, grouped, mix, pack_sorted, squeeze, unpack_sorted, unsqueeze
+from streamlens.llm.common import parts_for, written
 
 END = 256
 _BASE = 512  # a symbol takes nine bits of a gram's code
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _END_TOKEN = b""  # no word is empty, so this stands for the end
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x.astype("uint64")
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all symbols with their contexts, text after text, and the number of each text's symbols."""
     sizes = np.array([len(t) + 1 for t in texts], "int64")
@@ -72,76 +64,14 @@ def _tokens(text: bytes) -> list[bytes]:
     return [*text.split(), _END_TOKEN]
 
 
-def _squeeze(x: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(x)
-
-
-def _open(x: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(x)
-
-
-def _pack_sorted(codes: np.ndarray) -> bytes:
-    return _squeeze(np.diff(codes, prepend=0).tobytes())
-
-
-def _unpack_sorted(x: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(_open(x), "int64"))
-
-
-_PACK = "chunk int, ids binary, train binary, sizes binary, data binary"
-
-
-def _chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    """Documents (id, train, text) packed by chunk: compressed texts, one row per chunk and slice."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 24 << 20):
-            chunk = b.column(0).to_numpy()
-            ids, train, text = (b.column(i).to_pylist() for i in (1, 2, 3))
-            out: list[tuple] = []
-            order = np.argsort(chunk, kind="stable")
-            cuts = np.flatnonzero(np.concatenate([[True], chunk[order][1:] != chunk[order][:-1], [True]])) if len(order) else []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                mine = order[lo:hi].tolist()
-                raw = [(text[i] or "").encode() for i in mine]
-                known = np.array([0 if ids[i] is None else ids[i] for i in mine], "int64")
-                flags = np.array([(1 if train[i] else 0) + (2 if ids[i] is None else 0) for i in mine], "uint8")
-                out.append((int(chunk[mine[0]]), known.tobytes(), flags.tobytes(), np.array([len(r) for r in raw], "int64").tobytes(), _squeeze(b"".join(raw))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)], names=["chunk", "ids", "train", "sizes", "data"])
-
-    hashed = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "id", "train", "text")
-    return hashed.mapInArrow(run, _PACK)
-
-
-def _documents(rows: list[tuple]) -> tuple[list[int | None], list[bool], list[bytes]]:
-    """The documents of packed rows; texts in lower case."""
-    ids: list[int | None] = []
-    train: list[bool] = []
-    texts: list[bytes] = []
-    for i, f, n, data in rows:
-        flags = np.frombuffer(f, "uint8")
-        ids += [None if g & 2 else k for k, g in zip(np.frombuffer(i, "int64").tolist(), flags.tolist())]
-        train += (flags & 1).astype(bool).tolist()
-        whole = _open(data).translate(_LOWER)
-        ends = np.cumsum(np.frombuffer(n, "int64")).tolist()
-        texts += [whole[s:e] for s, e in zip([0, *ends], ends)]
-    return ids, train, texts
-
-
 _GRAMS, _WORDS = 0, 1
 _ASK = [("bucket", pa.int32()), ("kind", pa.int32()), ("chunk", pa.int32()), ("tokens", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 _ASK_SCHEMA = "bucket int, kind int, chunk int, tokens long, keys binary, counts binary"
 
 
-def _by_bucket(hashes: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """For each bucket the positions of its keys, in order."""
-    b = (hashes % np.uint64(buckets)).astype("int64")
-    order = np.argsort(b, kind="stable")
-    return np.split(order, np.searchsorted(b[order], np.arange(1, buckets)))
-
-
 def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator[tuple]:
     """What a chunk asks of each bucket: its distinct grams and words, with their training counts."""
-    _, train, texts = _documents(rows)
+    _, train, texts = documents(rows)
     own = [t for t, y in zip(texts, train) if y]
     other = [t for t, y in zip(texts, train) if not y]
     codes, n = np.unique(gram_codes(own, depth)[0], return_counts=True)
@@ -149,9 +79,9 @@ def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator
     codes, n = np.concatenate([codes, extra]), np.concatenate([n, np.zeros(len(extra), "int64")])
     order = np.argsort(codes)
     codes, n = codes[order], n[order].astype("int64")
-    for b, at in enumerate(_by_bucket(_mix(codes), buckets)):
+    for b, at in enumerate(by_bucket(mix(codes), buckets)):
         if len(at):
-            yield b, _GRAMS, chunk, 0, _pack_sorted(codes[at]), _squeeze(n[at].tobytes())
+            yield b, _GRAMS, chunk, 0, pack_sorted(codes[at]), squeeze(n[at].tobytes())
     seen: Counter[bytes] = Counter()
     for t in own:
         seen.update(t.split())
@@ -164,15 +94,15 @@ def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator
                 seen[w] = 0
     words = sorted(seen)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
-    for b, at in enumerate(_by_bucket(hashes, buckets)):
+    for b, at in enumerate(by_bucket(hashes, buckets)):
         if len(at):
             mine = [words[i] for i in at.tolist()]
-            yield b, _WORDS, chunk, tokens, _squeeze(b" ".join(mine)), _squeeze(np.fromiter(map(seen.__getitem__, mine), "int64", len(mine)).tobytes())
+            yield b, _WORDS, chunk, tokens, squeeze(b" ".join(mine)), squeeze(np.fromiter(map(seen.__getitem__, mine), "int64", len(mine)).tobytes())
             tokens = 0  # counted once
 
 
 def _words_of(x: bytes) -> list[bytes]:
-    return _open(x).split(b" ")
+    return unsqueeze(x).split(b" ")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -235,25 +165,6 @@ def log_probabilities(grams: DataFrame, depth: int) -> DataFrame:
     return p.groupBy("code").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1")))).alias("logp"))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of a sorted partition by their key column."""
-    at, rows = None, []
-    for b in batches:
-        for r in zip(*[c.to_pylist() for c in b.columns]):
-            if r[key] != at and rows:
-                yield at, rows
-                rows = []
-            at = r[key]
-            rows.append(r)
-    if rows:
-        yield at, rows
-
-
-def _batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
-    names, types = zip(*fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
-
 _ANSWER = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("words", pa.int64()), ("data", pa.binary())]
 _SCORES = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())]
 
@@ -264,11 +175,11 @@ def _answered(asked: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             codes, logp = b.column(0).to_numpy(), b.column(1).to_numpy()
-            out = [(k, -1, -1, 0, codes[at].tobytes(), logp[at].tobytes()) for k, at in enumerate(_by_bucket(_mix(codes), buckets)) if len(at)]
-            yield _batch(out, _ASK)
+            out = [(k, -1, -1, 0, codes[at].tobytes(), logp[at].tobytes()) for k, at in enumerate(by_bucket(mix(codes), buckets)) if len(at)]
+            yield batch(out, _ASK)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _grouped(batches):
+        for bucket, rows in grouped(batches):
             held = [r for r in rows if r[1] == -1]
             codes = np.concatenate([np.frombuffer(r[4], "int64") for r in held]) if held else np.zeros(0, "int64")
             logp = np.concatenate([np.frombuffer(r[5], "float64") for r in held]) if held else np.zeros(0)
@@ -277,16 +188,16 @@ def _answered(asked: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
             total: dict[bytes, int] = {}
             for r in rows:
                 if r[1] == _WORDS:
-                    for w, n in zip(_words_of(r[4]), np.frombuffer(_open(r[5]), "int64").tolist()):
+                    for w, n in zip(_words_of(r[4]), np.frombuffer(unsqueeze(r[5]), "int64").tolist()):
                         total[w] = total.get(w, 0) + n
             distinct = sum(1 for n in total.values() if n)
             for r in rows:
                 if r[1] == _GRAMS:
-                    yield _batch([(r[2], _GRAMS, bucket, 0, _squeeze(logp[np.searchsorted(codes, _unpack_sorted(r[4]))].astype("float32").tobytes()))], _ANSWER)
+                    yield batch([(r[2], _GRAMS, bucket, 0, squeeze(logp[np.searchsorted(codes, unpack_sorted(r[4]))].astype("float32").tobytes()))], _ANSWER)
                 elif r[1] == _WORDS:
                     words = _words_of(r[4])
                     n = np.fromiter(map(total.__getitem__, words), "int64", len(words))
-                    yield _batch([(r[2], _WORDS, bucket, distinct, _squeeze(n.tobytes()))], _ANSWER)
+                    yield batch([(r[2], _WORDS, bucket, distinct, squeeze(n.tobytes()))], _ANSWER)
                     distinct = 0  # told once per bucket
 
     known = model.select("code", "logp").mapInArrow(pack, _ASK_SCHEMA)
@@ -295,7 +206,7 @@ def _answered(asked: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
 
 
 def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets: int) -> list[tuple]:
-    ids, _, texts = _documents(packed)
+    ids, _, texts = documents(packed)
     kinds: dict[int, dict[int, bytes]] = {_GRAMS: {}, _WORDS: {}}
     for kind, bucket, data in answers:
         kinds[kind][bucket] = data
@@ -303,17 +214,17 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     place, distinct = pd.factorize(codes)
     order = np.argsort(distinct)
     value = np.empty(len(distinct))
-    for b, at in enumerate(_by_bucket(_mix(distinct[order]), buckets)):
+    for b, at in enumerate(by_bucket(mix(distinct[order]), buckets)):
         if len(at):
-            value[order[at]] = np.frombuffer(_open(kinds[_GRAMS][b]), "float32")
+            value[order[at]] = np.frombuffer(unsqueeze(kinds[_GRAMS][b]), "float32")
     total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
     del codes, place
     words = sorted({w for t in texts for w in t.split()} | {_END_TOKEN})
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
     count: dict[bytes, int] = {}
-    for b, at in enumerate(_by_bucket(hashes, buckets)):
+    for b, at in enumerate(by_bucket(hashes, buckets)):
         if len(at):
-            count.update(zip([words[i] for i in at.tolist()], np.frombuffer(_open(kinds[_WORDS][b]), "int64").tolist()))
+            count.update(zip([words[i] for i in at.tolist()], np.frombuffer(unsqueeze(kinds[_WORDS][b]), "int64").tolist()))
     logs = {w: math.log10(n + 0.1) for w, n in count.items()}
     out = []
     for i, t, s in zip(ids, texts, total.tolist()):
@@ -333,17 +244,17 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     chunks = buckets = parts_for(total, per_chunk)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, rows in _grouped(batches):
+        for chunk, rows in grouped(batches):
             for x in _gather([r[1:] for r in rows], chunk, depth, buckets):
-                yield _batch([x], _ASK)
+                yield batch([x], _ASK)
 
-    packed = _chunked(docs, chunks)
+    packed = chunked(docs, chunks)
     asked = written(packed.repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(gather, _ASK_SCHEMA), "ctw-asked")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches):
-            codes = np.concatenate([_unpack_sorted(r[1]) for r in rows])
-            n = np.concatenate([np.frombuffer(_open(r[2]), "int64") for r in rows])
+        for _, rows in grouped(batches):
+            codes = np.concatenate([unpack_sorted(r[1]) for r in rows])
+            n = np.concatenate([np.frombuffer(unsqueeze(r[2]), "int64") for r in rows])
             distinct, at = np.unique(codes, return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(np.bincount(at, n, len(distinct)).astype("int64"))], names=["code", "n"])
 
@@ -360,9 +271,9 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
 
 def _finished(packed: DataFrame, answers: DataFrame, chunks: int, depth: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches):
+        for _, rows in grouped(batches):
             told = [(r[1], r[2], r[6]) for r in rows if r[1] >= 0]
-            yield _batch(_score_chunk([r[3:7] for r in rows if r[1] < 0], told, depth, buckets), _SCORES)
+            yield batch(_score_chunk([r[3:7] for r in rows if r[1] < 0], told, depth, buckets), _SCORES)
 
     empty = F.lit(None).cast("binary")
     both = packed.select("chunk", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), "ids", "train", "sizes", "data").unionByName(

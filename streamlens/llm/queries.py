@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, ctw, decontaminate, langid, lines, merkle, superkmer, toxicity, warc
+from streamlens.llm import bpe, ctw, decontaminate, langid, lines, merkle, sigtree, superkmer, toxicity, warc
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -76,6 +76,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by the Jaccard similarity of their five-word shingles."""
+    return sigtree.join(_documents(spark, sf_dir))
+
+
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return merkle.edited_pairs(_documents(spark, sf_dir))
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_ctw": op6_ctw,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
 }

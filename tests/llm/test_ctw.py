@@ -10,11 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from streamlens.llm import ctw, queries
+from streamlens.llm import chunks, ctw, queries
 
 
 def lower(t):
-    return (t or "").encode().translate(ctw._LOWER)
+    return (t or "").encode().translate(chunks.LOWER)
 
 
 def decisions(sym):

@@ -64,15 +64,16 @@ def batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-PACKED = "chunk int, ids binary, train binary, sizes binary, data binary"
+PACKED = "chunk int, ids binary, tags binary, sizes binary, data binary"
 
 
 def chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    """Documents (id, train, text) packed by chunk: compressed texts, one row per chunk and slice."""
+    """Documents (id, tag, text), all but the text longs, packed by chunk: compressed texts, one row per
+    chunk and slice. Null ids are kept; a null tag becomes 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 24 << 20):
             chunk = b.column(0).to_numpy()
-            ids, train, text = (b.column(i).to_pylist() for i in (1, 2, 3))
+            ids, tags, text = (b.column(i).to_pylist() for i in (1, 2, 3))
             out: list[tuple] = []
             order = np.argsort(chunk, kind="stable")
             cuts = np.flatnonzero(np.concatenate([[True], chunk[order][1:] != chunk[order][:-1], [True]])) if len(order) else []
@@ -80,24 +81,24 @@ def chunked(docs: DataFrame, chunks: int) -> DataFrame:
                 mine = order[lo:hi].tolist()
                 raw = [(text[i] or "").encode() for i in mine]
                 known = np.array([0 if ids[i] is None else ids[i] for i in mine], "int64")
-                flags = np.array([(1 if train[i] else 0) + (2 if ids[i] is None else 0) for i in mine], "uint8")
-                out.append((int(chunk[mine[0]]), known.tobytes(), flags.tobytes(), np.array([len(r) for r in raw], "int64").tobytes(), squeeze(b"".join(raw))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)], names=["chunk", "ids", "train", "sizes", "data"])
+                none = np.array([ids[i] is None for i in mine], "int64")
+                out.append((int(chunk[mine[0]]), np.stack([known, none]).tobytes(), np.array([tags[i] or 0 for i in mine], "int64").tobytes(), np.array([len(r) for r in raw], "int64").tobytes(), squeeze(b"".join(raw))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)], names=["chunk", "ids", "tags", "sizes", "data"])
 
-    hashed = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "id", "train", "text")
+    hashed = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "id", "tag", "text")
     return hashed.mapInArrow(run, PACKED)
 
 
-def documents(rows: list[tuple]) -> tuple[list[int | None], list[bool], list[bytes]]:
-    """The documents of packed rows; texts in lower case."""
+def documents(rows: list[tuple]) -> tuple[list[int | None], list[int], list[bytes]]:
+    """The (ids, tags, texts) of packed rows; texts in lower case."""
     ids: list[int | None] = []
-    train: list[bool] = []
+    tags: list[int] = []
     texts: list[bytes] = []
-    for i, f, n, data in rows:
-        flags = np.frombuffer(f, "uint8")
-        ids += [None if g & 2 else k for k, g in zip(np.frombuffer(i, "int64").tolist(), flags.tolist())]
-        train += (flags & 1).astype(bool).tolist()
+    for i, g, n, data in rows:
+        known, none = np.frombuffer(i, "int64").reshape(2, -1).tolist()
+        ids += [None if x else k for k, x in zip(known, none)]
+        tags += np.frombuffer(g, "int64").tolist()
         whole = unsqueeze(data).translate(LOWER)
         ends = np.cumsum(np.frombuffer(n, "int64")).tolist()
         texts += [whole[s:e] for s, e in zip([0, *ends], ends)]
-    return ids, train, texts
+    return ids, tags, texts

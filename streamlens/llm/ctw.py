@@ -239,7 +239,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     of the text, ``base_score`` that of its words and the end under smoothed word counts."""
     if not 0 <= depth <= 6:
         raise ValueError("depth must be between 0 and 6")
-    docs = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
+    docs = df.select(F.col(doc_id).cast("long").alias("id"), train.cast("long").alias("tag"), F.col(text).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = buckets = parts_for(total, per_chunk)
 
@@ -276,7 +276,7 @@ def _finished(packed: DataFrame, answers: DataFrame, chunks: int, depth: int, bu
             yield batch(_score_chunk([r[3:7] for r in rows if r[1] < 0], told, depth, buckets), _SCORES)
 
     empty = F.lit(None).cast("binary")
-    both = packed.select("chunk", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), "ids", "train", "sizes", "data").unionByName(
-        answers.select("chunk", "kind", "bucket", empty.alias("ids"), empty.alias("train"), empty.alias("sizes"), "data"))
+    both = packed.select("chunk", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), "ids", "tags", "sizes", "data").unionByName(
+        answers.select("chunk", "kind", "bucket", empty.alias("ids"), empty.alias("tags"), empty.alias("sizes"), "data"))
     dealt = both.repartition(chunks, "chunk").sortWithinPartitions("chunk", "kind")
     return dealt.mapInArrow(run, "doc_id long, n_tokens long, n_known long, log_counts double, score double, n_bytes long")

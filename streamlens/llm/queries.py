@@ -78,7 +78,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by the Jaccard similarity of their five-word shingles."""
-    return sigtree.join(_documents(spark, sf_dir))
+    return sigtree.join(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

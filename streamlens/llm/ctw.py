@@ -13,8 +13,10 @@ that training lacks predicts as its longest suffix that it has. The code length
 
 How the work is spread: documents are dealt by hash to chunks of bounded size. A chunk lists its distinct
 contexts-with-symbol (grams) and words with their training counts, packed per hash bucket and compressed;
-buckets add them up. The tree is built from the summed grams with Spark aggregations, one level per depth,
-and gives each gram its log-probability once. Buckets then answer each chunk with the values of its own
+buckets add them up. A bucket holds all grams that end in the same two context symbols, so it builds the
+levels from the full depth up to two by itself; the two levels above (at most 257 x 256 and 256 nodes) are
+summed by Spark, and their predictions, of that bounded size, are broadcast. Buckets give each gram its
+log-probability once and answer each chunk with the values of its own
 grams and words only, so neither model nor vocabulary has to fit into one task or the driver. Frequent
 words and grams reach a bucket once per chunk, not once per occurrence.
 
@@ -60,15 +62,16 @@ def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return code[real], sizes
 
 
-def _tokens(text: bytes) -> list[bytes]:
-    return [*text.split(), _END_TOKEN]
-
-
 _GRAMS, _WORDS = 0, 1
 _ASK = [("bucket", pa.int32()), ("kind", pa.int32()), ("chunk", pa.int32()), ("tokens", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 _ASK_SCHEMA = "bucket int, kind int, chunk int, tokens long, keys binary, counts binary"
 
 
+def _spread(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes that deal grams to buckets: by their last two context symbols; all together without two."""
+    return mix(_cut(codes, 2) >> 9) if depth >= 2 else np.zeros(len(codes), "uint64")
+
+
 def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator[tuple]:
     """What a chunk asks of each bucket: its distinct grams and words, with their training counts."""
     _, train, texts = documents(rows)
@@ -79,7 +82,7 @@ def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator
     codes, n = np.concatenate([codes, extra]), np.concatenate([n, np.zeros(len(extra), "int64")])
     order = np.argsort(codes)
     codes, n = codes[order], n[order].astype("int64")
-    for b, at in enumerate(by_bucket(mix(codes), buckets)):
+    for b, at in enumerate(by_bucket(_spread(codes, depth), buckets)):
         if len(at):
             yield b, _GRAMS, chunk, 0, pack_sorted(codes[at]), squeeze(n[at].tobytes())
     seen: Counter[bytes] = Counter()
@@ -105,103 +108,161 @@ def _words_of(x: bytes) -> list[bytes]:
     return unsqueeze(x).split(b" ")
 
 
-def _log_gamma(x: Column) -> Column:
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural log of the gamma function for x > 0, by Stirling's series after a shift of eight."""
-    shift = x
+    shift = x.copy()
     for i in range(1, 8):
-        shift = shift * (x + i)
+        shift *= x + i
     z = x + 8
-    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - F.log(shift)
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - np.log(shift)
+
 
+def _estimate(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Natural log of the Krichevsky-Trofimov estimate of n0 zeros and n1 ones."""
+    return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - math.log(math.pi)
 
-def _decisions(grams: DataFrame) -> DataFrame:
-    """Rows (ctx, node, bit, ...) of the decisions of each gram: node 0 asks for the end, nodes 1 to
-    255 are the inner nodes of a byte's binary tree."""
-    sym = (F.col("code") % _BASE).cast("int")
-    steps = [F.struct(F.lit(0).alias("node"), (sym == END).cast("int").alias("bit"))]
+
+def decisions(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gram index, key, bit) of all decisions of the grams; a key is ctx * 512 + node. Node 0 asks for the
+    end, nodes 1 to 255 are the inner nodes of a byte's binary tree."""
+    ctx, sym = codes & ~np.int64(_BASE - 1), codes & (_BASE - 1)
+    at = np.arange(len(codes))
+    inner = np.flatnonzero(sym != END)
+    which, keys, bits = [at], [ctx], [(sym == END).astype("int64")]
     for j in range(8):
-        steps.append(F.struct(F.shiftright(sym.bitwiseOR(F.lit(256)), 8 - j).alias("node"), F.shiftright(sym, 7 - j).bitwiseAND(F.lit(1)).alias("bit")))
-    every = F.when(sym == END, F.array(steps[0])).otherwise(F.array(*steps))
-    out = grams.select("*", F.explode(every).alias("d"))
-    return out.select(*grams.columns, F.shiftright("code", 9).alias("ctx"), F.col("d.node").alias("node"), F.col("d.bit").alias("bit"))
-
-
-def log_probabilities(grams: DataFrame, depth: int) -> DataFrame:
-    """Rows (code, logp): the tree's log10 probability of each gram's symbol after its context, from
-    rows (code, n) with distinct codes; n = 0 for grams that training lacks."""
-    level: dict[int, DataFrame] = {}
-    d = _decisions(grams)
-    ones = F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).cast("double")
-    zeros = F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).cast("double")
-
-    def estimated(df: DataFrame) -> DataFrame:
-        pe = _log_gamma(F.col("n0") + 0.5) + _log_gamma(F.col("n1") + 0.5) - _log_gamma(F.col("n0") + F.col("n1") + 1) - math.log(math.pi)
-        return df.withColumn("pe", pe)
-
-    full = estimated(d.groupBy("ctx", "node").agg(zeros.alias("n0"), ones.alias("n1")))
-    level[depth] = written(full.withColumn("pw", F.col("pe")).withColumn("log_b", F.lit(None).cast("double")), "ctw-level")
-    for k in range(depth - 1, -1, -1):
-        up = level[k + 1].groupBy((F.col("ctx").bitwiseAND(F.lit((1 << (9 * k)) - 1))).alias("ctx"), "node").agg(
-            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("below"))
-        up = estimated(up)
-        most, least = F.greatest("pe", "below"), F.least("pe", "below")
-        up = up.withColumn("pw", math.log(0.5) + most + F.log1p(F.exp(least - most))).withColumn("log_b", F.col("pe") - F.col("below"))
-        level[k] = written(up.drop("below"), "ctw-level")
-    # downwards: done + left * KT is the prediction if the context goes no deeper
-    kt = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-    seen = F.col("n0") + F.col("n1") > 0
-    now = level[0].select("ctx", "node", F.lit(0.0).alias("done"), F.lit(1.0).alias("left"), kt.alias("kt"), F.col("log_b"))
-    for k in range(1, depth + 1):
-        above = now.select(F.col("ctx").alias("c_"), F.col("node").alias("n_"), "done", "left", F.col("kt").alias("kt_"), F.col("log_b").alias("b_"))
-        mine = level[k].join(above, (F.col("ctx").bitwiseAND(F.lit((1 << (9 * (k - 1))) - 1)) == F.col("c_")) & (F.col("node") == F.col("n_")))
-        up_share = 1 / (1 + F.exp(-F.col("b_")))  # b / (b + 1) of the context one shorter
-        now = mine.select("ctx", "node",
-                          F.when(seen, F.col("done") + F.col("left") * up_share * F.col("kt_")).otherwise(F.col("done")).alias("done"),
-                          F.when(seen, F.col("left") * (1 - up_share)).otherwise(F.col("left")).alias("left"),
-                          F.when(seen, kt).otherwise(F.col("kt_")).alias("kt"), F.when(seen, F.col("log_b")).otherwise(F.col("b_")).alias("log_b"))
-    p1 = now.select(F.col("ctx").alias("c_"), F.col("node").alias("n_"), (F.col("done") + F.col("left") * F.col("kt")).alias("p1"))
-    asked = _decisions(grams.select("code"))
-    p = asked.join(p1, (F.col("ctx") == F.col("c_")) & (F.col("node") == F.col("n_")))
-    return p.groupBy("code").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1")))).alias("logp"))
+        which.append(inner)
+        keys.append(ctx[inner] | ((sym[inner] | 256) >> (8 - j)))
+        bits.append((sym[inner] >> (7 - j)) & 1)
+    return np.concatenate(which), np.concatenate(keys), np.concatenate(bits)
+
+
+class Level:
+    """The nodes of one depth: sorted keys, counts, log Pw, log of b = Pe / (product of the children's Pw)."""
+
+    def __init__(self, keys: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None):
+        self.keys, self.n0, self.n1 = keys, n0, n1
+        pe = _estimate(n0, n1)
+        if below is None:
+            self.pw, self.log_b = pe, np.zeros(len(keys))
+        else:
+            most, least = np.maximum(pe, below), np.minimum(pe, below)
+            self.pw = math.log(0.5) + most + np.log1p(np.exp(least - most))
+            self.log_b = pe - below
+        self.seen = n0 + n1 > 0
+        self.kt = (n1 + 0.5) / (n0 + n1 + 1)
+
+    def above(self, depth: int) -> Level:
+        """The level of contexts cut to ``depth`` symbols."""
+        short = _cut(self.keys, depth)
+        keys, at = np.unique(short, return_inverse=True)
+        add = lambda x: np.bincount(at, x, len(keys))
+        return Level(keys, add(self.n0), add(self.n1), add(self.pw))
+
+
+def _cut(keys: np.ndarray, depth: int) -> np.ndarray:
+    """Keys with their contexts cut to the last ``depth`` symbols."""
+    return keys & ((1 << (9 * (depth + 1))) - 1)
+
+
+def build(codes: np.ndarray, n: np.ndarray, depth: int, down_to: int) -> list[Level]:
+    """Levels ``depth`` to ``down_to`` over the grams (n = 0 for grams that training lacks)."""
+    which, key, bit = decisions(codes)
+    count = n[which].astype("float64")
+    keys, at = np.unique(key, return_inverse=True)
+    levels = [Level(keys, np.bincount(at, count * (1 - bit), len(keys)), np.bincount(at, count * bit, len(keys)), None)]
+    for d in range(depth - 1, down_to - 1, -1):
+        levels.append(levels[-1].above(d))
+    return levels
+
+
+#: What a prediction carries downwards: the sum so far, the share left, and the node to fall back on.
+Carried = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # keys, done, left, kt, log_b
+
+
+def top(level: Level) -> Carried:
+    n = len(level.keys)
+    return level.keys, np.zeros(n), np.ones(n), np.where(level.seen, level.kt, 0.5), level.log_b
+
+
+def down(up: Carried, level: Level, depth: int) -> Carried:
+    """The predictions of a level (contexts of ``depth`` symbols) from those one symbol shorter."""
+    keys, done, left, kt, log_b = (x[np.searchsorted(up[0], _cut(level.keys, depth - 1))] for x in up)
+    with np.errstate(over="ignore"):
+        share = 1 / (1 + np.exp(-log_b))  # b / (b + 1) of the context one shorter
+    seen = level.seen
+    return (level.keys, np.where(seen, done + left * share * kt, done), np.where(seen, left * (1 - share), left),
+            np.where(seen, level.kt, kt), np.where(seen, level.log_b, log_b))
+
+
+def gram_logs(codes: np.ndarray, n: np.ndarray, depth: int, shared: Carried | None, below: int) -> np.ndarray:
+    """log10 probability of each gram's symbol after its context; ``shared`` are the predictions of the
+    contexts of ``below - 1`` symbols, over all grams (None: there are none above level 0)."""
+    levels = build(codes, n, depth, below)[::-1]
+    now = top(levels[0]) if shared is None else down(shared, levels[0], below)
+    for d, level in enumerate(levels[1:], below + 1):
+        now = down(now, level, d)
+    keys, done, left, kt, _ = now
+    which, key, bit = decisions(codes)
+    p = (done + left * kt)[np.searchsorted(keys, key)]
+    return np.bincount(which, np.log10(np.where(bit == 1, p, 1 - p)), len(codes))
 
 
 _ANSWER = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("words", pa.int64()), ("data", pa.binary())]
 _SCORES = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())]
 
 
-def _answered(asked: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
+def _summed(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of a bucket and their training counts, from rows (keys, counts)."""
+    codes = np.concatenate([unpack_sorted(r[0]) for r in rows])
+    n = np.concatenate([np.frombuffer(unsqueeze(r[1]), "int64") for r in rows])
+    distinct, at = np.unique(codes, return_inverse=True)
+    return distinct, np.bincount(at, n, len(distinct)).astype("int64")
+
+
+def _shared_levels(asked: DataFrame, depth: int, buckets: int) -> Carried | None:
+    """The predictions of contexts of one symbol (at most 257 x 256 rows), over all grams. Buckets, which
+    hold all grams that end in the same two context symbols, send the nodes of that level."""
+    if depth < 2:
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches):
+            level = build(*_summed([r[1:] for r in rows]), depth, 2)[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(_cut(level.keys, 1)), pa.array(level.n0), pa.array(level.n1), pa.array(level.pw)], names=["key", "n0", "n1", "pw"])
+
+    grams = asked.where(F.col("kind") == _GRAMS).select("bucket", "keys", "counts").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    nodes = grams.mapInArrow(run, "key long, n0 double, n1 double, pw double")
+    rows = nodes.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("pw")).orderBy("key").toArrow()
+    one = Level(*[rows[c].to_numpy() for c in ("key", "n0", "n1", "pw")])
+    return down(top(one.above(0)), one, 1)
+
+
+def _answered(asked: DataFrame, shared: Carried | None, depth: int, buckets: int) -> DataFrame:
     """Rows (chunk, kind, bucket, words, data): the values of the keys that a chunk asked a bucket for, in
     their order; the sum of ``words`` is the number of distinct training words."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            codes, logp = b.column(0).to_numpy(), b.column(1).to_numpy()
-            out = [(k, -1, -1, 0, codes[at].tobytes(), logp[at].tobytes()) for k, at in enumerate(by_bucket(mix(codes), buckets)) if len(at)]
-            yield batch(out, _ASK)
+    known = asked.sparkSession.sparkContext.broadcast(shared)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches):
-            held = [r for r in rows if r[1] == -1]
-            codes = np.concatenate([np.frombuffer(r[4], "int64") for r in held]) if held else np.zeros(0, "int64")
-            logp = np.concatenate([np.frombuffer(r[5], "float64") for r in held]) if held else np.zeros(0)
-            order = np.argsort(codes)
-            codes, logp = codes[order], logp[order]
+            grams = [r for r in rows if r[1] == _GRAMS]
+            if grams:
+                codes, n = _summed([r[4:6] for r in grams])
+                logs = gram_logs(codes, n, depth, known.value, 2 if known.value is not None else 0).astype("float32")
+                for r in grams:
+                    yield batch([(r[2], _GRAMS, bucket, 0, squeeze(logs[np.searchsorted(codes, unpack_sorted(r[4]))].tobytes()))], _ANSWER)
+            words = [r for r in rows if r[1] == _WORDS]
             total: dict[bytes, int] = {}
-            for r in rows:
-                if r[1] == _WORDS:
-                    for w, n in zip(_words_of(r[4]), np.frombuffer(unsqueeze(r[5]), "int64").tolist()):
-                        total[w] = total.get(w, 0) + n
+            for r in words:
+                for w, n in zip(_words_of(r[4]), np.frombuffer(unsqueeze(r[5]), "int64").tolist()):
+                    total[w] = total.get(w, 0) + n
             distinct = sum(1 for n in total.values() if n)
-            for r in rows:
-                if r[1] == _GRAMS:
-                    yield batch([(r[2], _GRAMS, bucket, 0, squeeze(logp[np.searchsorted(codes, unpack_sorted(r[4]))].astype("float32").tobytes()))], _ANSWER)
-                elif r[1] == _WORDS:
-                    words = _words_of(r[4])
-                    n = np.fromiter(map(total.__getitem__, words), "int64", len(words))
-                    yield batch([(r[2], _WORDS, bucket, distinct, squeeze(n.tobytes()))], _ANSWER)
-                    distinct = 0  # told once per bucket
-
-    known = model.select("code", "logp").mapInArrow(pack, _ASK_SCHEMA)
-    dealt = known.unionByName(asked).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+            for r in words:
+                own = _words_of(r[4])
+                n = np.fromiter(map(total.__getitem__, own), "int64", len(own))
+                yield batch([(r[2], _WORDS, bucket, distinct, squeeze(n.tobytes()))], _ANSWER)
+                distinct = 0  # told once per bucket
+
+    dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     return dealt.mapInArrow(answer, "chunk int, kind int, bucket int, words long, data binary")
 
 
@@ -214,23 +275,27 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     place, distinct = pd.factorize(codes)
     order = np.argsort(distinct)
     value = np.empty(len(distinct))
-    for b, at in enumerate(by_bucket(mix(distinct[order]), buckets)):
+    for b, at in enumerate(by_bucket(_spread(distinct[order], depth), buckets)):
         if len(at):
             value[order[at]] = np.frombuffer(unsqueeze(kinds[_GRAMS][b]), "float32")
     total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
     del codes, place
-    words = sorted({w for t in texts for w in t.split()} | {_END_TOKEN})
+    split = [t.split() for t in texts]
+    flat = [w for ws in split for w in ws]
+    words = sorted({*flat, _END_TOKEN})
+    index = dict(zip(words, range(len(words))))
+    place = np.fromiter(map(index.__getitem__, flat), "int64", len(flat))
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
-    count: dict[bytes, int] = {}
+    count = np.zeros(len(words), "int64")
     for b, at in enumerate(by_bucket(hashes, buckets)):
         if len(at):
-            count.update(zip([words[i] for i in at.tolist()], np.frombuffer(unsqueeze(kinds[_WORDS][b]), "int64").tolist()))
-    logs = {w: math.log10(n + 0.1) for w, n in count.items()}
-    out = []
-    for i, t, s in zip(ids, texts, total.tolist()):
-        tokens = _tokens(t)
-        out.append((i, len(tokens), sum([count[w] > 0 for w in tokens]), math.fsum([logs[w] for w in tokens]), s, len(t)))
-    return out
+            count[at] = np.frombuffer(unsqueeze(kinds[_WORDS][b]), "int64")
+    logs = np.log10(count + 0.1)
+    doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
+    end = index[_END_TOKEN]
+    known = np.bincount(doc, count[place] > 0, len(texts)).astype("int64") + int(count[end] > 0)
+    base = np.bincount(doc, logs[place], len(texts)) + logs[end]
+    return [(i, len(ws) + 1, k, x, s, len(t)) for i, ws, k, x, s, t in zip(ids, split, known.tolist(), base.tolist(), total.tolist(), texts)]
 
 
 def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 5, per_chunk: int = 12 << 20) -> DataFrame:
@@ -251,16 +316,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     packed = chunked(docs, chunks)
     asked = written(packed.repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(gather, _ASK_SCHEMA), "ctw-asked")
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches):
-            codes = np.concatenate([unpack_sorted(r[1]) for r in rows])
-            n = np.concatenate([np.frombuffer(unsqueeze(r[2]), "int64") for r in rows])
-            distinct, at = np.unique(codes, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(np.bincount(at, n, len(distinct)).astype("int64"))], names=["code", "n"])
-
-    grams = asked.where(F.col("kind") == _GRAMS).select("bucket", "keys", "counts").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    grams = written(grams.mapInArrow(add, "code long, n long"), "ctw-grams")
-    answers = written(_answered(asked, log_probabilities(grams, depth), buckets), "ctw-answers")
+    answers = written(_answered(asked, _shared_levels(asked, depth, buckets), depth, buckets), "ctw-answers")
     tokens = asked.where(F.col("kind") == _WORDS).agg(F.sum("tokens")).first()[0] or 0
     distinct = answers.agg(F.sum("words")).first()[0] or 0
     found = _finished(packed, answers, chunks, depth, buckets)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import tempfile
@@ -37,12 +38,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished queries now: it acts when the driver's JVM
+    has collected the plans that made them, which may not happen for hours."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage and
-    survives lost executors."""
+    survives lost executors. The shuffle files of what came before are released."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

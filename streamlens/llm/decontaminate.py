@@ -70,7 +70,8 @@ def search(prints: DataFrame, items: DataFrame, radius: int) -> DataFrame:
     entries = entries.select("key", "size_", "print_", F.col("at.block").alias("block_"), F.explode(F.lit(flips)).alias("flip"), F.col("at.key").alias("k_"))
     entries = entries.select("key", "size_", "print_", "block_", F.col("k_").bitwiseXOR(F.col("flip").cast("int")).alias("k_"))
     asked = prints.select("*", F.explode(_blocks(F.col("print"))).alias("at"))
-    found = asked.join(entries, (F.col("at.block") == F.col("block_")) & (F.col("at.key") == F.col("k_")) & (F.col("size") == F.col("size_"))
+    # each item has thousands of entries, which the planner does not see: no broadcast
+    found = asked.join(entries.hint("merge"), (F.col("at.block") == F.col("block_")) & (F.col("at.key") == F.col("k_")) & (F.col("size") == F.col("size_"))
                        & (distance(F.col("print"), F.col("print_")) <= radius))
     return found.select(*prints.columns, "key").distinct()
 

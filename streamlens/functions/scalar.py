@@ -37,15 +37,6 @@ def poly_hash(s, multiplier: int = HASH_MULTIPLIER, bits: int = HASH_BITS) -> Co
                        lambda acc, c: (acc * multiplier + c).bitwiseAND(F.lit(mask)))
 
 
-def words(text) -> Column:
-    """Array of non-empty tokens of ``text`` split on non-word characters.
-
-    Java's split drops trailing empty tokens, Spark's keeps them; the empty token
-    is removed either way, so a leading separator yields no empty word either.
-    """
-    return F.filter(F.split(_col(text), WORD_SPLIT), lambda w: w != "")
-
-
 def timestamp_text(ts) -> Column:
     """Render like ``java.sql.Timestamp.toString`` for whole-second values: ``yyyy-MM-dd HH:mm:ss.0``."""
     return F.concat(F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss"), F.lit(".0"))

@@ -112,14 +112,13 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
         return (agg.filter((F.col("n_fails") >= min_fails) & (F.col("_n_ok") == 0))
                 .select(key, "span_start", (F.col("span_start") + span_iv).alias("span_end"), "n_fails"))
     # bursts: a gap longer than ``span`` ends any open span, so bursts are independent
-    # ``_tb`` only orders equal timestamps; it is generated, so the scans keep whole
-    # rows (narrow=False) instead of joining back on it
-    ev = ev.withColumn("_tb", F.monotonically_increasing_id())
-    ev = previous_value(ev, key, ts, [ts, "_tb"], out="_pt", narrow=False)
+    # at one instant failures come before successes, so a success cancels them
+    ev = ev.withColumn("_tb", (F.col(event) == success).cast("int"))
+    ev = previous_value(ev, key, ts, [ts, "_tb"], out="_pt")
     gap = (F.col("_pt").isNull()
            | (F.col(ts) > F.col("_pt") + span_iv)).cast("long")
     ev = running(ev.withColumn("_gap", gap), keys=[key], order=[ts, "_tb"], value="_gap",
-                 agg="sum", out="_burst", narrow=False)
+                 agg="sum", out="_burst")
     ts_type = df.schema[ts].dataType.simpleString()
     key_type = df.schema[key].dataType.simpleString()
 

@@ -107,30 +107,27 @@ def allowed_lateness(df: DataFrame, key: str, ts: str, arrival: Sequence[str], s
 
 def early_firings(df: DataFrame, key: str, ts: str, size: str, tick: str = "1 second") -> DataFrame:
     """#51 early-firing trigger: per window, the running count at each whole ``tick``
-    after the window's first row, and the final count at the window end.
+    after the window's first row, and the final count at the window end, also where
+    ``tick`` does not divide the window.
 
     Rows are counted into tick panes (``count(ts < tick)`` = cumulative sum of panes);
     ticks per window are ``size/tick`` at most, a parameter bound, not a data bound.
     Output: key, window_end, fire_time, count, is_final.
     """
-    step = seconds(tick)
-    d = df.select(key, ts, F.window(ts, size).alias("w"))
-    # pane = the first tick strictly after ts
-    panes = (d.groupBy(key, "w", F.window(ts, tick).getField("end").alias("pane"))
-             .agg(F.count(F.lit(1)).alias("_n")))
-    firsts = panes.groupBy(key, "w").agg(F.min("pane").alias("_first"))
-    ticks = firsts.select(key, "w", F.explode(F.sequence(
-        F.lit(0), ((F.unix_micros(F.col("w.end").cast("timestamp"))
-                    - F.unix_micros(F.col("_first").cast("timestamp"))) / F.lit(int(step * 1e6))).cast("long")
-    )).alias("_j"), "_first")
-    ticks = ticks.select(key, "w", (F.col("_first") + F.make_dt_interval(secs=F.col("_j") * F.lit(step)))
-                         .alias("fire_time"))
-    ticks = ticks.filter(F.col("fire_time") <= F.col("w.end"))
-    joined = ticks.join(panes.withColumnRenamed("pane", "fire_time"), [key, "w", "fire_time"], "left")
-    wr = Window.partitionBy(key, "w").orderBy("fire_time").rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.withColumn("count", F.sum(F.coalesce(F.col("_n"), F.lit(0))).over(wr))
-    return out.select(key, F.col("w.end").alias("window_end"), "fire_time", "count",
-                      (F.col("fire_time") == F.col("w.end")).alias("is_final"))
+    step = F.make_dt_interval(secs=F.lit(seconds(tick)))
+    d = df.select(key, ts, F.window(ts, size).getField("end").alias("window_end"))
+    # pane = the first tick after ts; a window's last pane ends with the window
+    pane = F.least(F.window(ts, tick).getField("end"), F.col("window_end"))
+    panes = d.groupBy(key, "window_end", pane.alias("fire_time")).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = panes.groupBy(key, "window_end").agg(F.min("fire_time").alias("_first"))
+    times = F.array_union(F.sequence("_first", "window_end", step), F.array("window_end"))
+    ticks = firsts.select(key, "window_end", F.explode(times).alias("fire_time"))
+    rows = (panes.select(key, "window_end", "fire_time", "_n")
+            .unionByName(ticks.withColumn("_n", F.lit(0).cast("long")))
+            .groupBy(key, "window_end", "fire_time").agg(F.sum("_n").alias("_n")))
+    wr = Window.partitionBy(key, "window_end").orderBy("fire_time").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select(key, "window_end", "fire_time", F.sum("_n").over(wr).alias("count"),
+                       (F.col("fire_time") == F.col("window_end")).alias("is_final"))
 
 
 def per_row_updates(df: DataFrame, key: str, ts: str, arrival: Sequence[str], size: str,
@@ -139,7 +136,7 @@ def per_row_updates(df: DataFrame, key: str, ts: str, arrival: Sequence[str], si
     number of distinct ``key`` values seen so far in that window (arrival order).
     The last update of a window equals the final distinct count."""
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
-    d = df.select(key, ts, *arrival, w.getField("end").alias("window_end"))
+    d = df.select(*dict.fromkeys([key, ts, *arrival]), w.getField("end").alias("window_end"))
     order_struct = F.struct(*arrival)
     firsts = d.groupBy("window_end", key).agg(F.min(order_struct).alias("_first"))
     d = (d.join(firsts, ["window_end", key])

@@ -10,9 +10,14 @@ time buckets, and no task compares all pairs of a key.
 
 from __future__ import annotations
 
+from collections import deque
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlens.operators.fold import fold_pieces, ns, ts_series
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
 
@@ -50,18 +55,17 @@ def forward_switch(readings: DataFrame, switches: DataFrame, key: str = "id", ts
     s = switches.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(0).alias("_tag"),
                         F.lit(0).cast("long").alias("_id"), (F.col(ts) + dur).alias("_end"),
                         F.lit(None).cast(r.schema["_row"].dataType).alias("_row"))
-    # a generated tie-break cannot be joined back on, so then keep whole rows in the scan
     u = running(r.unionByName(s), keys=["_k"], order=["_t", "_tag", "_id"], value="_end",
-                agg="max", out="_open_until", narrow=None if tiebreak else False)
+                agg="max", out="_open_until")
     return u.filter((F.col("_tag") == 1) & (F.col("_open_until") > F.col("_t"))).select("_row.*")
 
 
 def match_with_timeout(orders: DataFrame, pays: DataFrame, wait: str | float, key: str = "order_id",
-                       ts: str = "ts", one_to_one: bool = False) -> DataFrame:
-    """#23 pair order and pay rows of the same key whose times differ by at most
+                       ts: str = "ts") -> DataFrame:
+    """#23, all pairs: every order and pay row of the same key whose times differ by at most
     ``wait`` (either side may come first). Output rows tagged ``kind``:
     ``matched`` (order_ts, pay_ts both set), ``order_only``, ``pay_only``.
-    ``one_to_one`` keeps, per order row, only its earliest pay."""
+    :func:`match_one_to_one` pairs each row once."""
     w = seconds(wait)
     o = orders.select(F.col(key).alias("order_id"), F.col(ts).alias("order_ts"))
     p = pays.select(F.col(key).alias("pay_id"), F.col(ts).alias("pay_ts"), "channel")
@@ -71,9 +75,6 @@ def match_with_timeout(orders: DataFrame, pays: DataFrame, wait: str | float, ke
                  - F.unix_micros(F.col("order_ts").cast("timestamp"))) <= F.lit(int(w * 1e6))
     pairs = (ob.join(pb, (ob["order_id"] == pb["pay_id"]) & (ob["_b"] == pb["_b"]) & near)
              .select("order_id", "order_ts", "pay_ts", "channel"))
-    if one_to_one:
-        earliest = pairs.groupBy("order_id", "order_ts").agg(F.min("pay_ts").alias("pay_ts"))
-        pairs = earliest.join(pairs, ["order_id", "order_ts", "pay_ts"])
     o_only = ob.join(pb, (ob["order_id"] == pb["pay_id"]) & (ob["_b"] == pb["_b"]) & near, "left_anti")
     pbo = p.withColumn("_b", _bucket("pay_ts", w))
     os_ = _spread(o, "order_ts", w)
@@ -87,6 +88,61 @@ def match_with_timeout(orders: DataFrame, pays: DataFrame, wait: str | float, ke
                                        "pay_ts", "channel", F.lit("pay_only").alias("kind"))))
 
 
+def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key: str = "order_id",
+                     ts: str = "ts") -> DataFrame:
+    """#23, one with one: in time order (orders before pays at one instant, then by channel), a row takes the
+    longest waiting row of the other side, if that waits no longer than ``wait``, or waits itself. A row
+    serves once; rows that nothing took come out as ``order_only`` or ``pay_only``. Output as
+    :func:`match_with_timeout`.
+
+    Pieces: a gap of more than ``wait`` between a key's rows parts what can match, so pieces fold
+    independently, in one sorted pass that carries only the waiting rows.
+    """
+    w_ns = int(seconds(wait) * 1e9)
+    ts_type = orders.schema[ts].dataType
+    o = orders.select(F.col(key).alias("order_id"), F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast("string").alias("channel"))
+    p = pays.select(F.col(key).alias("order_id"), F.col(ts).cast(ts_type).alias("_t"), F.lit(1).alias("_side"), "channel")
+    order = ["_t", "_side", "channel"]
+    u = running(o.unionByName(p), keys=["order_id"], order=order, value="_t", agg="last", inclusive=False, out="_prev")
+    gap = F.col("_prev").isNull() | (F.col("_t") > F.col("_prev") + F.make_dt_interval(secs=F.lit(seconds(wait))))
+    u = running(u.withColumn("_gap", gap.cast("long")).drop("_prev"), keys=["order_id"], order=order, value="_gap", agg="sum", out="_piece")
+    none = np.iinfo("int64").min
+
+    # fold state: [key, waiting orders, waiting pays]; records: (key, order ns, pay ns, channel, kind)
+    def leave(k, side: int, row: tuple) -> tuple:
+        return (k, row[0], none, None, "order_only") if side == 0 else (k, none, row[0], row[1], "pay_only")
+
+    def close(st) -> list:
+        return [leave(st[0], side, row) for side in (0, 1) for row in st[1 + side]]
+
+    def scan(b: pd.DataFrame, starts: np.ndarray, st):
+        out: list = []
+        for i, (k, t, side, channel) in enumerate(zip(b["order_id"].tolist(), ns(b["_t"]).tolist(), b["_side"].tolist(), b["channel"].tolist())):
+            if starts[i]:
+                if st is not None:
+                    out += close(st)
+                st = [k, deque(), deque()]
+            for s in (0, 1):
+                while st[1 + s] and t - st[1 + s][0][0] > w_ns:
+                    out.append(leave(k, s, st[1 + s].popleft()))
+            other = st[2 - side]
+            if other:
+                row = other.popleft()
+                out.append((k, t, row[0], row[1], "matched") if side == 0 else (k, row[0], t, channel, "matched"))
+            else:
+                st[1 + side].append((t, channel))
+        return out, st
+
+    def frame(recs: list) -> pd.DataFrame:
+        return pd.DataFrame({"order_id": pd.Series([r[0] for r in recs], dtype=object), "order_ts": ts_series([r[1] for r in recs]),
+                             "pay_ts": ts_series([r[2] for r in recs]), "channel": pd.Series([r[3] for r in recs], dtype=object),
+                             "kind": [r[4] for r in recs]})
+
+    kind = u.schema["order_id"].dataType.simpleString()
+    t = ts_type.simpleString()
+    return fold_pieces(u, ["order_id", "_piece"], order, f"order_id {kind}, order_ts {t}, pay_ts {t}, channel string, kind string", scan, close, frame)
+
+
 def order_timeout(creates: DataFrame, pays: DataFrame, wait: str | float = "5 seconds",
                   key: str = "order_id", ts: str = "ts") -> DataFrame:
     """#57 creates with no pay within ``wait`` on either side (both ends inclusive):

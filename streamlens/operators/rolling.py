@@ -1,7 +1,7 @@
 """Rolling (unwindowed) keyed aggregates and value-jump alerts (#24-#26, #53, #54).
 
-One output row per input row, in the order given by ``order`` (unique per key, so
-add a tie-break column). Running sums/minimums and the previous value use the
+One output row per input row, in the order given by ``order`` (ties are taken in
+some order: add a tie-break column for a fixed one). Running sums/minimums and the previous value use the
 skew-safe scan of :mod:`streamlens.operators.scan`, so a hot key is split over many
 tasks instead of one.
 """
@@ -43,10 +43,10 @@ def rolling_list(df: DataFrame, key: str, value: str, order: Sequence[str], out:
 
 
 def previous_value(df: DataFrame, key: str, value: str, order: Sequence[str], out: str = "last",
-                   num_parts: int | None = None, narrow: bool | None = None) -> DataFrame:
+                   num_parts: int | None = None) -> DataFrame:
     """``lag(value)`` per key, skew-safe."""
     return running(df, keys=[key], order=order, value=value, agg="last", inclusive=False,
-                   out=out, num_parts=num_parts, narrow=narrow)
+                   out=out, num_parts=num_parts)
 
 
 def jump_alert(df: DataFrame, key: str, value: str, order: Sequence[str], threshold: float = 1.7,

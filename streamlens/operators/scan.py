@@ -1,137 +1,98 @@
-"""Skew-safe running aggregates (segmented prefix scans).
-
-``max(x) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING)`` sends every row
-of a key -- or, with no key, the whole table -- to one task. At scale a single hot
-key (or the global event-time watermark) then runs on one core. This module computes
-the same values as a parallel prefix scan:
-
-1. ``repartitionByRange(n, keys..., order...)``: sampled range bounds give ``n``
-   balanced partitions even when one key holds a third of all rows (the order
-   columns split it). The partition id is stored as a column and the result is
-   checkpointed to the shared ``spark.checkpoint.dir``: range bounds come from a
-   sample seeded by the RDD id, so two evaluations of the exchange could cut
-   differently; the checkpoint fixes one cut, cuts lineage and survives lost
-   executors;
-2. per partition, the smallest and largest key (``n`` rows);
-3. the aggregate of the boundary keys' rows per partition (at most ``2n`` rows);
-4. the carry-in per (partition, key) = aggregate of the same key in earlier
-   partitions -- a window over the ``2n``-row edge table;
-5. a local running window inside each (partition, key), combined with the carry-in.
-
-Only the edge/carry tables are broadcast and their size is bounded by ``2n``, the
-partition count chosen here, never by the data (above ``BROADCAST_MAX_PARTS`` they are
-shuffle-joined instead). Cost: one range shuffle, one checkpoint write, one hash
-shuffle for the local window; no task ever holds more than one range partition.
+"""Skew-safe running aggregates and neighbours (segmented prefix scans).
+
+``max(x) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING)`` sends every row of a key -- or, with
+no key, the whole table -- to one task. At scale a single hot key (or the global event-time watermark) then
+runs on one core. Here the order axis is cut, and the same values come from a parallel prefix scan:
+
+1. cut: a row's bucket is the number of cut points below its first order column. The cut points are ``n``
+   approximate quantiles of that column, one row that the plan itself computes (a scalar subquery), so the
+   cut is one pure expression: nothing is sampled twice, written or checkpointed, and building a query runs
+   no job;
+2. the aggregate of each (key, bucket): partial aggregation, a few rows per key;
+3. the carry into a (key, bucket): a window over those few rows;
+4. the carry joins the rows of its (key, bucket) as one more row that sorts first, and a window per
+   (key, bucket) runs over both. No join, so null keys and tied order columns are safe, and wide rows
+   cross the network once.
+
+A hot key is spread over its buckets. The first order column must be a number, date or timestamp; other
+types are not cut (one bucket per key), and rows with one and the same value of it share a bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from streamlens.session import checkpoint_dir
+from pyspark.sql import types as T
 
 _AGGS = ("sum", "count", "min", "max", "last")
-# Above this many range partitions the edge/carry tables (<= 2n rows) are joined by
-# shuffle instead of broadcast.
-BROADCAST_MAX_PARTS = 100_000
-
-
-def _num_parts(df: DataFrame, num_parts: int | None) -> int:
-    if num_parts:
-        return int(num_parts)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def range_cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
-    """Balanced range partitions on (keys, order), partition id stored as ``_p``,
-    checkpointed to the shared checkpoint folder (one fixed cut, lineage cut).
 
-    With ``n`` None the exchange starts at ``spark.sql.shuffle.partitions`` ranges and
-    AQE merges small neighbouring ranges (coalescing keeps them contiguous, so ids stay
-    in range order); a given ``n`` is kept exactly."""
-    checkpoint_dir(df.sparkSession)
-    cut = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
-    return (cut
-            .withColumn("_p", F.spark_partition_id())
-            .checkpoint(eager=True))
 
-
-def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str,
-            value: str | Column | None = None, keys: Sequence[str] = (),
-            inclusive: bool = True, num_parts: int | None = None,
-            narrow: bool | None = None) -> DataFrame:
+def _axis(df: DataFrame, column: str) -> Column | None:
+    """The order column as a long or double that can be cut; None if it can't."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    return F.col(column) if isinstance(kind, T.NumericType) else None
+
+
+def cut(df: DataFrame, order: Sequence[str], num_parts: int | None = None, out: str = "_b") -> DataFrame:
+    """Add the bucket number ``out``, increasing in ``order[0]`` (nulls first)."""
+    n = int(num_parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    axis = _axis(df, order[0])
+    if axis is None or n < 2:
+        return df.withColumn(out, F.lit(0))
+    points = df.select(axis.alias("x")).agg(F.percentile_approx("x", [i / n for i in range(1, n)], 10_000).alias("p"))
+    # two levels: the block of cut points first, then the points of that block
+    step = max(1, math.isqrt(n))
+    d = df.withColumn("_x", axis).withColumn("_p", points.scalar())
+    heads = F.filter("_p", lambda p, i: (i % step == 0) & (p < F.col("_x")))
+    d = d.withColumn("_h", F.greatest(F.size(heads) - 1, F.lit(0)) * step)
+    inner = F.size(F.filter(F.slice("_p", F.col("_h") + 1, step), lambda p: p < F.col("_x")))
+    bucket = F.when(F.col("_x").isNull() | F.col("_p").isNull(), F.lit(-1)).otherwise(F.col("_h") + inner)
+    return d.withColumn(out, bucket).drop("_x", "_p", "_h")
+
+
+def _nulls(df: DataFrame, but: dict[str, Column]) -> list[Column]:
+    """The columns of ``df`` as nulls, except those given."""
+    return [but[f.name].alias(f.name) if f.name in but else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+
+
+def running(df: DataFrame, *, order: Sequence[str], out: str, agg: str, value: str | Column | None = None,
+            keys: Sequence[str] = (), inclusive: bool = True, num_parts: int | None = None) -> DataFrame:
     """Add ``out`` = ``agg(value)`` over the earlier rows of the same ``keys`` in ``order``.
 
-    ``order`` must be unique within a key (add a tie-break column). ``inclusive``
-    includes the row itself; otherwise the frame ends at the previous row (so
-    ``agg="last"``, ``inclusive=False`` is ``lag(value, 1)``). ``count`` ignores
-    ``value``. An empty frame gives null (0 for ``count``).
-
-    ``narrow`` (default: when ``df`` has columns beyond keys, order and value) runs
-    the scan on ``(keys, order, value)`` only and joins the result back on the
-    unique ``(keys, order)``: the range shuffle, the checkpoint and the window
-    shuffle then move a few columns, and wide rows cross the network once.
+    Every row comes out once; rows tied in ``order`` are taken in some order (add a tie-break column for a
+    fixed one). Null keys are a key. ``inclusive`` includes the row itself; otherwise the frame ends at the
+    previous row (so ``agg="last"``, ``inclusive=False`` is ``lag(value, 1)``). ``count`` ignores ``value``.
+    An empty frame gives null (0 for ``count``).
     """
     if agg not in _AGGS:
         raise ValueError(f"agg must be one of {_AGGS}")
     keys, order = list(keys), list(order)
-    n = _num_parts(df, num_parts)   # upper bound on the range partitions
-    v = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
-    used = set(keys) | set(order) | ({value} if isinstance(value, str) else set())
-    if narrow is None:
-        narrow = any(c not in used for c in df.columns)
-    if narrow:
-        slim = df.select(*keys, *order, v.alias("_val"))
-        res = running(slim, order=order, out=out, agg=agg, value="_val", keys=keys,
-                      inclusive=inclusive, num_parts=num_parts, narrow=False)
-        res = res.select(*[F.col(c).alias(f"_j_{c}") for c in keys + order], out)
-        cond = None
-        for c in keys + order:
-            e = df[c].eqNullSafe(res[f"_j_{c}"])
-            cond = e if cond is None else cond & e
-        return df.join(res, cond, "inner").drop(*[f"_j_{c}" for c in keys + order])
-    if agg == "last":
-        # the latest row wins: compare (order..., value) structs
+    v = F.lit(1).cast("long") if agg == "count" else (F.col(value) if isinstance(value, str) else value)
+    if agg == "last":  # the latest row wins: compare (order..., value) structs
         v = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], v.alias("v"))
-    base = df.withColumn("_v", v)
-
-    ranged = range_cut(base, keys, order, num_parts)
-    small = F.broadcast if n <= BROADCAST_MAX_PARTS else (lambda d: d)
-    kstruct = F.struct(*keys) if keys else F.lit(0)
-
-    def part_agg(c: Column) -> Column:
-        return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "last": F.max}[agg](c)
-
-    # (2) boundary keys of each partition; (3) their aggregates
-    bounds = ranged.groupBy("_p").agg(F.min(kstruct).alias("_kmin"), F.max(kstruct).alias("_kmax"))
-    edges = (ranged.join(small(bounds), "_p")
-             .where((kstruct == F.col("_kmin")) | (kstruct == F.col("_kmax")))
-             .groupBy("_p", *keys).agg(part_agg(F.col("_v")).alias("_e")))
-    # (4) carry-in: same key, earlier partitions (tiny table, <= 2n rows)
-    wk = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    comb = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "last": F.max}[agg]
-    carry = (edges.withColumn("_carry", comb("_e").over(wk))
-             .where(F.col("_carry").isNotNull()).select("_p", *keys, "_carry"))
-    # (5) local running window within (partition, key), plus the carry-in
-    wl = Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    local = part_agg(F.col("_v")).over(wl)
-    joined = ranged.join(small(carry), ["_p", *keys], "left")
-    c = F.col("_carry")
-    if agg in ("sum", "count"):
-        res = F.when(c.isNull(), local).when(local.isNull(), c).otherwise(local + c)
-        if agg == "count":
-            res = F.coalesce(res, F.lit(0)).cast("long")
-    elif agg == "min":
-        res = F.least(local, c)
-    else:
-        res = F.greatest(local, c)
+    total = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "last": F.max}[agg]
+    d = cut(df, order, num_parts).withColumn("_v", v)
+    edges = d.groupBy(*keys, "_b").agg(total("_v").alias("_v"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = edges.withColumn("_v", total("_v").over(before)).where(F.col("_v").isNotNull())
+    kind = edges.schema["_v"].dataType  # a sum may be wider than its values
+    rows = d.withColumn("_v", F.col("_v").cast(kind)).withColumn("_first", F.lit(1))
+    first = carry.select(*_nulls(rows, {**{k: F.col(k) for k in keys}, "_b": F.col("_b"), "_v": F.col("_v").cast(kind), "_first": F.lit(0)}))
+    both = rows.unionByName(first)
+    frame = Window.partitionBy(*keys, "_b").orderBy("_first", *order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    res = total("_v").over(frame)
     if agg == "last":
         res = res.getField("v")
-    return joined.withColumn(out, res).drop("_p", "_v", "_carry")
+    elif agg == "count":
+        res = F.coalesce(res, F.lit(0)).cast("long")
+    return both.withColumn("_r", res).where("_first = 1").drop("_b", "_v", "_first", *([out] if out in df.columns else [])).withColumnRenamed("_r", out)
 
 
 def sequence_number(df: DataFrame, *, order: Sequence[str], out: str = "seq",
@@ -140,21 +101,28 @@ def sequence_number(df: DataFrame, *, order: Sequence[str], out: str = "seq",
     return running(df, order=order, out=out, agg="count", keys=keys, num_parts=num_parts)
 
 
-def neighbours(df: DataFrame, *, keys: Sequence[str], seq: str, cols: Sequence[str],
-               offsets: Sequence[int]) -> DataFrame:
-    """``lead``/``lag`` by equi-join on ``(keys, seq + offset)``.
+def following(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], ahead: int,
+              num_parts: int | None = None) -> DataFrame:
+    """``lead``: add ``{col}_n{j}`` for j = 1..``ahead``, the values ``j`` rows further in the same key (null
+    behind the last row).
 
-    With a dense per-key sequence number, the row ``k`` places ahead is an equality
-    lookup, so the join hash-partitions on ``(key, seq)`` and a hot key spreads over
-    all tasks. Adds ``{col}_{n|p}{|offset|}`` columns (``n`` = next, ``p`` = previous).
-    """
-    keys = list(keys)
-    out = df
-    for off in offsets:
-        tag = f"n{off}" if off > 0 else f"p{-off}"
-        other = df.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                          (F.col(seq) - off).alias("_k_seq"),
-                          *[F.col(c).alias(f"{c}_{tag}") for c in cols])
-        cond = [out[k] == other[f"_k_{k}"] for k in keys] + [out[seq] == other["_k_seq"]]
-        out = out.join(other, cond, "left").drop(*[f"_k_{k}" for k in keys], "_k_seq")
-    return out
+    Local windows per (key, bucket); a bucket's last rows look into copies of the next ``ahead`` rows of the
+    key, found among the first ``ahead`` rows of each (key, bucket)."""
+    keys, order = list(keys), list(order)
+    d = cut(df, order, num_parts).withColumn("_next", F.struct(*[F.col(c) for c in cols]))
+    local = Window.partitionBy(*keys, "_b").orderBy(*order)
+    heads = d.withColumn("_i", F.row_number().over(local)).where(F.col("_i") <= ahead).select(*keys, *[c for c in order if c not in keys], "_b", "_i", "_next")
+    # what comes after a bucket: the heads behind its last head, in order
+    along = Window.partitionBy(*keys).orderBy("_b", "_i")
+    after = F.array(*[F.lead(F.struct("_b", "_next"), j).over(along) for j in range(1, 2 * ahead)])
+    last = heads.withColumn("_after", after).where("_i = 1")
+    last = last.withColumn("_after", F.slice(F.filter("_after", lambda a: a["_b"] > F.col("_b")), 1, ahead))
+    copies = last.select(*keys, "_b", F.posexplode("_after").alias("_at", "_a"))
+    rows = d.withColumn("_at", F.lit(-1))
+    tail = copies.select(*_nulls(rows, {**{k: F.col(k) for k in keys}, "_b": F.col("_b"), "_next": F.col("_a._next"), "_at": F.col("_at")}))
+    both = rows.unionByName(tail)
+    w = Window.partitionBy(*keys, "_b").orderBy("_at", *order)
+    for j in range(1, ahead + 1):
+        both = both.withColumn(f"_n{j}", F.lead("_next", j).over(w))
+    named = [F.col(f"_n{j}").getField(c).alias(f"{c}_n{j}") for j in range(1, ahead + 1) for c in cols]
+    return both.where("_at = -1").select(*df.columns, *named)

@@ -3,7 +3,7 @@
 Tumbling and sliding windows are ``F.window`` (epoch aligned, start inclusive, end
 exclusive); results are labelled by window end and only non-empty windows appear.
 Aggregates are partial + final hash aggregates, so a hot key or a hot window is
-combined map-side before the shuffle. Sliding windows have an optional *pane* form:
+combined map-side before the shuffle. Sliding view and visitor counts use the *pane* form:
 aggregate once per slide-sized pane, then expand panes (not rows) into windows.
 """
 
@@ -27,8 +27,13 @@ def seconds(duration: str | int | float) -> float:
     """``"5 minutes"`` -> 300.0 (numbers are taken as seconds)."""
     if isinstance(duration, (int, float)):
         return float(duration)
+    part = r"\s*(\d+(?:\.\d+)?)\s*([a-zA-Z]+)"
+    if not re.fullmatch(f"(?:{part})+\\s*", duration):
+        raise ValueError(f"not a duration: {duration!r}")
     total = 0.0
-    for num, unit in re.findall(r"(\d+(?:\.\d+)?)\s*([a-zA-Z]+)", duration):
+    for num, unit in re.findall(part, duration):
+        if unit.lower() not in _UNITS:
+            raise ValueError(f"unknown unit in {duration!r}")
         total += float(num) * _UNITS[unit.lower()]
     return total
 
@@ -129,11 +134,9 @@ def count_per_key(df: DataFrame, key: str = "key", ts: str = "ts", size: str = "
 
 
 def view_counts(df: DataFrame, key: str, ts: str = "ts", size: str = "60 minutes",
-                slide: str = "5 minutes", pane: bool = False) -> DataFrame:
-    """#34/#35 views per key in sliding windows (direct or pane form)."""
-    if pane:
-        return pane_counts(df, ts, size, slide, keys=(key,)).select(key, "window_end", "count")
-    return window_agg(df, ts, size, {"count": F.count(F.lit(1))}, slide=slide, keys=(key,))
+                slide: str = "5 minutes") -> DataFrame:
+    """#34/#35 views per key in sliding windows, in pane form (see :func:`pane_counts`)."""
+    return pane_counts(df, ts, size, slide, keys=(key,)).select(key, "window_end", "count")
 
 
 def pv_count(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
@@ -142,13 +145,24 @@ def pv_count(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 minu
     return window_agg(pv, "ts", size, {"pv": F.count(F.lit(1))}, slide=slide)
 
 
+def _distinct_per_window(df: DataFrame, column: str, size: str, slide: str, ts: str = "ts") -> DataFrame:
+    """Distinct values of ``column`` per sliding window: a value counts once per pane, so the
+    shuffle carries (pane, value) pairs; panes become windows after it, and (window, value) is
+    deduplicated again by partial aggregation."""
+    k = int(round(seconds(size) / seconds(slide)))
+    if abs(k * seconds(slide) - seconds(size)) > 1e-9:
+        raise ValueError("pane form needs size to be a multiple of slide")
+    pane = df.select(F.window(ts, slide).getField("end").alias("_pe"), column).distinct()
+    step = interval(slide)
+    ends = F.sequence(F.col("_pe"), F.col("_pe") + interval(seconds(slide) * (k - 1)), step) if k > 1 else F.array("_pe")
+    per = pane.select(F.explode(ends).alias("window_end"), column).distinct()
+    return per.groupBy("window_end").agg(F.count(column).alias("uv"))
+
+
 def uv_exact(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 minutes",
              user: str = "user_id") -> DataFrame:
-    """#37 distinct users per window: de-duplicate (window, user) first, then count --
-    two partial aggregations, no per-window set in memory."""
-    pv = behavior.filter(F.col("behavior") == "pv")
-    per_user = pv.select(F.window("ts", size, slide).alias("w"), user).distinct()
-    return per_user.groupBy(F.col("w.end").alias("window_end")).agg(F.count(F.lit(1)).alias("uv"))
+    """#37 distinct users per window."""
+    return _distinct_per_window(behavior.filter(F.col("behavior") == "pv").select("ts", user), user, size, slide)
 
 
 def uv_bitmap(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 minutes",
@@ -157,8 +171,7 @@ def uv_bitmap(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 min
     positions), so colliding users count once, as in the bitmap job."""
     pv = behavior.filter(F.col("behavior") == "pv").select(
         "ts", poly_hash(F.col(user).cast("string"), bits=bits).alias("_h"))
-    per_bit = pv.select(F.window("ts", size, slide).alias("w"), "_h").distinct()
-    return per_bit.groupBy(F.col("w.end").alias("window_end")).agg(F.count(F.lit(1)).alias("uv"))
+    return _distinct_per_window(pv, "_h", size, slide)
 
 
 def uv_approx(behavior: DataFrame, size: str = "60 minutes", slide: str = "5 minutes",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import poly_hash
 from streamlens.operators import alerts, basic, late, match, patterns, rolling, topn, windows
-from streamlens.sources import parse
+from streamlens.sources import parse, sinks
 from streamlens.sources import testdata as td
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ P = {
     "mkt_size": "1 hour", "mkt_slide": "10 minutes",
     "threshold": 60.0, "jump": 1.7,
     "late_size": "1 hour", "late_bound": "10 minutes", "lateness": "30 minutes",
-    "tick": "10 minutes",
+    "tick": "10 minutes", "tick_uneven": "7 minutes",
     "switch_duration": "10 minutes",
     "match_wait": "30 days", "timeout_wait": "30 days",
     "rise_hold": "10 minutes",
@@ -70,6 +70,33 @@ def parse_key_seconds(spark, d):
     return rows.select("key", _ntz("ts"))
 
 
+def _broken(lines):
+    """The lines, and a cut copy of each: the first half of its characters."""
+    half = lines.select(F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    return lines.unionByName(half)
+
+
+def behavior_rejects(spark, d):
+    return parse.parse_behavior_csv(_broken(td.behavior_lines(spark, d).select("value")))[1].select("line")
+
+
+def access_rejects(spark, d):
+    return parse.parse_access_log(_broken(td.access_lines(spark, d).select("value")))[1].select("line")
+
+
+def index_documents(spark, d):
+    return sinks.index_documents(td.behavior_lines(spark, d))
+
+
+def fan_out(spark, d):
+    """One source, three outputs, told apart by name."""
+    s = td.sensor(spark, d)
+    hot, cold, ids = basic.fan_out(s, lambda x: x.where(F.col("temperature") > P["threshold"]).select("event_id"),
+                                   lambda x: x.where(F.col("temperature") <= P["threshold"]).select("event_id"), lambda x: x.select("event_id"))
+    named = [x.withColumn("output", F.lit(n)) for x, n in ((hot, "hot"), (cold, "cold"), (ids, "all"))]
+    return basic.union_all(*named)
+
+
 # ---- projection, routing ---------------------------------------------------------
 
 def filter_map(spark, d):
@@ -130,9 +157,8 @@ def count_event_time(spark, d):
     return windows.count_per_key(rows, "key", "ts", P["count_size"], bound="5 seconds")
 
 
-def item_views(spark, d, pane=False):
-    return windows.view_counts(td.behavior(spark, d), "item_id", size=P["hot_size"],
-                               slide=P["hot_slide"], pane=pane).select("item_id", "window_end", "count")
+def item_views(spark, d):
+    return windows.view_counts(td.behavior(spark, d), "item_id", size=P["hot_size"], slide=P["hot_slide"])
 
 
 def _access(spark, d):
@@ -140,9 +166,8 @@ def _access(spark, d):
     return rows.select("url", _ntz("ts"))
 
 
-def url_views(spark, d, pane=False):
-    return windows.view_counts(_access(spark, d), "url", size=P["url_size"], slide=P["url_slide"],
-                               pane=pane).select("url", "window_end", "count")
+def url_views(spark, d):
+    return windows.view_counts(_access(spark, d), "url", size=P["url_size"], slide=P["url_slide"])
 
 
 def pv(spark, d):
@@ -178,8 +203,7 @@ def hot_items_top3(spark, d):
 
 
 def url_top5(spark, d):
-    # pane form: the 120-fold window expansion happens after the shuffle
-    t = topn.top_n(url_views(spark, d, pane=True), "url", P["url_n"])
+    t = topn.top_n(url_views(spark, d), "url", P["url_n"])
     return t.select("url", "window_end", "count", F.col("rank").cast("long").alias("rank"))
 
 
@@ -251,6 +275,21 @@ def early_firings(spark, d):
     return late.early_firings(e, "key", "ts", P["late_size"], P["tick"])
 
 
+def early_firings_uneven(spark, d):
+    e = td.events(spark, d).select(F.col("event_type").alias("key"), "ts")
+    return late.early_firings(e, "key", "ts", P["late_size"], P["tick_uneven"])
+
+
+def ascending_watermark(spark, d):
+    r = late.ascending_watermark(td.arrivals(spark, d), "ts", _ARRIVAL)
+    return r.select("event_id", "key", "ts", "wm")
+
+
+def periodic_watermark(spark, d):
+    r = late.periodic_watermark(td.arrivals(spark, d), "ts", _ARRIVAL)
+    return r.select("event_id", "key", "ts", "wm")
+
+
 def uv_per_row(spark, d):
     b = td.behavior(spark, d, only=("pv",)).filter(F.col("behavior") == "pv")
     b = b.select("event_id", "ts", poly_hash(F.col("user_id").cast("string")).alias("h"))
@@ -274,6 +313,12 @@ def order_pay_match(spark, d):
     return match.match_with_timeout(td.order_creates(spark, d), td.pays(spark, d), P["match_wait"])
 
 
+def order_pay_match_one(spark, d):
+    li = td.table(spark, d, "lineitem")
+    ships = li.select(F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_linenumber").cast("string").alias("channel"), F.col("l_shipdate").alias("ts"))
+    return match.match_one_to_one(td.order_creates(spark, d), ships, P["match_wait"])
+
+
 def sustained_rise(spark, d):
     return alerts.sustained_rise(td.sensor(spark, d), "id", "ts", "temperature", _ORDER, P["rise_hold"])
 
@@ -327,9 +372,9 @@ JOBS: dict[str, Job] = {
     "min_reduce": min_reduce,
     "count_event_time": count_event_time,
     "item_views": item_views,
-    "item_views_pane": lambda s, d: item_views(s, d, pane=True),
+    "item_views_pane": item_views,
     "url_views": url_views,
-    "url_views_pane": lambda s, d: url_views(s, d, pane=True),
+    "url_views_pane": url_views,
     "pv": pv,
     "uv_exact": uv_exact,
     "uv_bitmap": uv_bitmap,
@@ -359,4 +404,12 @@ JOBS: dict[str, Job] = {
     "login_fail_pattern": login_fail_pattern,
     "order_pay_pattern": order_pay_pattern,
     "order_timeout_pattern": order_timeout_pattern,
+    "early_firings_uneven": early_firings_uneven,
+    "ascending_watermark": ascending_watermark,
+    "periodic_watermark": periodic_watermark,
+    "order_pay_match_one": order_pay_match_one,
+    "behavior_rejects": behavior_rejects,
+    "access_rejects": access_rejects,
+    "index_documents": index_documents,
+    "fan_out": fan_out,
 }

@@ -165,16 +165,17 @@ UNION ALL
 SELECT lt.key, lt.window_end, CAST(CASE WHEN ot.n0 IS NULL THEN r - 1 ELSE r END AS BIGINT) AS firing,
   CAST(coalesce(ot.n0, 0) + r AS BIGINT) AS count, (ot.n0 IS NOT NULL OR r > 1) AS is_update
 FROM lt LEFT JOIN ot ON lt.key = ot.key AND lt.window_end = ot.window_end"""
-    q["early_firings"] = f"""WITH d AS (SELECT event_type AS key, {tend('ts', P['late_size'])} AS window_end,
-    {tend('ts', P['tick'])} AS pane FROM events),
-p AS (SELECT key, window_end, pane, count(*) AS n FROM d GROUP BY ALL),
-f AS (SELECT key, window_end, min(pane) AS first FROM p GROUP BY ALL),
-t AS (SELECT key, window_end, unnest(generate_series(first, window_end, {_iv(P['tick'])})) AS fire_time FROM f)
-SELECT t.key, t.window_end, t.fire_time,
-  CAST(sum(coalesce(p.n, 0)) OVER (PARTITION BY t.key, t.window_end ORDER BY t.fire_time
-       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS count,
-  t.fire_time = t.window_end AS is_final
-FROM t LEFT JOIN p ON p.key = t.key AND p.window_end = t.window_end AND p.pane = t.fire_time"""
+    for name, tick in (("early_firings", P["tick"]), ("early_firings_uneven", P["tick_uneven"])):
+        q[name] = f"""WITH d AS (SELECT event_type AS key, {tend('ts', P['late_size'])} AS window_end,
+    least({tend('ts', tick)}, {tend('ts', P['late_size'])}) AS pane FROM events),
+f AS (SELECT key, window_end, min(pane) AS first FROM d GROUP BY ALL),
+t AS (SELECT DISTINCT key, window_end, unnest(list_append(generate_series(first, window_end, {_iv(tick)}), window_end)) AS fire_time FROM f)
+SELECT t.key, t.window_end, t.fire_time, t.fire_time = t.window_end AS is_final,
+  (SELECT count(*) FROM d WHERE d.key = t.key AND d.window_end = t.window_end AND d.pane <= t.fire_time) AS count
+FROM t"""
+    for name, bound in (("ascending_watermark", "1 millisecond"), ("periodic_watermark", "1 second")):
+        q[name] = f"""SELECT event_id, key, ts, max(ts) OVER (ORDER BY arrival, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_iv(bound)} AS wm FROM {ARRIVALS}"""
     q["uv_per_row"] = f"""WITH x AS (
   SELECT event_id, ts, {HASH16} AS h, {wend('ts', hs, hl)} AS window_end
   FROM {BEHAVIOR} s CROSS JOIN range(0, {nwin(hs, hl)}) r(j) WHERE behavior = 'pv'),
@@ -240,6 +241,71 @@ WHERE op = 'create' AND op1 = 'pay' AND epoch_us(ts1) - epoch_us(ts) < {tw}"""
     q["order_timeout_pattern"] = f"""{ord_x}
 SELECT order_id, op, ts FROM x
 WHERE op = 'create' AND (ts1 IS NULL OR epoch_us(ts1) - epoch_us(ts) >= {tw})"""
+    q["order_pay_match_one"] = f"""WITH RECURSIVE u AS (
+  SELECT order_id, ts, 0 AS side, CAST(NULL AS VARCHAR) AS channel FROM {CREATES}
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), l_shipdate, 1, CAST(l_linenumber AS VARCHAR) FROM lineitem),
+e AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts, side, channel) AS rn FROM u),
+st AS (
+  SELECT order_id, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(t TIMESTAMP, c VARCHAR)[]) AS os, CAST([] AS STRUCT(t TIMESTAMP, c VARCHAR)[]) AS ps,
+    CAST([] AS STRUCT(o TIMESTAMP, p TIMESTAMP, c VARCHAR, k VARCHAR)[]) AS outs FROM (SELECT DISTINCT order_id FROM u)
+  UNION ALL
+  SELECT order_id, rn,
+    CASE WHEN side = 1 THEN fo[2:] WHEN len(fp) > 0 THEN fo ELSE list_append(fo, {{'t': ts, 'c': CAST(NULL AS VARCHAR)}}) END,
+    CASE WHEN side = 0 THEN fp[2:] WHEN len(fo) > 0 THEN fp ELSE list_append(fp, {{'t': ts, 'c': channel}}) END,
+    list_concat(list_concat(
+      list_transform(list_filter(os, lambda x: x.t < ts - {_iv(P['match_wait'])}), lambda x: {{'o': x.t, 'p': CAST(NULL AS TIMESTAMP), 'c': CAST(NULL AS VARCHAR), 'k': 'order_only'}}),
+      list_transform(list_filter(ps, lambda x: x.t < ts - {_iv(P['match_wait'])}), lambda x: {{'o': CAST(NULL AS TIMESTAMP), 'p': x.t, 'c': x.c, 'k': 'pay_only'}})),
+      CASE WHEN side = 0 AND len(fp) > 0 THEN [{{'o': ts, 'p': fp[1].t, 'c': fp[1].c, 'k': 'matched'}}]
+           WHEN side = 1 AND len(fo) > 0 THEN [{{'o': fo[1].t, 'p': ts, 'c': channel, 'k': 'matched'}}]
+           ELSE CAST([] AS STRUCT(o TIMESTAMP, p TIMESTAMP, c VARCHAR, k VARCHAR)[]) END)
+  FROM (SELECT e.*, st.os, st.ps, list_filter(st.os, lambda x: x.t >= e.ts - {_iv(P['match_wait'])}) AS fo,
+          list_filter(st.ps, lambda x: x.t >= e.ts - {_iv(P['match_wait'])}) AS fp
+        FROM st JOIN e ON e.order_id = st.order_id AND e.rn = st.rn + 1)),
+fin AS (SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY rn DESC) = 1),
+a AS (SELECT order_id, unnest(outs) AS r FROM st
+  UNION ALL SELECT order_id, unnest(list_transform(os, lambda x: {{'o': x.t, 'p': CAST(NULL AS TIMESTAMP), 'c': CAST(NULL AS VARCHAR), 'k': 'order_only'}})) FROM fin
+  UNION ALL SELECT order_id, unnest(list_transform(ps, lambda x: {{'o': CAST(NULL AS TIMESTAMP), 'p': x.t, 'c': x.c, 'k': 'pay_only'}})) FROM fin)
+SELECT order_id, r.o AS order_ts, r.p AS pay_ts, r.c AS channel, r.k AS kind FROM a"""
+    q["login_fail_timer_rearm"] = f"""WITH RECURSIVE ev AS (SELECT user_id, ts, event_type,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'success') AS rn
+  FROM {LOGIN} WHERE event_type IN ('fail', 'success')),
+st AS (
+  SELECT user_id, rn, CASE WHEN event_type = 'fail' THEN ts END AS t0, CASE WHEN event_type = 'fail' THEN 1 ELSE 0 END AS n,
+    CAST(NULL AS TIMESTAMP) AS c0, 0 AS cn FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT user_id, rn, CASE WHEN event_type = 'fail' THEN coalesce(k0, ts) END, CASE WHEN event_type = 'fail' THEN kn + 1 ELSE 0 END,
+    CASE WHEN over_ THEN t0 END, CASE WHEN over_ THEN n ELSE 0 END
+  FROM (SELECT e.*, st.t0, st.n, coalesce(e.ts > st.t0 + {sp}, false) AS over_,
+          CASE WHEN e.ts > st.t0 + {sp} THEN NULL ELSE st.t0 END AS k0, CASE WHEN e.ts > st.t0 + {sp} THEN 0 ELSE st.n END AS kn
+        FROM st JOIN ev e ON e.user_id = st.user_id AND e.rn = st.rn + 1)),
+a AS (SELECT user_id, c0 AS s, cn AS n FROM st WHERE c0 IS NOT NULL
+  UNION ALL SELECT user_id, t0, n FROM (SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1) WHERE t0 IS NOT NULL)
+SELECT user_id, s AS span_start, s + {sp} AS span_end, CAST(n AS BIGINT) AS n_fails FROM a WHERE n >= {P['fail_min']}"""
+    q["sustained_rise_rearm"] = f"""WITH RECURSIVE a AS (SELECT *, lag(temperature) OVER ({w_id}) AS prev FROM {SENSOR}),
+b AS (SELECT *, coalesce(temperature > prev, false) AS rise, CAST(coalesce(temperature < prev, false) AS BIGINT) AS fall FROM a),
+c AS (SELECT *, sum(fall) OVER ({w_id} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM b),
+r AS (SELECT id, run, min(ts) AS start FROM c GROUP BY id, run),
+f AS (SELECT r.id, r.run, n.start AS next_fall FROM r LEFT JOIN r n ON n.id = r.id AND n.run = r.run + 1),
+e AS (SELECT id, run, ts, row_number() OVER (PARTITION BY id, run ORDER BY ts, event_id) AS rn FROM c WHERE rise),
+st AS (
+  SELECT id, run, rn, ts + {hold} AS deadline, CAST(NULL AS TIMESTAMP) AS fired FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.id, e.run, e.rn, CASE WHEN e.ts > st.deadline THEN e.ts + {hold} ELSE st.deadline END,
+    CASE WHEN e.ts > st.deadline THEN st.deadline END
+  FROM st JOIN e ON e.id = st.id AND e.run = st.run AND e.rn = st.rn + 1),
+z AS (SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY id, run ORDER BY rn DESC) = 1),
+o AS (SELECT id, fired FROM st WHERE fired IS NOT NULL
+  UNION ALL SELECT z.id, z.deadline FROM z JOIN f ON f.id = z.id AND f.run = z.run WHERE f.next_fall IS NULL OR f.next_fall > z.deadline)
+SELECT id, fired - {hold} AS rise_ts, fired AS alert_ts FROM o"""
+    csv = f"""(SELECT concat_ws(',', user_id, item_id, category_id, behavior, CAST(floor(epoch(ts)) AS BIGINT)) AS value FROM {BEHAVIOR})"""
+    log = f"""(SELECT concat_ws(' ', '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR), '-',
+  CAST(user_id AS VARCHAR), strftime(ts, '%d/%m/%Y:%H:%M:%S'), '+0000', CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END,
+  '/' || event_type || '/' || CAST({K} AS VARCHAR)) AS value FROM events)"""
+    q["behavior_rejects"] = f"SELECT substr(value, 1, length(value) // 2) AS line FROM {csv}"
+    q["access_rejects"] = f"SELECT substr(value, 1, length(value) // 2) AS line FROM {log}"
+    q["index_documents"] = f"""SELECT sha256(value) AS _id, '{{"myUserbe":"' || value || '"}}' AS doc FROM {csv}"""
+    q["fan_out"] = f"""SELECT event_id, CASE WHEN temperature > {P['threshold']} THEN 'hot' ELSE 'cold' END AS output FROM {SENSOR} WHERE temperature IS NOT NULL
+UNION ALL SELECT event_id, 'all' FROM {SENSOR}"""
     return q
 
 

@@ -52,13 +52,16 @@ def get_session(app: str = "streamlens", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh scratch folder created and registered.
+    The cluster's setting always wins. Only in a local session (tests) without it a fresh scratch folder is
+    registered; elsewhere the missing setting is an error, as a machine-local folder would be lost with
+    its node.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="streamlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

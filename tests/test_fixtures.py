@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from streamlens.operators import alerts, basic, late, match, patterns, rolling, topn, windows
@@ -115,8 +116,8 @@ def test_sliding_one_row_twelve_windows_and_pane_equal(spark):
     assert len(ends) == 12 and ends[0] == T(300) and ends[-1] == T(3600)
     many = spark.range(0, 500).select((F.col("id") % 7).cast("string").alias("item"),
                                       F.timestamp_seconds(F.col("id") * 37).cast("timestamp_ntz").alias("ts"))
-    a = windows.view_counts(many, "item", size="10 minutes", slide="1 minute")
-    b = windows.view_counts(many, "item", size="10 minutes", slide="1 minute", pane=True)
+    a = windows.window_agg(many, "ts", "10 minutes", {"count": F.count("*")}, slide="1 minute", keys=("item",))
+    b = windows.view_counts(many, "item", size="10 minutes", slide="1 minute")
     assert rows(a, "item", "window_end", "count") == rows(b, "item", "window_end", "count")
 
 
@@ -185,6 +186,33 @@ def test_early_firings(spark):
     assert got == [(T(1), 1, False), (T(2), 2, False), (T(3), 3, False), (T(4), 3, False), (T(5), 3, True)]
 
 
+def test_early_firings_with_a_tick_that_does_not_divide_the_window(spark):
+    df = spark.createDataFrame([("a", T(0.2)), ("a", T(4.5))], "key string, ts timestamp_ntz")
+    got = rows(late.early_firings(df, "key", "ts", "5 seconds", "2 seconds"), "fire_time", "count", "is_final")
+    assert got == [(T(2), 1, False), (T(4), 1, False), (T(5), 2, True)]
+
+
+def test_durations_that_cannot_be_read_are_refused():
+    for bad in ("abc", "", "5", "5 parsecs", "1 hour x"):
+        with pytest.raises(ValueError):
+            windows.seconds(bad)
+    assert windows.seconds("1 hour 30 min") == 5400
+
+
+def test_plus_one_is_exact_beside_nulls(spark):
+    df = spark.createDataFrame([(9007199254740993,), (None,)], "v long")
+    assert {r.o for r in basic.plus_one(df, "v", "o").collect()} == {9007199254740994, None}
+
+
+def test_match_one_to_one(spark):
+    o = spark.createDataFrame([("a", T(0)), ("a", T(1)), ("b", T(0)), ("c", T(0))], "order_id string, ts timestamp_ntz")
+    p = spark.createDataFrame([("a", T(2), "x"), ("b", T(1), "x"), ("b", T(1), "y"), ("c", T(9), "x"), ("d", T(0), "z")], "order_id string, ts timestamp_ntz, channel string")
+    got = sorted(((r.kind, r.order_id, r.order_ts, r.pay_ts, r.channel) for r in match.match_one_to_one(o, p, "5 seconds").collect()), key=str)
+    assert got == sorted([("matched", "a", T(0), T(2), "x"), ("order_only", "a", T(1), None, None), ("matched", "b", T(0), T(1), "x"),
+                          ("pay_only", "b", None, T(1), "y"), ("order_only", "c", T(0), None, None), ("pay_only", "c", None, T(9), "x"),
+                          ("pay_only", "d", None, T(0), "z")], key=str)
+
+
 # ---- keyed state, timers -------------------------------------------------------------------
 
 def test_sustained_rise(spark):

@@ -24,10 +24,22 @@ def test_upsert_window_counts_replaces_only_present_windows(spark, tmp_path):
     b2 = spark.createDataFrame([("w2", 6)], "window_end string, uv long")
     sinks.upsert_window_counts(b2, 1, p)
     sinks.upsert_window_counts(b2, 1, p)  # replayed batch
-    got = sorted((r.window_end, r.uv) for r in spark.read.parquet(p).collect())
+    got = sorted((r.window_end, r.uv) for r in sinks.read_window_counts(spark, p).collect())
     assert got == [("w1", 1), ("w2", 6)]
 
 
+def test_counter_store_keeps_keys_that_did_not_change(spark, tmp_path):
+    p, q = str(tmp_path / "counts"), str(tmp_path / "compact")
+    cols, keys = "window_end string, key string, n long", ("window_end", "key")
+    sinks.upsert_window_counts(spark.createDataFrame([("w1", "a", 1), ("w1", "b", 1)], cols), 0, p)
+    sinks.upsert_window_counts(spark.createDataFrame([("w1", "a", 2)], cols), 1, p)
+    want = [("w1", "a", 2), ("w1", "b", 1)]
+    assert sorted(map(tuple, sinks.read_window_counts(spark, p, keys).collect())) == want
+    sinks.compact_window_counts(spark, p, q, keys)
+    sinks.upsert_window_counts(spark.createDataFrame([("w1", "b", 5)], cols), 2, q)
+    assert sorted(map(tuple, sinks.read_window_counts(spark, q, keys).collect())) == [("w1", "a", 2), ("w1", "b", 5)]
+
+
 def test_fan_out_batches_feeds_every_output(spark, tmp_path):
     from streamlens.session import stream_checkpoint
     from streamlens.streaming.runner import file_stream

@@ -18,7 +18,7 @@ levels from the full depth up to two by itself; the two levels above (at most 25
 summed by Spark, and their predictions, of that bounded size, are broadcast. Buckets give each gram its
 log-probability once and answer each chunk with the values of its own
 grams and words only, so neither model nor vocabulary has to fit into one task or the driver. Frequent
-words and grams reach a bucket once per chunk, not once per occurrence.
+words and grams reach a bucket once per chunk, not once per occurrence. Words are told apart by 64-bit hashes.
 
 Null text counts as empty. Repeated rows are each trained on and scored. Input columns other than the two
 named are not read. Without training documents every decision costs one bit.
@@ -27,13 +27,11 @@ named are not read. Without training documents every decision costs one bit.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +40,7 @@ from streamlens.llm.common import parts_for, written
 
 END = 256
 _BASE = 512  # a symbol takes nine bits of a gram's code
-_END_TOKEN = b""  # no word is empty, so this stands for the end
+_END_TOKEN = 0  # the code of the end among the words' hashes
 
 
 def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +60,39 @@ def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return code[real], sizes
 
 
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, text after text, and the number of each text's words."""
+    data = np.frombuffer(b" ".join([*texts, b""]), "uint8")
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    first = edge[~space[edge]]
+    if len(data) and not space[0]:
+        first = np.concatenate([[0], first])
+    last = edge[space[edge]]
+    up, back = _powers(len(data))
+    total = np.concatenate([np.zeros(1, "uint64"), np.cumsum((data.astype("uint64") + np.uint64(1)) * up, dtype="uint64")])
+    h = mix((total[last] - total[first]) * back[first] + ((last - first).astype("uint64") << np.uint64(40)))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.where(h == _END_TOKEN, 1, h).astype("uint64").view("int64"), np.diff(np.searchsorted(first, ends), prepend=0)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd multiplier modulo 2^64, and of its inverse."""
+    step = 0x9E3779B97F4A7C15
+    up, back = np.full(n, step, "uint64"), np.full(n, pow(step, -1, 1 << 64), "uint64")
+    up[:1] = back[:1] = 1
+    return np.cumprod(up, dtype="uint64"), np.cumprod(back, dtype="uint64")
+
+
+def _distinct(own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of both, and how often each is in the first."""
+    codes, n = np.unique(own, return_counts=True)
+    extra = np.setdiff1d(other, codes)
+    codes, n = np.concatenate([codes, extra]), np.concatenate([n, np.zeros(len(extra), "int64")])
+    order = np.argsort(codes)
+    return codes[order], n[order].astype("int64")
+
+
 _GRAMS, _WORDS = 0, 1
 _ASK = [("bucket", pa.int32()), ("kind", pa.int32()), ("chunk", pa.int32()), ("tokens", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 _ASK_SCHEMA = "bucket int, kind int, chunk int, tokens long, keys binary, counts binary"
@@ -77,37 +108,19 @@ def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator
     _, train, texts = documents(rows)
     own = [t for t, y in zip(texts, train) if y]
     other = [t for t, y in zip(texts, train) if not y]
-    codes, n = np.unique(gram_codes(own, depth)[0], return_counts=True)
-    extra = np.setdiff1d(gram_codes(other, depth)[0], codes)
-    codes, n = np.concatenate([codes, extra]), np.concatenate([n, np.zeros(len(extra), "int64")])
-    order = np.argsort(codes)
-    codes, n = codes[order], n[order].astype("int64")
+    codes, n = _distinct(gram_codes(own, depth)[0], gram_codes(other, depth)[0])
     for b, at in enumerate(by_bucket(_spread(codes, depth), buckets)):
         if len(at):
             yield b, _GRAMS, chunk, 0, pack_sorted(codes[at]), squeeze(n[at].tobytes())
-    seen: Counter[bytes] = Counter()
-    for t in own:
-        seen.update(t.split())
-    if own:
-        seen[_END_TOKEN] += len(own)
-    tokens = seen.total()
-    for t in other:
-        for w in {*t.split(), _END_TOKEN}:
-            if w not in seen:
-                seen[w] = 0
-    words = sorted(seen)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
-    for b, at in enumerate(by_bucket(hashes, buckets)):
+    ends = np.full(len(own), _END_TOKEN, "int64")
+    words, n = _distinct(np.concatenate([word_codes(own)[0], ends]), np.append(word_codes(other)[0], _END_TOKEN))
+    tokens = int(n.sum())
+    for b, at in enumerate(by_bucket(words.view("uint64"), buckets)):
         if len(at):
-            mine = [words[i] for i in at.tolist()]
-            yield b, _WORDS, chunk, tokens, squeeze(b" ".join(mine)), squeeze(np.fromiter(map(seen.__getitem__, mine), "int64", len(mine)).tobytes())
+            yield b, _WORDS, chunk, tokens, pack_sorted(words[at]), squeeze(n[at].tobytes())
             tokens = 0  # counted once
 
 
-def _words_of(x: bytes) -> list[bytes]:
-    return unsqueeze(x).split(b" ")
-
-
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural log of the gamma function for x > 0, by Stirling's series after a shift of eight."""
     shift = x.copy()
@@ -244,23 +257,19 @@ def _answered(asked: DataFrame, shared: Carried | None, depth: int, buckets: int
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches):
-            grams = [r for r in rows if r[1] == _GRAMS]
-            if grams:
-                codes, n = _summed([r[4:6] for r in grams])
-                logs = gram_logs(codes, n, depth, known.value, 2 if known.value is not None else 0).astype("float32")
-                for r in grams:
-                    yield batch([(r[2], _GRAMS, bucket, 0, squeeze(logs[np.searchsorted(codes, unpack_sorted(r[4]))].tobytes()))], _ANSWER)
-            words = [r for r in rows if r[1] == _WORDS]
-            total: dict[bytes, int] = {}
-            for r in words:
-                for w, n in zip(_words_of(r[4]), np.frombuffer(unsqueeze(r[5]), "int64").tolist()):
-                    total[w] = total.get(w, 0) + n
-            distinct = sum(1 for n in total.values() if n)
-            for r in words:
-                own = _words_of(r[4])
-                n = np.fromiter(map(total.__getitem__, own), "int64", len(own))
-                yield batch([(r[2], _WORDS, bucket, distinct, squeeze(n.tobytes()))], _ANSWER)
-                distinct = 0  # told once per bucket
+            for kind in (_GRAMS, _WORDS):
+                mine = [r for r in rows if r[1] == kind]
+                if not mine:
+                    continue
+                codes, n = _summed([r[4:6] for r in mine])
+                told = 0
+                if kind == _GRAMS:
+                    n = gram_logs(codes, n, depth, known.value, 2 if known.value is not None else 0).astype("float32")
+                else:
+                    told = int((n > 0).sum())
+                for r in mine:
+                    yield batch([(r[2], kind, bucket, told, squeeze(n[np.searchsorted(codes, unpack_sorted(r[4]))].tobytes()))], _ANSWER)
+                    told = 0  # once per bucket
 
     dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     return dealt.mapInArrow(answer, "chunk int, kind int, bucket int, words long, data binary")
@@ -271,31 +280,29 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     kinds: dict[int, dict[int, bytes]] = {_GRAMS: {}, _WORDS: {}}
     for kind, bucket, data in answers:
         kinds[kind][bucket] = data
+
+    def values(codes: np.ndarray, kind: int, spread, dtype: str) -> np.ndarray:
+        """What the buckets told about each code."""
+        place, distinct = pd.factorize(codes)
+        order = np.argsort(distinct)
+        value = np.empty(len(distinct), dtype)
+        for b, at in enumerate(by_bucket(spread(distinct[order]), buckets)):
+            if len(at):
+                value[order[at]] = np.frombuffer(unsqueeze(kinds[kind][b]), dtype)
+        return value[place]
+
     codes, sizes = gram_codes(texts, depth)
-    place, distinct = pd.factorize(codes)
-    order = np.argsort(distinct)
-    value = np.empty(len(distinct))
-    for b, at in enumerate(by_bucket(_spread(distinct[order], depth), buckets)):
-        if len(at):
-            value[order[at]] = np.frombuffer(unsqueeze(kinds[_GRAMS][b]), "float32")
-    total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
-    del codes, place
-    split = [t.split() for t in texts]
-    flat = [w for ws in split for w in ws]
-    words = sorted({*flat, _END_TOKEN})
-    index = dict(zip(words, range(len(words))))
-    place = np.fromiter(map(index.__getitem__, flat), "int64", len(flat))
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "uint64", len(words))
-    count = np.zeros(len(words), "int64")
-    for b, at in enumerate(by_bucket(hashes, buckets)):
-        if len(at):
-            count[at] = np.frombuffer(unsqueeze(kinds[_WORDS][b]), "int64")
-    logs = np.log10(count + 0.1)
-    doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
-    end = index[_END_TOKEN]
-    known = np.bincount(doc, count[place] > 0, len(texts)).astype("int64") + int(count[end] > 0)
-    base = np.bincount(doc, logs[place], len(texts)) + logs[end]
-    return [(i, len(ws) + 1, k, x, s, len(t)) for i, ws, k, x, s, t in zip(ids, split, known.tolist(), base.tolist(), total.tolist(), texts)]
+    logs = values(codes, _GRAMS, lambda c: _spread(c, depth), "float32").astype("float64")
+    total = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+    del codes, logs
+    words, n = word_codes(texts)
+    # the end of a text is one more token of each
+    count = values(np.append(words, _END_TOKEN), _WORDS, lambda c: c.view("uint64"), "int64")
+    doc = np.repeat(np.arange(len(texts)), n)
+    end = count[-1]
+    known = np.bincount(doc, count[:-1] > 0, len(texts)).astype("int64") + int(end > 0)
+    base = np.bincount(doc, np.log10(count[:-1] + 0.1), len(texts)) + math.log10(end + 0.1)
+    return [(i, k + 1, x, y, z, len(t)) for i, k, x, y, z, t in zip(ids, n.tolist(), known.tolist(), base.tolist(), total.tolist(), texts)]
 
 
 def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 5, per_chunk: int = 12 << 20) -> DataFrame:

@@ -37,7 +37,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_archives(warc.with_originals(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
     back = warc.read_archives(spark, path, payloads=False)
-    return back.where(F.col("failed_check").isNull()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "start", "length")
+    return back.where(F.col("failed_check").isNull()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,5 +99,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
 }
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 #: DuckDB SQL of those queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
+x AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+    ((((instr('0123456789abcdef', substr(d, (5 * k) // 4 + 1, 1)) - 1) * 16 + instr('0123456789abcdef', substr(d, (5 * k) // 4 + 2, 1)) - 1)
+      >> CAST(3 - (5 * k) % 4 AS INTEGER)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM x""",
+    "op7_substring_dedup": f"""WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+rep AS (SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM rep),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM d),
+kept AS (SELECT e.doc_id, string_agg(x, ' ' ORDER BY e.i) AS t, count(*) AS n FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op8_jaccard_join": f"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, k FROM (
+  SELECT doc_id, array_to_string(w[s:s + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM d WHERE len(w) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+both_ AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, both_.b FROM reach JOIN both_ ON both_.a = reach.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.m AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id""",
+}

@@ -102,3 +102,52 @@ def documents(rows: list[tuple]) -> tuple[list[int | None], list[int], list[byte
         ends = np.cumsum(np.frombuffer(n, "int64")).tolist()
         texts += [whole[s:e] for s, e in zip([0, *ends], ends)]
     return ids, tags, texts
+
+
+def pieces(texts: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of the texts with at most ``most`` bytes each (one text at least)."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t) + 1
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and their counts."""
+    s = np.sort(codes)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, "int64")
+    return s[first], np.diff(np.append(first, len(s)))
+
+
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes (never 0) of all words, text after text, and the number of each text's words."""
+    parts = [_word_codes(texts[s:e]) for s, e in pieces(texts)]
+    none = np.zeros(0, "int64")
+    return np.concatenate([none, *[p[0] for p in parts]]), np.concatenate([none, *[p[1] for p in parts]])
+
+
+def _word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b" ".join([*texts, b""]), "uint8")
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    first = edge[~space[edge]]
+    if len(data) and not space[0]:
+        first = np.concatenate([[0], first])
+    last = edge[space[edge]]
+    up, back = _powers(len(data))
+    total = np.concatenate([np.zeros(1, "uint64"), np.cumsum((data.astype("uint64") + np.uint64(1)) * up, dtype="uint64")])
+    h = mix((total[last] - total[first]) * back[first] + ((last - first).astype("uint64") << np.uint64(40)))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.where(h == 0, 1, h).astype("uint64").view("int64"), np.diff(np.searchsorted(first, ends), prepend=0)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd multiplier modulo 2^64, and of its inverse."""
+    step = 0x9E3779B97F4A7C15
+    up, back = np.full(n, step, "uint64"), np.full(n, pow(step, -1, 1 << 64), "uint64")
+    up[:1] = back[:1] = 1
+    return np.cumprod(up, dtype="uint64"), np.cumprod(back, dtype="uint64")

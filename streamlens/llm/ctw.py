@@ -35,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.chunks import batch, by_bucket, chunked, documents, grouped, mix, pack_sorted, squeeze, unpack_sorted, unsqueeze
+from streamlens.llm.chunks import batch, by_bucket, chunked, distinct, documents, grouped, mix, pack_sorted, pieces, squeeze, unpack_sorted, unsqueeze, word_codes
 from streamlens.llm.common import parts_for, written
 
 END = 256
 _BASE = 512  # a symbol takes nine bits of a gram's code
-_END_TOKEN = 0  # the code of the end among the words' hashes
+_END_TOKEN = 0  # the code of the end among the words' hashes; no word has it
 
 
 def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,37 +60,14 @@ def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return code[real], sizes
 
 
-def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, text after text, and the number of each text's words."""
-    data = np.frombuffer(b" ".join([*texts, b""]), "uint8")
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    first = edge[~space[edge]]
-    if len(data) and not space[0]:
-        first = np.concatenate([[0], first])
-    last = edge[space[edge]]
-    up, back = _powers(len(data))
-    total = np.concatenate([np.zeros(1, "uint64"), np.cumsum((data.astype("uint64") + np.uint64(1)) * up, dtype="uint64")])
-    h = mix((total[last] - total[first]) * back[first] + ((last - first).astype("uint64") << np.uint64(40)))
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    return np.where(h == _END_TOKEN, 1, h).astype("uint64").view("int64"), np.diff(np.searchsorted(first, ends), prepend=0)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd multiplier modulo 2^64, and of its inverse."""
-    step = 0x9E3779B97F4A7C15
-    up, back = np.full(n, step, "uint64"), np.full(n, pow(step, -1, 1 << 64), "uint64")
-    up[:1] = back[:1] = 1
-    return np.cumprod(up, dtype="uint64"), np.cumprod(back, dtype="uint64")
-
-
-def _distinct(own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct codes of both, and how often each is in the first."""
-    codes, n = np.unique(own, return_counts=True)
-    extra = np.setdiff1d(other, codes)
-    codes, n = np.concatenate([codes, extra]), np.concatenate([n, np.zeros(len(extra), "int64")])
-    order = np.argsort(codes)
-    return codes[order], n[order].astype("int64")
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of some (codes, counts), and the sums of their counts."""
+    codes = np.concatenate([np.zeros(0, "int64"), *[p[0] for p in parts]])
+    n = np.concatenate([np.zeros(0, "int64"), *[p[1] for p in parts]])
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, "int64")
+    return codes[first], np.add.reduceat(n, first).astype("int64") if len(first) else n
 
 
 _GRAMS, _WORDS = 0, 1
@@ -106,14 +83,19 @@ def _spread(codes: np.ndarray, depth: int) -> np.ndarray:
 def _gather(rows: list[tuple], chunk: int, depth: int, buckets: int) -> Iterator[tuple]:
     """What a chunk asks of each bucket: its distinct grams and words, with their training counts."""
     _, train, texts = documents(rows)
-    own = [t for t, y in zip(texts, train) if y]
-    other = [t for t, y in zip(texts, train) if not y]
-    codes, n = _distinct(gram_codes(own, depth)[0], gram_codes(other, depth)[0])
+    grams, words = [], []
+    for y in (1, 0):
+        own = [t for t, z in zip(texts, train) if bool(z) == bool(y)]
+        for s, e in pieces(own):
+            for found, codes in ((grams, gram_codes(own[s:e], depth)[0]), (words, word_codes(own[s:e])[0])):
+                keys, n = distinct(codes)
+                found.append((keys, n * y))
+        words.append((np.array([_END_TOKEN]), np.array([len(own) * y])))
+    codes, n = _merged(grams)
     for b, at in enumerate(by_bucket(_spread(codes, depth), buckets)):
         if len(at):
             yield b, _GRAMS, chunk, 0, pack_sorted(codes[at]), squeeze(n[at].tobytes())
-    ends = np.full(len(own), _END_TOKEN, "int64")
-    words, n = _distinct(np.concatenate([word_codes(own)[0], ends]), np.append(word_codes(other)[0], _END_TOKEN))
+    words, n = _merged(words)
     tokens = int(n.sum())
     for b, at in enumerate(by_bucket(words.view("uint64"), buckets)):
         if len(at):
@@ -226,10 +208,7 @@ _SCORES = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int6
 
 def _summed(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of a bucket and their training counts, from rows (keys, counts)."""
-    codes = np.concatenate([unpack_sorted(r[0]) for r in rows])
-    n = np.concatenate([np.frombuffer(unsqueeze(r[1]), "int64") for r in rows])
-    distinct, at = np.unique(codes, return_inverse=True)
-    return distinct, np.bincount(at, n, len(distinct)).astype("int64")
+    return _merged([(unpack_sorted(r[0]), np.frombuffer(unsqueeze(r[1]), "int64")) for r in rows])
 
 
 def _shared_levels(asked: DataFrame, depth: int, buckets: int) -> Carried | None:
@@ -281,27 +260,33 @@ def _score_chunk(packed: list[tuple], answers: list[tuple], depth: int, buckets:
     for kind, bucket, data in answers:
         kinds[kind][bucket] = data
 
-    def values(codes: np.ndarray, kind: int, spread, dtype: str) -> np.ndarray:
-        """What the buckets told about each code."""
-        place, distinct = pd.factorize(codes)
-        order = np.argsort(distinct)
-        value = np.empty(len(distinct), dtype)
-        for b, at in enumerate(by_bucket(spread(distinct[order]), buckets)):
+    def table(keys: np.ndarray, kind: int, hashes: np.ndarray, dtype: str) -> np.ndarray:
+        """What the buckets told about sorted keys."""
+        value = np.empty(len(keys), dtype)
+        for b, at in enumerate(by_bucket(hashes, buckets)):
             if len(at):
-                value[order[at]] = np.frombuffer(unsqueeze(kinds[kind][b]), dtype)
-        return value[place]
-
-    codes, sizes = gram_codes(texts, depth)
-    logs = values(codes, _GRAMS, lambda c: _spread(c, depth), "float32").astype("float64")
-    total = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
-    del codes, logs
+                value[at] = np.frombuffer(unsqueeze(kinds[kind][b]), dtype)
+        return value
+
+    ranges = list(pieces(texts))
+    found = []
+    for s, e in ranges:
+        codes, sizes = gram_codes(texts[s:e], depth)
+        place, keys = pd.factorize(codes)
+        found.append((place.astype("int32"), keys, sizes))
+    keys = distinct(np.concatenate([np.zeros(0, "int64"), *[f[1] for f in found]]))[0]
+    logs = table(keys, _GRAMS, _spread(keys, depth), "float32").astype("float64")
+    total = [np.add.reduceat(logs[np.searchsorted(keys, own)][place], np.cumsum(sizes) - sizes) for place, own, sizes in found]
+    total = np.concatenate([np.zeros(0), *total])
+    del found
     words, n = word_codes(texts)
-    # the end of a text is one more token of each
-    count = values(np.append(words, _END_TOKEN), _WORDS, lambda c: c.view("uint64"), "int64")
+    keys = distinct(np.append(words, _END_TOKEN))[0]  # the end of a text is one more token of each
+    count = table(keys, _WORDS, keys.view("uint64"), "int64")
     doc = np.repeat(np.arange(len(texts)), n)
-    end = count[-1]
-    known = np.bincount(doc, count[:-1] > 0, len(texts)).astype("int64") + int(end > 0)
-    base = np.bincount(doc, np.log10(count[:-1] + 0.1), len(texts)) + math.log10(end + 0.1)
+    of = count[np.searchsorted(keys, words)]
+    end = int(count[np.searchsorted(keys, _END_TOKEN)])
+    known = np.bincount(doc, of > 0, len(texts)).astype("int64") + int(end > 0)
+    base = np.bincount(doc, np.log10(of + 0.1), len(texts)) + math.log10(end + 0.1)
     return [(i, k + 1, x, y, z, len(t)) for i, k, x, y, z, t in zip(ids, n.tolist(), known.tolist(), base.tolist(), total.tolist(), texts)]
 
 
@@ -325,9 +310,9 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
 
     answers = written(_answered(asked, _shared_levels(asked, depth, buckets), depth, buckets), "ctw-answers")
     tokens = asked.where(F.col("kind") == _WORDS).agg(F.sum("tokens")).first()[0] or 0
-    distinct = answers.agg(F.sum("words")).first()[0] or 0
+    known = answers.agg(F.sum("words")).first()[0] or 0
     found = _finished(packed, answers, chunks, depth, buckets)
-    base = F.col("log_counts") - F.col("n_tokens") * math.log10(tokens + 0.1 * (distinct + 1))
+    base = F.col("log_counts") - F.col("n_tokens") * math.log10(tokens + 0.1 * (known + 1))
     bits = -F.col("score") * math.log2(10) / F.greatest("n_bytes", F.lit(1))
     return found.select("doc_id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score", bits.alias("bits_per_byte"))
 

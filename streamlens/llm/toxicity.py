@@ -130,7 +130,8 @@ class Model:
 def descend(x: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], size: int, invariance: float, l2: float, steps: int) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the regularised loss."""
     def flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([i for r in rows for i in r], "int64")
+        none = np.zeros(0, "int32")
+        return np.repeat(np.arange(len(rows), dtype="int32"), [len(r) for r in rows]), np.concatenate([none, *[np.asarray(r, "int32") for r in rows]])
 
     row, col = flat(x)
     pr, pc = flat([a for a, _ in pairs] + [b for _, b in pairs])
@@ -156,7 +157,7 @@ def descend(x: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_features: int = 4096, invariance: float = 1.0,
-        l2: float = 1e-5, steps: int = 400, **names) -> Model:
+        l2: float = 1e-5, steps: int = 300, **names) -> Model:
     """A model from at most ``most_rows`` labelled rows of ``docs``."""
     rows = sample(docs, labels, most_rows, **names)
     index = choose_features(rows, most_features)
@@ -175,7 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_featur
 
     found = rows.mapInArrow(indices, "y int, own array<int>, other array<int>").toArrow()
     y = found["y"].to_numpy().astype("float64")
-    own, other = found["own"].to_pylist(), found["other"].to_pylist()
+    lists = found["own"].combine_chunks()
+    ends = lists.offsets.to_numpy() if len(lists) else np.zeros(1, "int32")
+    own = np.split(lists.values.to_numpy(zero_copy_only=False), ends[1:-1]) if len(lists) else []
+    other = found["other"].to_pylist()
     if not index:
         rate = (y.sum() + 0.5) / (len(y) + 1)
         return Model({}, np.zeros(0), float(np.log(rate / (1 - rate))))

@@ -5,28 +5,22 @@ from __future__ import annotations
 import gc
 import math
 import os
+import re
 import tempfile
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Word characters of the contracts: everything but space and \x09-\x0D.
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SPACE_PATTERN = r"[\x20\x09-\x0D]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a scratch folder only where it is unset
     in a local session (tests). A cluster without the setting is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="streamlens-shared-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -55,11 +49,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(c, _UPPER, _UPPER.lower())
-
-
 def words(c: Column) -> Column:
     """Array of words (``[^\\x20\\x09-\\x0D]+``) of a text; empty for null or blank text."""
     blank = F.translate(F.coalesce(c, F.lit("")), "\t\n\x0b\x0c\r", "     ")
@@ -71,17 +60,13 @@ def held_out(doc_id: Column, mod: int, remainder: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod) == remainder
 
 
-def py_held_out(doc_id, mod: int, remainder: int) -> bool:
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod == remainder
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds at most ``most_bytes`` (or list items) per slice (one row at
     least); bounds the memory of a task whatever the batch size and text lengths."""
     for b in batches:
         n, start = b.num_rows, 0
         col = b.column(b.schema.get_field_index(column))
-        size = pa.compute.list_value_length if pa.types.is_list(col.type) else pa.compute.binary_length
+        size = pc.list_value_length if pa.types.is_list(col.type) else pc.binary_length
         sizes = size(col).fill_null(0).to_numpy(zero_copy_only=False)
         total = 0
         for i in range(n):

@@ -23,6 +23,8 @@ from streamlens.operators.windows import seconds
 
 
 def _bucket(ts: str, width_s: float) -> Column:
+    if width_s <= 0:
+        raise ValueError("the wait must be positive")
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(int(width_s * 1e6)))
 
 

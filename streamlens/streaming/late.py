@@ -26,14 +26,17 @@ Sink = Callable[[DataFrame, int], None]
 
 def _read_max(spark, state_path: str, before: int):
     """Cumulative max event time recorded by batch ``before - 1`` (batch ids are
-    consecutive), or None for the first batch."""
+    consecutive), or None for the first batch. A lost record is an error: without it every
+    row would pass as on time."""
     if before == 0:
         return None
     try:
         line = spark.read.text(os.path.join(state_path, f"batch_id={before - 1}")).first()
-    except AnalysisException:
-        return None
-    return json.loads(line.value)["max_us"] if line else None
+    except AnalysisException as e:
+        raise RuntimeError(f"the watermark record of batch {before - 1} is missing below {state_path}") from e
+    if line is None:
+        raise RuntimeError(f"the watermark record of batch {before - 1} is empty")
+    return json.loads(line.value)["max_us"]
 
 
 def route_late(ts: str, bound: str, on_time: Sink, late: Sink, state_path: str) -> Callable[[DataFrame, int], None]:

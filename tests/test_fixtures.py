@@ -350,3 +350,13 @@ def test_views_and_parsers_carry_the_record_schemas(spark):
     check(rows_, S.ACCESS_LOG)
     counts = windows.count_per_key(td.arrivals(spark, SF001), "key", "ts", "1 hour")
     check(counts, S.KEYED_COUNT)
+
+
+def test_top_n_beyond_the_group_limit(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("window_end"), F.col("id").cast("string").alias("k"), (F.col("id") % 97).alias("count"))
+    got = rows(topn.top_n(df, "k", 1500), "window_end", "k", "rank")
+    want = []
+    for w in (0, 1):
+        own = sorted(((-(i % 97), str(i)) for i in range(5000) if i % 2 == w))[:1500]
+        want += [(w, k, r + 1) for r, (_, k) in enumerate(own)]
+    assert got == sorted(want)

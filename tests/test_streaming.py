@@ -210,10 +210,10 @@ def test_route_late_before_aggregate(spark, tmp_path):
     from streamlens.streaming.late import route_late
     from streamlens.session import stream_checkpoint
     d = str(tmp_path / "late")
-    spark.createDataFrame([("a", T(10), 0), ("a", T(20), 1)], "key string, ts timestamp, id long").write.parquet(d)
+    spark.createDataFrame([("a", T(10), 0), ("a", T(20), 1)], "key string, ts timestamp, id long").coalesce(1).write.parquet(d)
     time.sleep(1.1)
     spark.createDataFrame([("a", T(5), 2), ("a", T(25), 3)], "key string, ts timestamp, id long") \
-        .write.mode("append").parquet(d)
+        .coalesce(1).write.mode("append").parquet(d)
     src = file_stream(spark, d, "key string, ts timestamp, id long", 1)
     main_p, late_p = str(tmp_path / "main"), str(tmp_path / "lateout")
     name = f"route_{uuid.uuid4().hex[:6]}"

@@ -1,21 +1,22 @@
-"""Benchmark decontamination: item-sized windows, SimHash, multi-index Hamming search, exact check.
+"""Benchmark decontamination: item-sized windows found by counts of their shingles, exact check.
 
 Texts become words (lower case; runs of white space and ASCII punctuation part words). A shingle is five
 consecutive words, or the whole item if it is shorter. A document leaks an item if one of its windows of
 the item's length has a weighted shingle similarity of ``similarity`` at least: the sum of the smaller
-multiplicities over the sum of the larger ones.
+multiplicities over the sum of the larger ones. Of a document shorter than the item, the whole is the window.
 
-Which windows are looked at: two multisets of n shingles with similarity t share x >= 2tn / (1 + t) of
+Which windows are looked at: two multisets of m and n shingles with similarity t share x >= t(m + n) / (1 + t) of
 them, so a window that can pass holds x known shingles of an item of its length, and the first of them
 is among its first n - x + 1. Only documents with x shingles of an item, and there only the windows that
-begin that close before a known shingle with x - 1 others within reach, get a fingerprint; no window
-that could pass is lost. Fingerprints are 64-bit SimHashes of the window's words. Multi-index search: four blocks of 16 bits;
-fingerprints within ``radius`` bits agree in one block up to ``radius // 4`` bits, so the items' blocks are
-entered with all such neighbours and the windows' blocks are looked up by equality: every pair of window
-and item of equal length within the radius is found. Candidates are verified on their shingles.
-
-At similarity 0.75 up to one word in 35 differs, about 5 of 64 bits; the default radius of 15 is more
-than four standard deviations away. DataFrame expressions only. The items' shingles are broadcast if
+begin that close before a known shingle with x - 1 others within reach, are verified, each against that item, on their
+shingles; no window that could pass is lost, wherever the differing words are.
+
+Fingerprints do not decide: SimHashes of windows at the threshold can differ in any number of bits. :func:`search` finds
+all pairs of equal length within a radius for those who have only fingerprints: four blocks of 16 bits; fingerprints
+within ``radius`` bits agree in one block up to ``radius // 4`` bits, so the items' blocks are entered with all
+such neighbours and the windows' blocks are looked up by equality.
+
+DataFrame expressions only. The items' shingles are broadcast if
 there are at most ``most_broadcast``, and joined by shuffle beyond it. Null and empty texts and items leak
 nothing. Equal rows are one document and get equal results; rows sharing an id but not the text are
 judged apart; items sharing an id are searched apart and reported under it.
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.llm.common import written
-from streamlens.llm.simhash import distance, fingerprint, lanes
+from streamlens.llm.simhash import distance
 
 WIDTH = 5
 _BLOCKS, _BLOCK = 4, 16
@@ -51,13 +52,6 @@ def _shingles(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
     return each.select(*keep, "pos", F.xxhash64(*[F.col("z").getField(f) for f in fields]).alias("h"))
 
 
-def _prints(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (keys..., print) of the array column ``words``."""
-    each = df.select(*keys, F.explode("words").alias("word"))
-    counted = each.groupBy(*keys).agg(F.count("*").alias("n_"), *lanes(F.xxhash64("word")))
-    return counted.select(*keys, fingerprint("n_").alias("print"))
-
-
 def _blocks(p: Column) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(p, i * _BLOCK).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("key")) for i in range(_BLOCKS)])
 
@@ -76,7 +70,7 @@ def search(prints: DataFrame, items: DataFrame, radius: int) -> DataFrame:
     return found.select(*prints.columns, "key").distinct()
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, radius: int = 15, most_broadcast: int = 2_000_000,
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, most_broadcast: int = 2_000_000,
           doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows (doc_id, row, item_id, start, n_words, similarity): for each document and item it leaks, the
     most similar window (the first of equals), by word position. ``row`` is the hash of the text."""
@@ -84,6 +78,7 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, radius: i
     own = own.withColumn("key", F.xxhash64("item_id", "words")).withColumn("size", F.size("words"))
     own = written(own.dropDuplicates(["key"]), "items")
     read = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("row"), words(F.col(text)).alias("words"))
+    read = read.withColumn("length", F.size("words"))
     widths = sorted({min(WIDTH, r.w) for r in own.select(F.least("size", F.lit(WIDTH)).alias("w")).distinct().collect()})
     windows = pairs = None
     for width in widths:
@@ -91,20 +86,23 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, radius: i
         known = _shingles(mine, width, ["key", "size"]).select("key", F.col("size"), "h").distinct()
         if known.count() <= most_broadcast:
             known = F.broadcast(known)
-        hits = _shingles(read, width, ["id", "row"]).withColumnRenamed("h", "h_").join(known, F.col("h_") == F.col("h"))
+        hits = _shingles(read, width, ["id", "row", "length"]).withColumnRenamed("h", "h_").join(known, F.col("h_") == F.col("h"))
         n = F.col("size") - (width - 1)
-        need = F.ceil(n * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
-        by = hits.groupBy("id", "row", "key", "size").agg(F.collect_set("pos").alias("at")).where(F.size("at") >= need)
+        window_n = F.least("length", "size") - (width - 1)
+        need = F.ceil((window_n + n) * (similarity / (1 + similarity)) - 1e-9).cast("int")
+        by = hits.groupBy("id", "row", "length", "key", "size").agg(F.collect_set("pos").alias("at")).where(F.size("at") >= need)
         by = by.withColumn("at", F.sort_array("at")).withColumn("n", n).withColumn("need", need)
         first = F.filter("at", lambda p, i: F.get("at", i + F.col("need") - 1) - p <= F.col("n") - 1)
         begins = F.flatten(F.transform(first, lambda p: F.sequence(F.greatest(F.lit(0), p - (F.col("n") - F.col("need"))), p)))
-        some = by.select("id", "row", F.explode(F.array_distinct(begins)).alias("start"), "size")
+        begins = F.when(F.col("length") < F.col("size"), F.array(F.lit(0))).otherwise(F.array_distinct(begins))
+        some = by.select("id", "row", F.explode(begins).alias("start"), F.least("length", "size").alias("size"), "key")
         windows = some if windows is None else windows.unionByName(some)
         counts = _shingles(mine, width, ["key"]).groupBy("key", "h").agg(F.count("*").alias("c"))
         pairs = counts if pairs is None else pairs.unionByName(counts)
     out = "doc_id long, row long, item_id {}, start int, n_words int, similarity double".format(own.schema["item_id"].dataType.simpleString())
     if windows is None:
         return docs.sparkSession.createDataFrame([], out)
+    windows = written(windows, "candidates")
     # the words of the windows, cut from their documents
     places = windows.groupBy("id", "row").agg(F.collect_set(F.struct("start", "size")).alias("places"))
     places = places.select(F.col("id").alias("id_"), F.col("row").alias("row_"), "places")
@@ -112,23 +110,23 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, radius: i
     cut = cut.select("id", "row", F.col("p.start").alias("start"), F.col("p.size").alias("size"), F.slice("words", F.col("p.start") + 1, F.col("p.size")).alias("words"))
     cut = written(cut.where(F.size("words") == F.col("size")).distinct(), "windows")
     window = ["id", "row", "start", "size"]
-    found = search(_prints(cut, window), _prints(own, ["key", "size"]), radius)
     held = None
     for width in widths:
         some = _shingles(cut.where(F.least("size", F.lit(WIDTH)) == width), width, window).groupBy(*window, "h").agg(F.count("*").alias("c_"))
         held = some if held is None else held.unionByName(some)
-    return _verified(found, held, pairs, own, window, similarity)
+    return _verified(windows, held, pairs, own, window, similarity)
 
 
 
 def _verified(found: DataFrame, held: DataFrame, pairs: DataFrame, own: DataFrame, window: list[str], similarity: float) -> DataFrame:
+    """Of the candidates (window, key), the best that pass on their shingles."""
     asked = found.select(F.struct(*window).alias("w"), F.col("key").alias("key_"))
     grams = held.select(F.struct(*window).alias("w_"), F.col("h").alias("h_"), "c_")
     both = asked.join(grams, F.col("w").eqNullSafe(F.col("w_"))).join(pairs, (F.col("key_") == F.col("key")) & (F.col("h_") == F.col("h")))
     common = both.groupBy("w", "key").agg(F.sum(F.least("c", "c_")).alias("x"))
-    n = F.col("w.size") - F.least(F.col("w.size"), F.lit(WIDTH)) + 1
-    alike = common.withColumn("similarity", F.col("x") / (2 * n - F.col("x"))).where(F.col("similarity") >= similarity - 1e-12)
-    named = alike.join(own.select("key", "item_id").withColumnRenamed("key", "key_"), F.col("key") == F.col("key_"))
+    named = common.join(own.select(F.col("key").alias("key_"), "item_id", "size"), F.col("key") == F.col("key_"))
+    n = F.col("w.size") + F.col("size") - 2 * (F.least("size", F.lit(WIDTH)) - 1)
+    named = named.withColumn("similarity", F.col("x") / (n - F.col("x"))).where(F.col("similarity") >= similarity - 1e-12)
     best = named.groupBy("w.id", "w.row", "item_id").agg(F.max(F.struct("similarity", (-F.col("w.start")).alias("s"), F.col("w.size").alias("n"))).alias("best"))
     return best.select(F.col("id").alias("doc_id"), "row", "item_id", (-F.col("best.s")).alias("start"), F.col("best.n").alias("n_words"), F.col("best.similarity").alias("similarity"))
 

@@ -96,3 +96,42 @@ def test_search_finds_all_within_the_radius(spark):
     i = spark.createDataFrame([(k, n, sign(p)) for k, n, p in items], "key long, size int, print long")
     want = {(j, k) for j, n, p in asked for k, m, q in items if n == m and bin(p ^ q).count("1") <= 15}
     assert {(r.j, r.key) for r in decontaminate.search(a, i, 15).collect()} == want
+
+
+def brute_short(docs, items):
+    """As brute, and for documents shorter than the item the whole as the window."""
+    out = brute(docs, items)
+    for d, t in docs:
+        w = [x for x in words(t) if x]
+        for i, it in items:
+            own = [x for x in words(it) if x]
+            k = min(5, len(own))
+            if k <= len(w) < len(own):
+                x = sum((grams(w) & grams(own)).values())
+                sim = x / (len(w) + len(own) - 2 * (k - 1) - x)
+                if sim >= 0.75:
+                    out[d, i] = (sim, 0)
+    return out
+
+
+def test_cut_items(spark):
+    """Items continued differently at one end, and items less some words with nothing around them."""
+    rng = random.Random(17)
+    v = [f"{rng.randrange(10**6):x}" for _ in range(3000)]
+    pick = lambda n: [rng.choice(v) for _ in range(n)]
+    items = [(i, " ".join(pick(n))) for i, n in enumerate([6, 10, 18, 25, 32, 40, 46, 60, 102])]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        for k in range(40):
+            cut = round((len(w) - 4) / 7) - rng.choice([0, 0, 0, 1])
+            docs.append((len(docs), " ".join(pick(rng.randrange(3)) + w[:len(w) - cut] + pick(cut + rng.randrange(9)))))
+            docs.append((len(docs), " ".join(pick(cut) + w[cut:])))
+        for cut in range(1, max(3, len(w) // 4)):
+            docs += [(len(docs), " ".join(w[cut:])), (len(docs) + 1, " ".join(w[:-cut])), (len(docs) + 2, " ".join(w[:5] + w[5 + cut:]))]
+    want = brute_short(docs, items)
+    short = [d for d, i in want if len(docs[d][1].split()) < len(items[i][1].split())]
+    assert len(want) > 300 and len(short) > 30
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    same(decontaminate.leaks(df, it).collect(), want)
+    assert {r.doc_id for r in decontaminate.clean(df, it).collect()} == {d for d, _ in docs} - {d for d, _ in want}

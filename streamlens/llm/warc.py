@@ -10,7 +10,8 @@ must pass its checks: gzip CRC and length, version line, headers, content length
 block digest. After a failed check the reader looks for the next place that holds a valid member or
 version line, goes on there, and logs the bytes between as quarantined. If the failed record's own
 length leads to a valid border, only that record is quarantined, so a record quoted inside a payload
-is not taken for one of the archive's. Archives over ``most_bytes`` are refused (``rotate`` keeps the writer's below).
+is not taken for one of the archive's. In a gzip member of several records the same holds within its content; of a member
+that is not whole, the records before the damage are kept if their block digests hold. Archives over ``most_bytes`` are refused (``rotate`` keeps the writer's below).
 
 Null payloads count as empty; a null id is written as an empty id and read back as null. Of rows with
 equal payloads, those with the largest id are responses (all of them, if the row is repeated); a group
@@ -100,21 +101,49 @@ class Salvage:
         self.data = data
         self.view = memoryview(data)
 
-    def member(self, at: int) -> tuple[bytes, int] | None:
-        """Content and end of the gzip member at ``at``, if it is whole and its CRC holds."""
+    def member(self, at: int) -> tuple[bytes, int]:
+        """Content and end of the gzip member at ``at``; what can be read and -1 if it is not whole or its CRC fails."""
         z = zlib.decompressobj(31)
         parts, pos = [], at
         try:
             while not z.eof:
                 piece = self.view[pos:pos + (1 << 16)]
                 if not piece:
-                    return None
+                    return b"".join(parts), -1
                 parts.append(z.decompress(piece))
                 pos += len(piece)
         except zlib.error:
-            return None
+            z = zlib.decompressobj(31)
+            parts = [z.decompress(self.view[at:pos])]
+            try:
+                for i in range(pos, len(self.view)):
+                    parts.append(z.decompress(self.view[i:i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), -1
         return b"".join(parts), pos - len(z.unused_data)
 
+    def inside(self, content: bytes, whole: bool) -> list[tuple[str, dict[str, str], bytes]]:
+        """(failed check or '', headers, block) of the records and gaps of a member's content. Without a CRC that holds,
+        a record needs a block digest and must end before the readable part does."""
+        out, p = [], 0
+        while p < len(content):
+            headers, start, stop, why = self.parse(content, p)
+            if not why and not whole and (stop == len(content) or not headers.get("warc-block-digest", "").startswith("sha1:")):
+                why = "gzip member"
+            if not why:
+                out.append(("", headers, content[start:stop - 4]))
+                p = stop
+                continue
+            out.append((why, {}, b""))
+            if not (stop > 0 and (stop == len(content) or _VERSION_LINE.match(content, stop))):
+                m = _VERSION_LINE.search(content, p + 1)
+                while m and self.parse(content, m.start())[3]:
+                    m = _VERSION_LINE.search(content, m.start() + 1)
+                stop = m.start() if m else len(content)
+            p = stop
+        return out
+
     @staticmethod
     def parse(data: bytes, at: int) -> tuple[dict[str, str], int, int, str]:
         """Headers, block start, end behind the two line ends, and the failed check ('' if none).
@@ -143,43 +172,33 @@ class Salvage:
             return headers, start, end, "block digest"
         return headers, start, end, ""
 
-    def at(self, pos: int) -> tuple[list[tuple[dict[str, str], bytes]], int, str]:
-        """Records at ``pos`` (one; a member may hold several or none), the next position, the failed check."""
+    def at(self, pos: int) -> tuple[list[tuple[str, dict[str, str], bytes]], int, str]:
+        """Records and gaps at ``pos`` (one; a member may hold several or none), the next position (-1: unknown), the
+        failed check if there is no record."""
         if self.data.startswith(b"\x1f\x8b\x08", pos):
-            m = self.member(pos)
-            if m is None:
-                return [], -1, "gzip member"
-            content, end = m
-            out, p = [], 0
-            while p < len(content):
-                headers, start, stop, why = self.parse(content, p)
-                if why:
-                    return [], end, why  # the member's extent is sure, its content is not
-                out.append((headers, content[start:stop - 4]))
-                p = stop
-            return out, end, ""
+            content, end = self.member(pos)
+            found = self.inside(content, end >= 0)
+            if end < 0:  # one gap for all that is lost
+                found = [x for x in found if not x[0]] + [("gzip member", {}, b"")]
+            return found, end, found[0][0] if found and all(x[0] for x in found) else ""
         headers, start, stop, why = self.parse(self.data, pos)
         if why:
             border = stop > 0 and (stop == len(self.data) or _START.match(self.data, stop))
-            return [], stop if border else -1, why
-        return [(headers, self.data[start:stop - 4])], stop, ""
+            return [(why, {}, b"")], stop if border else -1, why
+        return [("", headers, self.data[start:stop - 4])], stop, ""
 
     def __iter__(self) -> Iterator[tuple[int, int, str, dict[str, str], bytes]]:
-        """(offset, length, failed check or '', headers, block) in archive order."""
+        """(offset, length, failed check or '', headers, block) in archive order; what a member holds has the member's extent."""
         pos, n = 0, len(self.data)
         while pos < n:
-            found, end, why = self.at(pos)
-            if not why:
-                for headers, block in found:
-                    yield pos, end - pos, "", headers, block
-                pos = end
-                continue
+            found, end, _ = self.at(pos)
             if end < 0:
                 m = _START.search(self.data, pos + 1)
                 while m and self.at(m.start())[2]:
                     m = _START.search(self.data, m.start() + 1)
                 end = m.start() if m else n
-            yield pos, end - pos, why, {}, b""
+            for why, headers, block in found:
+                yield pos, end - pos, why, headers, block
             pos = end
 
 

@@ -78,3 +78,19 @@ def test_quoted_record_stays_quarantined():
     data = bytes(outer) + warc.record(2, "u", b"after") + b"\r\n\r\n"
     seen = list(warc.Salvage(data))
     assert [(w, h.get("warc-record-id")) for _, _, w, h, _ in seen] == [("block digest", None), ("", "<urn:page:2>")]
+
+
+def test_one_bad_record_in_a_member_of_several():
+    recs = [warc.record(i, "u", f"payload {i} ".encode() * 30) + b"\r\n\r\n" for i in range(8)]
+    bad = recs[3].replace(b"payload 3", b"payl0ad 3", 1)
+    member = warc._member(b"".join([*recs[:3], bad, *recs[4:]]), 6)
+    after = warc._member(warc.record(50, "u", b"after") + b"\r\n\r\n", 6)
+    ids = lambda data: [h.get("warc-record-id") or w for _, _, w, h, _ in warc.Salvage(data)]
+    name = lambda i: f"<urn:page:{i}>"
+    assert ids(member + after) == [*map(name, range(3)), "block digest", *map(name, range(4, 8)), name(50)]
+    rng = random.Random(3)
+    big = [warc.record(i, "u", rng.randbytes(3000)) + b"\r\n\r\n" for i in range(8)]
+    whole = warc._member(b"".join(big), 6)
+    assert ids(whole[:len(whole) * 9 // 16]) == [*map(name, range(4)), "gzip member"]
+    crc = whole[:-8] + bytes(4) + whole[-4:]
+    assert ids(crc + after) == [*map(name, range(7)), "gzip member", name(50)]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, ctw, decontaminate, langid, lines, merkle, sigtree, superkmer, toxicity, warc
+from streamlens.llm import (bpe, ctw, decontaminate, fim, importance, langid, lines, merkle, piecetable, sigtree, superkmer,
+                            toxicity, warc)
 from streamlens.llm.common import fresh_path, held_out
 
 
@@ -86,6 +87,31 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_pairs(_documents(spark, sf_dir))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the distribution of the benchmark texts, by hashed words."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = importance.fit(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text"))
+    return importance.draw(docs, model).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document under a merge-type piece model, as digests."""
+    import public_tokenizers
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    both = piecetable.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), ids="ids", decoded="decoded")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and the text rebuilt from it, as digests."""
+    made = fim.transform(_documents(spark, sf_dir).select("doc_id", "text"))
+    return fim.restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                                    F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -97,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
+    "op11_importance": op11_importance,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_fim": op13_fim,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -131,4 +160,34 @@ both_ AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, both_.b FROM reach JOIN both_ ON both_.a = reach.b)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.m AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id""",
+    "op11_importance": r"""WITH RECURSIVE step(b, k, v) AS (SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+tab AS (SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sw AS (SELECT x, count(*) AS n FROM (SELECT unnest(w) AS x FROM d) GROUP BY x),
+tw AS (SELECT x, count(*) AS n FROM (SELECT unnest(w) AS x FROM q) GROUP BY x),
+hexed AS (SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM sw UNION SELECT x FROM tw)),
+buckets AS (SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2),
+  lambda i: ((instr('0123456789ABCDEF', substr(h, CAST(2 * i + 1 AS INTEGER), 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(h, CAST(2 * i + 2 AS INTEGER), 1)) - 1)::BIGINT)),
+  lambda c, y: xor(c >> 8, t[CAST(xor(c, y) & 255 AS INTEGER) + 1])), 4294967295) % 10000 AS b FROM hexed, tab),
+s AS (SELECT b, sum(n) AS n FROM sw JOIN buckets USING (x) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM tw JOIN buckets USING (x) GROUP BY b),
+tot AS (SELECT (SELECT coalesce(sum(n), 0) FROM sw) AS s_all, (SELECT coalesce(sum(n), 0) FROM tw) AS t_all),
+gain AS (SELECT b, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)) / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM (SELECT DISTINCT b FROM buckets) LEFT JOIN s USING (b) LEFT JOIN t USING (b), tot),
+wt AS (SELECT doc_id, sum(g) AS weight FROM (SELECT doc_id, unnest(w) AS x FROM d) JOIN buckets USING (x) JOIN gain USING (b) GROUP BY doc_id),
+sc AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+  (CAST(('0x' || substr(sha256('2024:' || d.doc_id), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN wt ON wt.doc_id = d.doc_id),
+rk AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM sc WHERE n_features >= 20)
+SELECT sc.*, CASE WHEN r <= (SELECT count(*) FROM rk) * 10 // 100 THEN r END AS rank FROM sc LEFT JOIN rk USING (doc_id)""",
+    "op13_fim": r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+  sha256('42:' || doc_id) AS h FROM documents),
+k AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda i: CAST(('0x' || substr(h, CAST(8 * i + 1 AS INTEGER), 8)) AS BIGINT)) AS r FROM d),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+x AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM x""",
 }

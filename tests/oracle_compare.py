@@ -55,6 +55,9 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose: bool = False) -> t
     t0 = time.time()
     sdf = E.queries()[name](spark, sf_dir)
     spdf = sdf.toPandas()
+    for f in sdf.schema.fields:  # nullable integers arrive as floats
+        if f.dataType.typeName() in ("integer", "long"):
+            spdf[f.name] = spdf[f.name].astype("Int64")
     t1 = time.time()
     sql = E.oracle_sql().get(name)
     if sql is None:

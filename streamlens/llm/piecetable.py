@@ -10,8 +10,9 @@ there, the one compatible with the last token of the prefix before it. The ids a
 is linear in the text (the pieces ending at a place are bounded by the longest piece).
 
 No piece holds white space behind another character (checked when the model is read), so a text is cut in
-front of each run of spaces and at control characters no piece holds; each distinct unit of a slice is
-encoded once and short ones are kept in a bounded cache. Characters no piece holds become their bytes.
+front of each run of spaces, at control characters no piece holds, and between letters and what follows them
+(letters behind which some piece goes on with something else count as no letters); each distinct unit of a
+slice is encoded once and short ones are kept in a bounded cache. Characters no piece holds become their bytes.
 
 Null and empty texts give no ids; every input row gives one output row (repeated rows too); columns of
 ``df`` with an output's name are replaced, the others stay; an empty table gives an empty one; a very long
@@ -25,8 +26,8 @@ from __future__ import annotations
 import codecs
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -41,6 +42,7 @@ MOST_MODEL_BYTES = 64 << 20
 _SPACE = "▁"  # stands for a space inside pieces
 # Piece kinds of the model format.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
+_WORST = float("-inf")
 
 
 def _varint(data: bytes, i: int) -> tuple[int, int]:
@@ -75,7 +77,7 @@ codecs.register_error("streamlens-each-byte", _each_byte)
 class PrefixTable:
     """The pieces of a model and the bounded caches of one worker. Ids are kept as packed int32."""
 
-    def __init__(self, model: bytes, most_cached: int = 400_000, longest_cached: int = 64):
+    def __init__(self, model: bytes, most_cached: int = 300_000, longest_cached: int = 64):
         pieces: list[tuple[str, float, int]] = []
         merges, prefix, extra, charsmap, escape, fallback = 1, 1, 1, b"", 1, 0
         for number, value in _fields(model):
@@ -112,83 +114,139 @@ class PrefixTable:
             self.automaton.add_word(p, i)
         self.automaton.make_automaton()
         lone = "".join(re.escape(chr(c)) for c in [*range(32), 127] if chr(c) not in self.chars)
-        self.unit = re.compile(f"[{lone}]| *[^ {lone}]+| +" if lone else " *[^ ]+| +")
+        # letters behind which a piece goes on with something else count as no letters
+        odd = ""
+        while more := {m[0] for p in self.id for m in re.findall(rf"([^\W\d_{odd}])(?=[\W\d_{odd}])", p)}:
+            odd += "".join(map(re.escape, more))
+        rest = rf" *[^\W\d_{odd}]++(?=[\W\d_{odd}])| *[^ {lone}]+| +"
+        self.unit = re.compile(f"[{lone}]|{rest}" if lone else rest)
         self.start = len(pieces)  # stands in front of a text
+        self.odd = re.compile(f"[^{''.join(map(re.escape, sorted(self.chars)))}]")
+        self.gap = next(chr(c) for c in range(0x10FFFF) if chr(c) not in self.chars)
+        self.made: dict[int, tuple[list, list] | None] = {}
         self.compatible: dict[int, bool] = {}
         self.units: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most_cached, self.longest_cached = most_cached, longest_cached
 
     # --- the table -----------------------------------------------------------------------
-    def merged(self, text: str) -> list[str]:
-        """The greedy rule itself, for the short text of two tokens."""
-        parts, score = list(text), self.score
+    def history(self, token: int) -> tuple[list, list] | None:
+        """The merges that make ``token`` from its characters, in the order of the greedy rule, each with its
+        score and the symbol it leaves at the left and at the right end; None if they do not make it."""
+        parts, score = list(self.text[token]), self.score
+        left, right = [(None, parts[0])], [(None, parts[-1])]
         while True:
-            best, at = None, -1
+            best, at = _WORST, -1
             for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
+                s = score.get(parts[i] + parts[i + 1], _WORST)
+                if s > best:
                     best, at = s, i
             if at < 0:
-                return parts
+                break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            left.append((best, parts[0]))
+            right.append((best, parts[-1]))
+        return (left + [(_WORST, "")], right + [(_WORST, "")]) if len(parts) == 1 else None
 
     def fits(self, before: int, token: int) -> bool:
-        """Whether ``token`` may follow ``before`` (the start of the text: whether it is its own encoding)."""
-        own = self.text[token]
-        if before == self.start:
-            ok = self.merged(own) == [own]
-        else:
-            ok = self.merged(self.text[before] + own) == [self.text[before], own]
-        if len(self.compatible) >= 4 * self.most_cached:
+        """Whether ``token`` may follow ``before`` (the start of a text: whether it is its own encoding): the greedy
+        rule makes both side by side and no merge across their border ever has its turn. Among equal scores the
+        leftmost is first: the merges of ``before``, then the one across, then those of ``token``."""
+        for t in (before, token):
+            if t != self.start and t not in self.made:
+                self.made[t] = self.history(t)
+        ok = self.made[token] is not None
+        if ok and before != self.start:
+            a, b, score = self.made[before][1], self.made[token][0], self.score
+            i = j = 1
+            end, first = a[0][1], b[0][1]
+            across = score.get(end + first, _WORST)
+            while True:
+                sa, sb = a[i][0], b[j][0]
+                if across > sa and across >= sb and across > _WORST:
+                    ok = False
+                    break
+                if sa == sb == _WORST:
+                    break
+                if sa >= sb:
+                    now, i = a[i][1], i + 1
+                    if now == end:
+                        continue
+                    end = now
+                else:
+                    now, j = b[j][1], j + 1
+                    if now == first:
+                        continue
+                    first = now
+                across = score.get(end + first, _WORST)
+        if len(self.compatible) >= 3 * self.most_cached:
             self.compatible.clear()
         self.compatible[before << 32 | token] = ok
         return ok
 
     def last_tokens(self, text: str) -> list[int]:
-        """The last token of every prefix of ``text``, whose characters are all known."""
+        """The last token of every prefix of ``text``; behind a character that no piece holds the table starts
+        anew, so units parted by such a character share one pass of the automaton."""
         last = [-1] * (len(text) + 1)
         last[0] = self.start
+        for m in self.odd.finditer(text):
+            last[m.end()] = self.start
         size, known, fits = self.size, self.compatible, self.fits
         for end, token in self.automaton.iter(text):
-            if last[end + 1] < 0:
-                before = last[end + 1 - size[token]]
+            stop = end + 1
+            if last[stop] < 0:
+                before = last[stop - size[token]]
                 if before >= 0:
                     ok = known.get(before << 32 | token)
                     if ok or ok is None and fits(before, token):
-                        last[end + 1] = token
+                        last[stop] = token
         return last
 
-    def ids_of(self, text: str) -> list[int]:
-        if not self.chars.issuperset(text):
-            ids: list[int] = []
-            for known, run in groupby(text, self.chars.__contains__):
-                run = "".join(run)
-                ids += self.ids_of(run) if known else [self.byte[b] for b in run.encode()]
-            return ids
-        last, at, ids = self.last_tokens(text), len(text), []
-        while at:
-            token = last[at]
-            ids.append(token)
-            at -= self.size[token]
-        return ids[::-1]
+    def ids_of(self, units: list[str]) -> list[bytes]:
+        """Packed ids of each unit, read off the table from its end."""
+        text = self.gap.join(units).replace(" ", _SPACE)
+        last, size, start = self.last_tokens(text), self.size, self.start
+        at, out = len(text), []
+        for u in reversed(units):
+            begin, ids = at - len(u), []
+            while at > begin:
+                token = last[at]
+                if token == start:
+                    ids += [self.byte[b] for b in reversed(text[at - 1].encode())]
+                    at -= 1
+                else:
+                    ids.append(token)
+                    at -= size[token]
+            ids.reverse()
+            out.append(array("i", ids).tobytes())
+            at = begin - 1
+        out.reverse()
+        return out
 
     # --- texts -----------------------------------------------------------------------------
     def learn(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of the given units; new short ones enter the cache."""
-        if len(self.units) + len(units) > self.most_cached:
-            self.units.clear()
-        long = {}
-        for u in units - self.units.keys():
-            ids = np.array(self.ids_of(u.replace(" ", _SPACE)), "int32").tobytes()
-            (self.units if len(u) <= self.longest_cached and len(self.units) < self.most_cached else long)[u] = ids
-        return long
+        """Packed ids of the given units. The cache holds two generations of short units: what a slice uses
+        stays, what several slices did not use goes."""
+        found, old = {}, self.old
+        new = []
+        for u in units:
+            ids = self.units.get(u) or old.get(u)
+            if ids is None:
+                new.append(u)
+            else:
+                found[u] = ids
+        found.update(zip(new, self.ids_of(new)))
+        longest = self.longest_cached
+        self.units.update((u, ids) for u, ids in found.items() if len(u) <= longest)
+        if len(self.units) > self.most_cached:
+            self.old, self.units = self.units, {}
+        return found
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [self.unit.findall(" " + t.replace(_SPACE, " ")) if t else () for t in texts]
-        long = self.learn(set().union(*cut))
-        known = {**self.units, **long} if long else self.units
-        return [np.frombuffer(b"".join([known[u] for u in units]), "int32") for units in cut]
+        known = self.learn(set().union(*cut))
+        return [np.frombuffer(b"".join(map(known.__getitem__, units)), "int32") for units in cut]
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: the pieces joined, the space put in front taken off; a byte that is no UTF-8 is

@@ -31,7 +31,7 @@ def test_each_operator_has_a_query():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
 
 
-def brute_pipeline(spark, rows, items):
+def brute_pipeline(rows, items):
     """{doc_id: text} of what the first four stages keep."""
     by = {}
     for r in rows:
@@ -43,7 +43,7 @@ def brute_pipeline(spark, rows, items):
     model = langid.Profiles(profile, 300)
     found = {r.doc_id: (r, model.predict(r.text, 40.0)) for r in rows}
     docs = [(i, r.text) for i, (r, p) in found.items() if p[0] != "und" and p[2] <= corpus_pipeline.MOST_DISTANCE]
-    gone, _ = test_lines.brute(docs, test_lines.prints_of(spark, docs), 0.8, 10)
+    gone, _ = test_lines.brute(docs, 0.8)
     cut = {i: set(g) for i, _, g in gone}
     docs = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut[i])) for i, t in docs]
     low = {i: c for i, _, c in test_sigtree.brute(docs)}
@@ -55,7 +55,7 @@ def brute_pipeline(spark, rows, items):
 def test_pipeline_matches_brute_force(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
-    want = brute_pipeline(spark, docs.collect(), items)
+    want = brute_pipeline(docs.collect(), items)
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF001).collect()}
     assert got.keys() == want.keys() and 50 < len(got) < 200
     ref = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))

@@ -8,7 +8,7 @@ lands whole in one task. Ties are broken by key ascending.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import timestamp_text
@@ -37,20 +37,27 @@ def top_n(counts: DataFrame, key: str, n: int = 3, by: str = "window_end",
     return counts.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
+_STYLES = {"item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),
+           "url": (URL_REPORT_HEAD, URL_REPORT_LINE, URL_REPORT_FOOT)}
+
+
+def report_line(rank: Column, key: Column, count: Column, style: str) -> Column:
+    fmt = _STYLES[style][1].replace("{rank}", "%d").replace("{key}", "%s").replace("{count}", "%d")
+    return F.format_string(fmt, rank, key.cast("string"), count)
+
+
+def report_text(end: Column, lines: Column, style: str) -> Column:
+    """The text of a window from its lines (an array, in order)."""
+    head, _, foot = _STYLES[style]
+    return F.concat(F.lit(head), timestamp_text(end), F.lit("\n"), F.array_join(lines, ""), F.lit(foot))
+
+
 def ranked_report(top: DataFrame, key: str, by: str = "window_end", count: str = "count",
                   rank: str = "rank", style: str = "item", out: str = "report") -> DataFrame:
     """#44 one text per window: header with the window end, one line per rank.
 
     Input is already cut to N rows per window, so the per-window collect is bounded
     by N."""
-    head, line, foot = {
-        "item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),
-        "url": (URL_REPORT_HEAD, URL_REPORT_LINE, URL_REPORT_FOOT),
-    }[style]
-    fmt = line.replace("{rank}", "%d").replace("{key}", "%s").replace("{count}", "%d")
-    lines = top.select(by, rank, F.format_string(fmt, F.col(rank), F.col(key).cast("string"),
-                                                 F.col(count)).alias("_line"))
+    lines = top.select(by, rank, report_line(F.col(rank), F.col(key), F.col(count), style).alias("_line"))
     grouped = lines.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(rank, "_line"))).alias("_ls"))
-    body = F.array_join(F.transform("_ls", lambda s: s.getField("_line")), "")
-    return grouped.select(by, F.concat(F.lit(head), timestamp_text(by), F.lit("\n"), body,
-                                       F.lit(foot)).alias(out))
+    return grouped.select(by, report_text(F.col(by), F.transform("_ls", lambda s: s.getField("_line")), style).alias(out))

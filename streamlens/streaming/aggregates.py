@@ -1,4 +1,4 @@
-"""Streaming window aggregates and chained top-N (no Python in the plan).
+"""Streaming window aggregates (no Python in the plan) and top-N per window.
 
 Inputs must carry an event-time TIMESTAMP column with a watermark
 (:func:`with_event_time`). Results keep the ``window`` struct so that a following
@@ -7,10 +7,15 @@ aggregation can chain on it in append mode.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import heapq
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from streamlens.functions.scalar import poly_hash, timestamp_text
+from streamlens.functions.scalar import poly_hash
+from streamlens.operators.topn import report_line, report_text
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", bound: str = "0 seconds") -> DataFrame:
@@ -38,54 +43,74 @@ def distinct_users(df: DataFrame, user: str, ts: str, size: str, slide: str, bit
     return per.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
 
 
+class TopRows(StatefulProcessor):
+    """The ``n`` best (count, key) of a group, ties to the smaller key, as one short list in a value state. A key that
+    comes again replaces its count: counts only grow, so a key outside the list has at most the least count in it and
+    enters with the update that lifts it. The list comes out when the watermark reaches the window's end."""
+
+    def __init__(self, n: int, kind: str):
+        self.n, self.kind = n, kind
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.top = handle.getValueState("top", f"keys array<{self.kind}>, counts array<bigint>")
+        self.make = Row("end_us", "keys", "counts")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if self.top.exists():
+            best = dict(zip(*self.top.get()))
+        else:
+            best = {}
+            self.handle.registerTimer(key[0] // 1000 - 2)
+        for r in rows:
+            for k, c in zip(r["keys"], r["counts"]):
+                best[k] = max(c, best.get(k, c))
+            if len(best) > 4 * self.n + 1000:
+                best = dict(self._cut(best))
+        cut = self._cut(best)
+        self.top.update(([k for k, _ in cut], [c for _, c in cut]))
+        return iter(())
+
+    def _cut(self, best: dict) -> list[tuple]:
+        return heapq.nsmallest(self.n, best.items(), key=lambda e: (-e[1], e[0] is not None, e[0] if e[0] is not None else 0))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        keys, counts = self.top.get()
+        self.top.clear()
+        yield self.make(key[0], list(keys), list(counts))
+
+    def close(self) -> None:
+        pass
+
+
 def _ranked_top(counts: DataFrame, key: str, n: int, count: str, salts: int) -> DataFrame:
-    """Per window, the top ``n`` (-count, key) structs, in two chained aggregations:
-    top ``n`` per (window, hash(key) mod ``salts``), then top ``n`` of those ``salts * n``
-    candidates. A group holds at most keys/salts entries, the merge ``salts * n``:
-    a window with millions of keys is never collected in one task."""
-    entry = F.struct((-F.col(count)).alias("_neg"), F.col(key).alias("_k"))
-    part = counts.groupBy("window", F.pmod(F.hash(F.col(key)), F.lit(salts)).alias("_salt")).agg(
-        F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("_part"))
-    return part.groupBy("window").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("_part"))), 1, n).alias("_top"))
-
-
-def top_n(counts: DataFrame, key: str, n: int, count: str = "count", salts: int = 64) -> DataFrame:
-    """#41/#42 on a stream. ``row_number`` is rejected on streams, so the top ``n`` per
-    window is kept by chained aggregations in append mode (see :func:`_ranked_top`)."""
+    """(end_us, keys, counts) of each window, ranked: the best ``n`` per (window, hash(key) mod ``salts``), then the best
+    ``n`` of those ``salts * n``. No state or task holds more than that of a window."""
+    kind = counts.schema[key].dataType.simpleString()
+    schema = f"end_us long, keys array<{kind}>, counts array<bigint>"
+    rows = counts.select(F.unix_micros("window.end").alias("end_us"), F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt"),
+                         F.array(key).alias("keys"), F.array(F.col(count).cast("long")).alias("counts"))
+    part = rows.groupBy("end_us", "_salt").transformWithState(TopRows(n, kind), schema, "Append", "EventTime")
+    return part.groupBy("end_us").transformWithState(TopRows(n, kind), schema, "Append", "EventTime")
+
+
+def top_n(counts: DataFrame, key: str, n: int, count: str = "count", salts: int = 16) -> DataFrame:
+    """#41/#42 on a stream, from :func:`window_counts` in append mode (``row_number`` is rejected on streams)."""
     ranked = _ranked_top(counts, key, n, count, salts)
-    return ranked.select(F.col("window.end").alias("window_end"),
-                         F.posexplode("_top").alias("_pos", "_e")).select(
-        "window_end", F.col("_e._k").alias(key), (-F.col("_e._neg")).alias(count),
-        (F.col("_pos") + 1).cast("long").alias("rank"))
-
-def allowed_lateness(df: DataFrame, key: str, ts: str, size: str, bound: str, lateness: str) -> DataFrame:
-    """#50 on a stream: watermark delay = bound + allowed lateness, run in **update**
-    mode: a window's count is emitted when it changes, so each late-but-allowed row
-    re-emits the cumulative count; rows behind the watermark are dropped."""
-    from streamlens.operators.windows import seconds
-    delay = f"{int(round((seconds(bound) + seconds(lateness)) * 1e6))} microseconds"
-    return window_counts(with_event_time(df, ts, delay), key, ts, size)
+    return ranked.select(F.timestamp_micros("end_us").alias("window_end"), F.posexplode(F.arrays_zip("keys", "counts")).alias("_pos", "_e")).select(
+        "window_end", F.col("_e.keys").alias(key), F.col("_e.counts").alias(count), (F.col("_pos") + 1).cast("long").alias("rank"))
 
 
 def early_counts(df: DataFrame, key: str, ts: str, size: str, bound: str = "0 seconds") -> DataFrame:
-    """#51/#52 early (per-trigger) results: the same aggregation in **update** mode,
-    started with ``trigger(processingTime='1 second')`` (#51) or per micro-batch (#52):
-    every trigger emits the running count of each changed window."""
+    """#51 early (per-trigger) results: the same aggregation in **update** mode,
+    started with ``trigger(processingTime='1 second')``: every trigger emits the running
+    count of each changed window. (#50, #52: :mod:`streamlens.streaming.late`.)"""
     return window_counts(with_event_time(df, ts, bound), key, ts, size)
 
 
-def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item",
-                 salts: int = 64) -> DataFrame:
-    """#44 on a stream: the ranked text per window, built on the chained top-N
-    aggregations (no further aggregation)."""
-    from streamlens.operators.topn import (ITEM_REPORT_FOOT, ITEM_REPORT_HEAD, ITEM_REPORT_LINE,
-                                           URL_REPORT_FOOT, URL_REPORT_HEAD, URL_REPORT_LINE)
-    head, line, foot = {"item": (ITEM_REPORT_HEAD, ITEM_REPORT_LINE, ITEM_REPORT_FOOT),
-                        "url": (URL_REPORT_HEAD, URL_REPORT_LINE, URL_REPORT_FOOT)}[style]
-    fmt = line.replace("{rank}", "%d").replace("{key}", "%s").replace("{count}", "%d")
-    top = _ranked_top(counts, key, n, count, salts)
-    lines = F.transform("_top", lambda e, i: F.format_string(fmt, i + 1, e["_k"].cast("string"), -e["_neg"]))
-    return top.select(F.col("window.end").alias("window_end"),
-                      F.concat(F.lit(head), timestamp_text(F.col("window.end")), F.lit("\n"),
-                               F.array_join(lines, ""), F.lit(foot)).alias("report"))
+def top_n_report(counts: DataFrame, key: str, n: int, count: str = "count", style: str = "item", salts: int = 16) -> DataFrame:
+    """#44 on a stream: the ranked text per window."""
+    ranked = _ranked_top(counts, key, n, count, salts)
+    lines = F.transform(F.arrays_zip("keys", "counts"), lambda e, i: report_line(i + 1, e["keys"], e["counts"], style))
+    end = F.timestamp_micros("end_us")
+    return ranked.select(end.alias("window_end"), report_text(end, lines, style).alias("report"))

@@ -1,270 +1,345 @@
-"""``transformWithState`` processors: keyed state and timers (#22, #24-#26,
-#53-#60).
+"""Keyed state and timers on a stream (#22-#26, #53-#60).
 
-Rows of a key arrive unordered within a micro-batch, so every processor sorts its
-batch by event time first. Event-time timers fire once the watermark passes them
-(one batch later in a running query); the batch forms in
-:mod:`streamlens.operators` define the final results these must reach.
+Each operator is a :class:`~streamlens.streaming.ordered.Ordered` processor plus a function that takes a
+watermarked stream and returns the rows its batch form in :mod:`streamlens.operators` gives, once the
+watermark has passed them. Rows behind the watermark are dropped by Spark (and counted in its progress).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from streamlens.operators.windows import seconds
+from streamlens.streaming.ordered import Ordered, ordered
 
-def _ms(ts) -> int:
-    return int(ts.timestamp() * 1000)
 
+def _us(duration: str | float) -> int:
+    return int(round(seconds(duration) * 1e6))
 
-def _sorted(rows: Iterator[Row], *fields: str) -> list[Row]:
-    return sorted(rows, key=lambda r: tuple(r[f] for f in fields))
 
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
 
-class RunningAggregate(StatefulProcessor):
-    """#24 rolling sum / #26 rolling min: value state = aggregate so far."""
 
-    def __init__(self, value: str, order: tuple[str, ...], agg: str = "sum", out: str = "agg",
-                 keep: tuple[str, ...] = ()):
-        self.value, self.order, self.agg, self.out, self.keep = value, order, agg, out, keep
+def _kept(df: DataFrame, keep: Sequence[str]) -> str:
+    return "".join(f"`{c}` {_type(df, c)}, " for c in keep)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "acc double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        acc = self.acc.get()[0] if self.acc.exists() else None
-        for r in _sorted(rows, *self.order):
-            v = r[self.value]
-            if acc is None:
-                acc = float(v)
-            elif self.agg == "sum":
-                acc += v
-            else:
-                acc = min(acc, v)
-            yield Row(**{k: r[k] for k in self.keep}, **{self.out: acc})
-        self.acc.update((acc,))
+class RunningAggregate(Ordered):
+    """#24 rolling sum, #26 rolling min. Nulls leave the aggregate as it is; integers and decimals are exact."""
 
-    def close(self) -> None:
-        pass
+    def __init__(self, value: str, order: Sequence[str], agg: str, out: str, keep: Sequence[str], kind: str, idle_us: int | None = None):
+        if agg not in ("sum", "min", "max"):
+            raise ValueError("agg must be sum, min or max")
+        self.value, self.agg, self.idle_us = value, {"sum": lambda a, b: a + b, "min": min, "max": max}[agg], idle_us
+        self.order, self.columns, self.keep = tuple(order), (value, *keep), tuple(keep)
+        self.own_schema, self.make = f"acc {kind}", Row(*keep, out)
+
+    def start(self) -> list:
+        return [None]
+
+    def step(self, key, own, row) -> Iterator[Row]:
+        v = row[self.value]
+        if v is not None:
+            own[0] = v if own[0] is None else self.agg(own[0], v)
+        yield self.make(*[row[c] for c in self.keep], own[0])
+
+
+def rolling(df: DataFrame, key: str, value: str, ts: str, order: Sequence[str] = (), agg: str = "sum", out: str = "sum",
+            keep: Sequence[str] = (), idle: str | float | None = None) -> DataFrame:
+    """#24/#26 per row, in the order of ``ts`` and ``order``: ``keep`` and the running ``agg`` of ``value``. A sum of
+    integers is a long, one of decimals has ten more digits, others are doubles. With ``idle`` a key starts anew after
+    so long without a row; without it its aggregate is kept."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        df = df.withColumn(value, F.col(value).cast("double"))
+        name = "double"
+    elif agg != "sum":
+        name = kind.simpleString()
+    elif isinstance(kind, T.DecimalType):
+        name = f"decimal({min(38, kind.precision + 10)},{kind.scale})"
+    else:
+        name = "bigint"
+    p = RunningAggregate(value, order, agg, out, keep, name, None if idle is None else _us(idle))
+    return ordered(df, key, ts, p, f"{_kept(df, keep)}`{out}` {name}")
 
 
-class RunningList(StatefulProcessor):
-    """#25 rolling list concatenation: list state of every value so far."""
+class RunningList(Ordered):
+    """#25 rolling list: every value so far in a list state of its own, to which rows are only added."""
 
-    def __init__(self, value: str, order: tuple[str, ...], out: str = "items", keep: tuple[str, ...] = ()):
-        self.value, self.order, self.out, self.keep = value, order, out, keep
+    own_schema = "n long"
+
+    def __init__(self, value: str, order: Sequence[str], out: str, keep: Sequence[str], kind: str, many: bool):
+        self.value, self.kind, self.many = value, kind, many
+        self.order, self.columns, self.keep, self.make = tuple(order), (value, *keep), tuple(keep), Row(*keep, out)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.items = handle.getListState("items", "v string")
+        super().init(handle)
+        self.items = handle.getListState("items", f"v {self.kind}")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen = [t[0] for t in self.items.get()] if self.items.exists() else []
-        new = []
-        for r in _sorted(rows, *self.order):
-            v = r[self.value]
-            vals = list(v) if isinstance(v, (list, tuple)) else [v]
-            seen.extend(vals)
-            new.extend(vals)
-            yield Row(**{k: r[k] for k in self.keep}, **{self.out: list(seen)})
-        if new:
-            self.items.appendList([(x,) for x in new])
+    def start(self) -> list:
+        return [0]
 
-    def close(self) -> None:
-        pass
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seen, self.old = None, 0
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        if self.seen is not None and len(self.seen) > self.old:
+            self.items.appendList([(v,) for v in self.seen[self.old:]])
 
+    def step(self, key, own, row) -> Iterator[Row]:
+        if self.seen is None:
+            self.seen = [r[0] for r in self.items.get()] if self.items.exists() else []
+            self.old = len(self.seen)
+        v = row[self.value]
+        self.seen += [x for x in (v or [] if self.many else [v]) if self.many or x is not None]
+        own[0] = len(self.seen)
+        yield self.make(*[row[c] for c in self.keep], list(self.seen))
 
-class JumpAlert(StatefulProcessor):
-    """#53/#54 emit (row, last) when |value - last| > threshold; ``initial`` is the
-    last value of an unseen key (None: the first row never fires)."""
 
-    def __init__(self, value: str, order: tuple[str, ...], threshold: float = 1.7,
-                 initial: float | None = None, keep: tuple[str, ...] = ()):
-        self.value, self.order, self.threshold, self.initial, self.keep = value, order, threshold, initial, keep
+def rolling_list(df: DataFrame, key: str, value: str, ts: str, order: Sequence[str] = (), out: str = "items", keep: Sequence[str] = ()) -> DataFrame:
+    """#25 per row: ``keep`` and the list of all values of the key up to it (nulls left out; arrays are joined)."""
+    kind = df.schema[value].dataType
+    many = isinstance(kind, T.ArrayType)
+    name = (kind.elementType if many else kind).simpleString()
+    return ordered(df, key, ts, RunningList(value, order, out, keep, name, many), f"{_kept(df, keep)}`{out}` array<{name}>")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "last double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else self.initial
-        for r in _sorted(rows, *self.order):
-            v = r[self.value]
-            if last is not None and abs(v - last) > self.threshold:
-                yield Row(**{k: r[k] for k in self.keep}, last=float(last))
-            last = v
-        self.last.update((float(last),))
+class JumpAlert(Ordered):
+    """#53/#54 a row whose value is more than ``threshold`` from the one before; null compares with nothing."""
 
-    def close(self) -> None:
-        pass
+    own_schema = "last double"
 
+    def __init__(self, value: str, order: Sequence[str], threshold: float, initial: float | None, keep: Sequence[str], idle_us: int | None = None):
+        self.value, self.threshold, self.initial, self.idle_us = value, threshold, initial, idle_us
+        self.order, self.columns, self.keep, self.make = tuple(order), (value, *keep), tuple(keep), Row(*keep, "last")
 
-class SustainedRise(StatefulProcessor):
-    """#55 timer at ``rise_ts + hold`` on the first rise; a fall (also one exactly at
-    the deadline) deletes it; on expiry emit and wait for the next rise (re-arm)."""
+    def start(self) -> list:
+        return [None]
 
-    def __init__(self, value: str, ts: str, hold_ms: int):
-        self.value, self.ts, self.hold_ms = value, ts, hold_ms
+    def step(self, key, own, row) -> Iterator[Row]:
+        v, last = row[self.value], own[0] if own[0] is not None else self.initial
+        if v is not None and last is not None and abs(v - last) > self.threshold:
+            yield self.make(*[row[c] for c in self.keep], float(last))
+        own[0] = None if v is None else float(v)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "last double")
-        self.timer = handle.getValueState("timer", "timer long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else None
-        timer = self.timer.get()[0] if self.timer.exists() else None
-        out = []
-        for r in _sorted(rows, self.ts):
-            v, t = r[self.value], _ms(r[self.ts])
-            if timer is not None and t > timer:
-                # the timer would have fired before this row
-                out.append(Row(key=key[0], rise_ms=timer - self.hold_ms, alert_ms=timer))
-                self.handle.deleteTimer(timer)
-                timer = None
-            if last is not None and v > last and timer is None:
-                timer = t + self.hold_ms
-                self.handle.registerTimer(timer)
-            elif last is not None and v < last and timer is not None:
-                self.handle.deleteTimer(timer)
-                timer = None
-            last = v
-        self.last.update((float(last),))
-        if timer is None:
-            self.timer.clear()
-        else:
-            self.timer.update((timer,))
-        return iter(out)
+def jump_alert(df: DataFrame, key: str, value: str, ts: str, order: Sequence[str] = (), threshold: float = 1.7,
+               initial: float | None = None, keep: Sequence[str] = (), idle: str | float | None = None) -> DataFrame:
+    """#53 (``initial`` set) / #54: ``keep`` and ``last`` of the rows that jump."""
+    p = JumpAlert(value, order, threshold, initial, keep, None if idle is None else _us(idle))
+    return ordered(df, key, ts, p, f"{_kept(df, keep)}last double")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        self.timer.clear()
-        yield Row(key=key[0], rise_ms=t - self.hold_ms, alert_ms=t)
 
-    def close(self) -> None:
-        pass
+class SustainedRise(Ordered):
+    """#55 the first rise sets a deadline ``hold`` later; a fall up to the deadline, itself included, takes it away;
+    at the deadline an alert, and the next rise sets a new one."""
 
+    own_schema = "last double, due long"
+    make = Row("key", "rise_us", "alert_us")
 
-class RepeatedFailures(StatefulProcessor):
-    """#56 the first fail opens a span with a timer at ``t0 + span``; a success clears
-    the fails and deletes the timer; at the span end alert if ``min_fails`` were
-    seen. ``rearm``: after a cancel or an alert the next fail opens a new span (the
-    literal rule opens one span per key, ever). A row later than the deadline fires
-    the span first (input rows are handled before expired timers in a batch)."""
+    def __init__(self, value: str, order: Sequence[str], hold_us: int):
+        self.value, self.hold, self.order, self.columns = value, hold_us, tuple(order), (value,)
 
-    def __init__(self, ts: str, event: str, span_ms: int, min_fails: int = 2, rearm: bool = False,
-                 fail: str = "fail", success: str = "success"):
-        self.ts, self.event, self.span_ms, self.min_fails, self.rearm = ts, event, span_ms, min_fails, rearm
-        self.fail, self.success = fail, success
+    def start(self) -> list:
+        return [None, None]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "n long, t0 long, opened boolean")
+    def step(self, key, own, row) -> Iterator[Row]:
+        v, last = row[self.value], own[0]
+        if v is not None and last is not None:
+            if v > last and own[1] is None:
+                own[1] = row["_t"] + self.hold
+            elif v < last:
+                own[1] = None
+        own[0] = None if v is None else float(v)
+        return iter(())
+
+    def deadline(self, own) -> int | None:
+        return own[1]
+
+    def expire(self, key, own) -> Iterator[Row]:
+        due, own[1] = own[1], None
+        yield self.make(key[0], due - self.hold, due)
+
+
+def sustained_rise(df: DataFrame, key: str, ts: str, value: str, order: Sequence[str] = (), hold: str | float = "1 second") -> DataFrame:
+    """#55, re-arming: (key, rise_ts, alert_ts)."""
+    out = ordered(df, key, ts, SustainedRise(value, order, _us(hold)), f"key {_type(df, key)}, rise_us long, alert_us long")
+    return out.withColumnRenamed("key", key)
+
+
+class RepeatedFailures(Ordered):
+    """#56 the first fail opens a span; a success in it closes it; at its end ``min_fails`` fails are an alert.
+    ``rearm``: the next fail opens a new span; otherwise a key has one span, ever, and keeps that mark."""
+
+    own_schema = "n long, opened_us long, used boolean"
+    make = Row("key", "start_us", "end_us", "n_fails")
+    columns, order = ("_what",), ("_what",)
+
+    def __init__(self, span_us: int, min_fails: int, rearm: bool):
+        self.span, self.min_fails, self.rearm = span_us, min_fails, rearm
+
+    def start(self) -> list:
+        return [0, None, False]
 
-    def _alert(self, key, t0: int, n: int) -> list[Row]:
+    def step(self, key, own, row) -> Iterator[Row]:
+        if row["_what"] == 0:
+            if own[1] is None and (self.rearm or not own[2]):
+                own[0], own[1], own[2] = 0, row["_t"], not self.rearm
+            if own[1] is not None:
+                own[0] += 1
+        else:
+            own[0], own[1] = 0, None
+        return iter(())
+
+    def deadline(self, own) -> int | None:
+        return None if own[1] is None else own[1] + self.span
+
+    def expire(self, key, own) -> Iterator[Row]:
+        n, opened, own[0], own[1] = own[0], own[1], 0, None
         if n >= self.min_fails:
-            return [Row(key=key[0], span_start_ms=t0, span_end_ms=t0 + self.span_ms, n_fails=n)]
-        return []
+            yield self.make(key[0], opened, opened + self.span, n)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, t0, opened = self.state.get() if self.state.exists() else (0, None, False)
-        out: list[Row] = []
-        for r in _sorted(rows, self.ts):
-            t, e = _ms(r[self.ts]), r[self.event]
-            if t0 is not None and t > t0 + self.span_ms:
-                out += self._alert(key, t0, n)
-                self.handle.deleteTimer(t0 + self.span_ms)
-                n, t0 = 0, None
-            if e == self.fail:
-                n += 1
-                if t0 is None and (self.rearm or not opened):
-                    t0, opened = t, True
-                    self.handle.registerTimer(t0 + self.span_ms)
-            elif e == self.success:
-                n = 0
-                if t0 is not None:
-                    self.handle.deleteTimer(t0 + self.span_ms)
-                    t0 = None
-        self.state.update((n, t0, opened))
-        return iter(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        n, t0, opened = self.state.get()
-        self.state.update((0, None, opened))
-        return iter(self._alert(key, t0, n) if t0 is not None else [])
+def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event: str = "event_type", fail: str = "fail",
+                      success: str = "success", span: str | float = "5 seconds", min_fails: int = 2, rearm: bool = False) -> DataFrame:
+    """#56: (key, span_start, span_end, n_fails)."""
+    ev = df.where(F.col(event).isin(fail, success)).withColumn("_what", (F.col(event) == success).cast("int"))
+    out = ordered(ev, key, ts, RepeatedFailures(_us(span), min_fails, rearm), f"key {_type(df, key)}, start_us long, end_us long, n_fails long")
+    return out.select(F.col("key").alias(key), F.col("start_ts").alias("span_start"), F.col("end_ts").alias("span_end"), "n_fails")
 
-    def close(self) -> None:
-        pass
 
+class OrderTimeout(Ordered):
+    """#57 the first create waits for a pay within ``wait`` on either side, both ends included. A key keeps one mark
+    that its create is decided, so that a later create does not count (for ``idle_us``, if given); a pay alone is
+    forgotten when it can no longer match."""
 
-class OrderTimeout(StatefulProcessor):
-    """#57 a ``create`` arms a timer at ``ts + wait`` (inclusive); a ``pay`` clears it;
-    on expiry a still-pending create is a time-out. A pay stored first blocks the
-    create. A row later than the deadline fires the time-out first."""
+    own_schema = "created_us long, paid_us long, done boolean"
+    make = Row("key", "created_us")
+    columns, order = ("_what",), ("_what",)
 
-    def __init__(self, ts: str, op: str, wait_ms: int):
-        self.ts, self.op, self.wait_ms = ts, op, wait_ms
+    def __init__(self, wait_us: int, idle_us: int | None = None):
+        self.wait, self.idle_us = wait_us, idle_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "op string, t long")
+    def start(self) -> list:
+        return [None, None, False]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.state.get() if self.state.exists() else None
-        out = []
-        for r in _sorted(rows, self.ts, self.op):
-            t, op = _ms(r[self.ts]), r[self.op]
-            if st is not None and st[0] == "create" and t > st[1] + self.wait_ms:
-                out.append(Row(order_id=key[0], op="create", ts_ms=st[1]))
-                self.handle.deleteTimer(st[1] + self.wait_ms)
-                st = ("done", st[1])
-            if op == "create":
-                # a stored pay blocks the create only within the wait (batch rule)
-                if st is None or (st[0] == "pay" and t - st[1] > self.wait_ms):
-                    st = ("create", t)
-                    self.handle.registerTimer(t + self.wait_ms)
-            elif st is None or st[0] == "create":
-                if st is not None:
-                    self.handle.deleteTimer(st[1] + self.wait_ms)
-                st = ("pay", t)
-        if st is not None:
-            self.state.update(st)
-        return iter(out)
+    def step(self, key, own, row) -> Iterator[Row]:
+        if not own[2]:
+            if row["_what"] == 1:
+                own[:] = [None, None, True] if own[0] is not None else [None, row["_t"], False]
+            elif own[0] is None:
+                own[:] = [row["_t"], None, False] if own[1] is None else [None, None, True]
+        return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        st = self.state.get() if self.state.exists() else None
-        if st is not None and st[0] == "create":
-            self.state.update(("done", st[1]))
-            yield Row(order_id=key[0], op="create", ts_ms=st[1])
+    def deadline(self, own) -> int | None:
+        at = own[0] if own[0] is not None else own[1]
+        return None if at is None else at + self.wait
 
-    def close(self) -> None:
-        pass
+    def expire(self, key, own) -> Iterator[Row]:
+        created = own[0]
+        own[:] = [None, None, created is not None]
+        if created is not None:
+            yield self.make(key[0], created)
 
 
-class ForwardSwitch(StatefulProcessor):
-    """#22 tagged union of readings (tag 1) and switches (tag 0, ``dur_ms``): value
-    state = forwarding open until; readings below it pass."""
+def order_timeout(events: DataFrame, wait: str | float, key: str = "order_id", ts: str = "ts", op: str = "op", create: str = "create",
+                  pay: str = "pay", idle: str | float | None = None) -> DataFrame:
+    """#57: (key, op, ts) of creates without a pay in time."""
+    ev = events.where(F.col(op).isin(create, pay)).withColumn("_what", (F.col(op) == pay).cast("int"))
+    out = ordered(ev, key, ts, OrderTimeout(_us(wait), None if idle is None else _us(idle)), f"key {_type(events, key)}, created_us long")
+    return out.select(F.col("key").alias(key), F.lit(create).alias("op"), F.col("created_ts").alias("ts"))
 
-    def __init__(self, ts: str, keep: tuple[str, ...]):
-        self.ts, self.keep = ts, keep
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.until = handle.getValueState("until", "until long")
+class ForwardSwitch(Ordered):
+    """#22 a switch (tag 0) lets its key's readings (tag 1) pass until it ends; the end is forgotten behind it."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        until = self.until.get()[0] if self.until.exists() else None
-        for r in _sorted(rows, self.ts, "tag"):
-            t = _ms(r[self.ts])
-            if r["tag"] == 0:
-                until = max(until or t, t + int(r["dur_ms"]))
-            elif until is not None and t < until:
-                yield Row(**{k: r[k] for k in self.keep})
-        if until is not None:
-            self.until.update((until,))
+    own_schema = "until_us long"
 
-    def close(self) -> None:
-        pass
+    def __init__(self, keep: Sequence[str], duration: str, tiebreak: Sequence[str]):
+        self.keep, self.duration, self.order, self.make = tuple(keep), duration, ("_tag", *tiebreak), Row(*keep)
+        self.columns = (duration, *keep)
+
+    def start(self) -> list:
+        return [None]
+
+    def step(self, key, own, row) -> Iterator[Row]:
+        if row["_tag"] == 0:
+            if row[self.duration] is not None:
+                own[0] = max(own[0] or 0, row["_t"] + row[self.duration])
+        elif own[0] is not None and row["_t"] < own[0]:
+            yield self.make(*[row[c] for c in self.keep])
+
+    def deadline(self, own) -> int | None:
+        return own[0]
+
+    def expire(self, key, own) -> Iterator[Row]:
+        own[0] = None
+        return iter(())
+
+
+def forward_switch(readings: DataFrame, switches: DataFrame, key: str = "id", ts: str = "ts", duration: str | float = "10 seconds",
+                   duration_col: str | None = None, keep: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> DataFrame:
+    """#22: ``keep`` of the readings that pass (``duration_col`` in milliseconds). Both streams carry a watermark on
+    ``ts``."""
+    columns = [c for c in dict.fromkeys((*keep, *tiebreak)) if c not in (key, ts)]
+    long = F.lit(None).cast("long")
+    span = F.col(duration_col).cast("long") * 1000 if duration_col else F.lit(_us(duration))
+    both = readings.select(key, ts, F.lit(1).alias("_tag"), long.alias("_span"), *columns).unionByName(
+        switches.select(key, ts, F.lit(0).alias("_tag"), span.alias("_span"), *[F.lit(None).cast(readings.schema[c].dataType).alias(c) for c in columns]))
+    schema = ", ".join(f"`{c}` {_type(readings, c)}" for c in keep)
+    return ordered(both, key, ts, ForwardSwitch(keep, "_span", tiebreak), schema)
+
+
+class MatchOneToOne(Ordered):
+    """#23 a row takes the longest waiting row of the other side or waits itself. Rows wait on one side only, in one
+    queue; the deadline is that of its head."""
+
+    own_schema = "side int, times array<bigint>, channels array<string>"
+    make = Row("key", "order_us", "pay_us", "channel", "kind")
+    columns, order = ("_side", "channel"), ("_side", "channel")
+
+    def __init__(self, wait_us: int):
+        self.wait = wait_us
+
+    def start(self) -> list:
+        return [None, [], []]
+
+    def _head(self, own: list) -> tuple:
+        t, c = own[1][0], own[2][0]
+        own[1], own[2] = list(own[1][1:]), list(own[2][1:])
+        if not own[1]:
+            own[0] = None
+        return t, c
+
+    def step(self, key, own, row) -> Iterator[Row]:
+        side, t = row["_side"], row["_t"]
+        if own[0] is None or own[0] == side:
+            own[0], own[1], own[2] = side, [*own[1], t], [*own[2], row["channel"]]
+        else:
+            other, channel = self._head(own)
+            yield self.make(key[0], t, other, channel, "matched") if side == 0 else self.make(key[0], other, t, row["channel"], "matched")
+
+    def deadline(self, own) -> int | None:
+        return own[1][0] + self.wait if own[1] else None
+
+    def expire(self, key, own) -> Iterator[Row]:
+        side = own[0]
+        t, channel = self._head(own)
+        yield self.make(key[0], t, None, None, "order_only") if side == 0 else self.make(key[0], None, t, channel, "pay_only")
+
+
+def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key: str = "order_id", ts: str = "ts") -> DataFrame:
+    """#23, one with one, as :func:`streamlens.operators.match.match_one_to_one`. Both streams carry a watermark on
+    ``ts``; a row behind it is dropped, a row without a partner leaves when its wait is over."""
+    both = orders.select(F.col(key).alias("order_id"), ts, F.lit(0).alias("_side"), F.lit(None).cast("string").alias("channel")).unionByName(
+        pays.select(F.col(key).alias("order_id"), ts, F.lit(1).alias("_side"), "channel"))
+    out = ordered(both, "order_id", ts, MatchOneToOne(_us(wait)), f"key {_type(orders, key)}, order_us long, pay_us long, channel string, kind string")
+    return out.withColumnRenamed("key", "order_id")
 
 
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
@@ -273,6 +348,10 @@ def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
     return df.groupBy(key).transformWithState(processor, schema, output_mode, time_mode)
 
 
+def _ms(ts) -> int:
+    return int(ts.timestamp() * 1000)
+
+
 class SequencePattern(StatefulProcessor):
     """#58-#60 on a stream: strict-contiguity pattern of ``k`` steps within ``within``.
 

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from streamlens.operators import rolling, topn, windows
+from streamlens.operators import windows
 from streamlens.sources import testdata as td
 from streamlens.streaming import aggregates as sa
 from streamlens.streaming import processors as sp
@@ -16,7 +16,6 @@ from streamlens.streaming.runner import file_stream, run_available
 
 FLUSH = datetime(2100, 1, 1)
 EPOCH = datetime(2024, 1, 1)
-BASE_MS = 1704067200000
 
 
 def T(s):
@@ -43,18 +42,6 @@ def _rows(df, *cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-def test_top_n_stream_equals_batch(spark, tmp_path):
-    b = td.behavior(spark, SF001).select("item_id", "ts")
-    d, schema = _as_files(spark, b, tmp_path, flush_row=(-1, FLUSH))
-    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "10 minutes")
-    counts = sa.window_counts(s, "item_id", "ts", "60 minutes", "5 minutes")
-    top = run_available(sa.top_n(counts, "item_id", 3)).filter(F.col("window_end") < FLUSH - timedelta(days=1))
-    batch = topn.top_n(windows.view_counts(b, "item_id", "ts", "60 minutes", "5 minutes"), "item_id", 3)
-    batch = batch.select(F.col("window_end").cast("timestamp").alias("window_end"), "item_id", "count",
-                         F.col("rank").cast("long").alias("rank"))
-    assert _rows(top, "window_end", "item_id", "count", "rank") == _rows(batch, "window_end", "item_id", "count", "rank")
-
-
 def test_uv_stream_equals_batch(spark, tmp_path):
     b = td.behavior(spark, SF001).filter("behavior = 'pv'").select("user_id", "ts")
     d, schema = _as_files(spark, b, tmp_path, flush_row=(-1, FLUSH))
@@ -66,28 +53,12 @@ def test_uv_stream_equals_batch(spark, tmp_path):
     assert _rows(got, "window_end", "uv") == _rows(exp, "window_end", "uv")
 
 
-def test_jump_alert_and_rolling_sum_stream(spark, tmp_path):
-    s_b = td.sensor(spark, SF001)
-    d, schema = _as_files(spark, s_b.select("event_id", "id", "ts", "temperature"), tmp_path)
-    src = file_stream(spark, d, schema)
-    keep = ("event_id", "ts")
-    jumps = run_available(sp.apply(src, "id", sp.JumpAlert("temperature", ("ts", "event_id"), 1.7, keep=keep),
-                                   "event_id long, ts timestamp, last double"))
-    exp = rolling.jump_alert(s_b, "id", "temperature", ("ts", "event_id"), 1.7)
-    assert _rows(jumps, "event_id", "last") == _rows(exp, "event_id", "last")
-    sums = run_available(sp.apply(src, "id", sp.RunningAggregate("temperature", ("ts", "event_id"), "sum", "s",
-                                                                 keep=("event_id",)), "event_id long, s double"))
-    exp = rolling.rolling_sum(s_b, "id", "temperature", ("ts", "event_id"), out="s")
-    got = {r.event_id: round(r.s, 6) for r in sums.collect()}
-    assert got == {r.event_id: round(r.s, 6) for r in exp.collect()}
-
-
-def _event_stream(spark, tmp_path, data, schema):
+def _event_stream(spark, tmp_path, data, schema, flush_event="zz_flush"):
     d = str(tmp_path / f"ev_{uuid.uuid4().hex[:6]}")
     spark.createDataFrame(data, schema).coalesce(1).write.parquet(d)
     time.sleep(1.1)
     zero = {"string": "zz_flush", "double": 0.0}
-    flush = [tuple(FLUSH if f.name == "ts" else zero.get(f.dataType.simpleString(), 0)
+    flush = [tuple(FLUSH if f.name == "ts" else flush_event if f.name in ("event_type", "op") else zero.get(f.dataType.simpleString(), 0)
                    for f in spark.createDataFrame(data, schema).schema)]
     spark.createDataFrame(flush, schema).coalesce(1).write.mode("append").parquet(d)
     return sa.with_event_time(file_stream(spark, d, spark.createDataFrame(data, schema).schema), "ts", "0 seconds")
@@ -97,41 +68,34 @@ def test_sustained_rise_processor(spark, tmp_path):
     data = [("k", T(0), 60.0), ("k", T(0.5), 61.0), ("k", T(1.6), 62.0), ("k", T(2.0), 60.0),
             ("k", T(2.2), 61.0), ("k", T(2.5), 60.0)]
     s = _event_stream(spark, tmp_path, data, "id string, ts timestamp, temperature double")
-    out = run_available(sp.apply(s, "id", sp.SustainedRise("temperature", "ts", 1000),
-                                 "key string, rise_ms long, alert_ms long", time_mode="EventTime"))
-    assert _rows(out.filter("key = 'k'"), "rise_ms", "alert_ms") == [(BASE_MS + 500, BASE_MS + 1500)]
+    out = run_available(sp.sustained_rise(s, "id", "ts", "temperature", hold="1 second"))
+    assert _rows(out.filter("id = 'k'"), "rise_ts", "alert_ts") == [(T(0.5), T(1.5))]
 
 
 def test_repeated_failures_processor(spark, tmp_path):
     data = [("1", T(1), "fail"), ("1", T(2), "success"), ("1", T(3), "fail"), ("1", T(4), "fail"),
-            ("2", T(1), "fail"), ("2", T(3), "fail"), ("2", T(4), "fail")]
-    s = _event_stream(spark, tmp_path, data, "user_id string, ts timestamp, event_type string")
-    schema = "key string, span_start_ms long, span_end_ms long, n_fails long"
-    lit = run_available(sp.apply(s, "user_id", sp.RepeatedFailures("ts", "event_type", 5000), schema,
-                                 time_mode="EventTime"))
-    assert _rows(lit, "key", "span_start_ms", "n_fails") == [("2", BASE_MS + 1000, 3)]
-    s2 = _event_stream(spark, tmp_path, data, "user_id string, ts timestamp, event_type string")
-    re = run_available(sp.apply(s2, "user_id", sp.RepeatedFailures("ts", "event_type", 5000, rearm=True), schema,
-                                time_mode="EventTime"))
-    assert _rows(re, "key", "span_start_ms", "n_fails") == [("1", BASE_MS + 3000, 2), ("2", BASE_MS + 1000, 3)]
+            ("2", T(1), "fail"), ("2", T(3), "fail"), ("2", T(4), "fail"), ("9", T(100), "success")]
+    s = _event_stream(spark, tmp_path, data, "user_id string, ts timestamp, event_type string", flush_event="success")
+    lit = run_available(sp.repeated_failures(s, span="5 seconds"))
+    assert _rows(lit, "user_id", "span_start", "n_fails") == [("2", T(1), 3)]
+    s2 = _event_stream(spark, tmp_path, data, "user_id string, ts timestamp, event_type string", flush_event="success")
+    re = run_available(sp.repeated_failures(s2, span="5 seconds", rearm=True))
+    assert _rows(re, "user_id", "span_start", "n_fails") == [("1", T(3), 2), ("2", T(1), 3)]
 
 
 def test_order_timeout_processor(spark, tmp_path):
     data = [("1", "create", T(842)), ("2", "create", T(843)), ("2", "pay", T(844)),
             ("3", "pay", T(942)), ("4", "pay", T(943)), ("9", "create", T(0)), ("9", "pay", T(5))]
-    s = _event_stream(spark, tmp_path, data, "order_id string, op string, ts timestamp")
-    out = run_available(sp.apply(s, "order_id", sp.OrderTimeout("ts", "op", 5000),
-                                 "order_id string, op string, ts_ms long", time_mode="EventTime"))
-    assert _rows(out.filter("order_id <> 'zz_flush'"), "order_id", "ts_ms") == [("1", BASE_MS + 842000)]
+    s = _event_stream(spark, tmp_path, data, "order_id string, op string, ts timestamp", flush_event="pay")
+    out = run_available(sp.order_timeout(s, "5 seconds"))
+    assert _rows(out, "order_id", "op", "ts") == [("1", "create", T(842))]
 
 
 def test_forward_switch_processor(spark, tmp_path):
     data = [("sensor_2", T(t), 1, 0, i) for i, t in enumerate([0, 5, 9.99, 10, 15])] + [
         ("sensor_2", T(5), 0, 10000, 99), ("sensor_1", T(6), 1, 0, 7)]
-    d = str(tmp_path / "sw")
-    spark.createDataFrame(data, "id string, ts timestamp, tag int, dur_ms long, rid long").write.parquet(d)
-    src = file_stream(spark, d, "id string, ts timestamp, tag int, dur_ms long, rid long", 10)
-    out = run_available(sp.apply(src, "id", sp.ForwardSwitch("ts", ("rid",)), "rid long"))
+    s = _event_stream(spark, tmp_path, data, "id string, ts timestamp, tag int, dur_ms long, rid long")
+    out = run_available(sp.forward_switch(s.filter("tag = 1"), s.filter("tag = 0"), duration_col="dur_ms", keep=("rid",)))
     assert _rows(out, "rid") == [(1,), (2,), (3,)]
 
 
@@ -172,19 +136,6 @@ def test_stream_join_match_with_timeout(spark, tmp_path):
     assert ("order_only", "3") in got and ("pay_only", "4") in got
 
 
-def test_allowed_lateness_update_mode(spark, tmp_path):
-    # arrivals 1, 10, 2 (late but allowed), 20, 3 (too late): window 0-5 emits 1 then 2
-    d = str(tmp_path / "al")
-    for t in [1, 10, 2, 20, 3]:
-        spark.createDataFrame([("a", T(t))], "key string, ts timestamp").write.mode("append").parquet(d)
-        time.sleep(1.1)
-    src = file_stream(spark, d, "key string, ts timestamp", 1)
-    out = run_available(sa.allowed_lateness(src, "key", "ts", "5 seconds", "5 seconds", "5 seconds"),
-                        output_mode="update")
-    first = [r["count"] for r in out.filter(F.col("window.end") == T(5)).collect()]
-    assert max(first) == 2
-
-
 def test_hot_items_report_from_text_lines(spark, tmp_path):
     from streamlens.plans.streams import hot_items_report_stream
     from streamlens.sources import read_lines
@@ -206,28 +157,6 @@ def test_hot_items_report_from_text_lines(spark, tmp_path):
     assert got == {r.report for r in exp.collect()}
 
 
-def test_route_late_before_aggregate(spark, tmp_path):
-    from streamlens.streaming.late import route_late
-    from streamlens.session import stream_checkpoint
-    d = str(tmp_path / "late")
-    spark.createDataFrame([("a", T(10), 0), ("a", T(20), 1)], "key string, ts timestamp, id long").coalesce(1).write.parquet(d)
-    time.sleep(1.1)
-    spark.createDataFrame([("a", T(5), 2), ("a", T(25), 3)], "key string, ts timestamp, id long") \
-        .coalesce(1).write.mode("append").parquet(d)
-    src = file_stream(spark, d, "key string, ts timestamp, id long", 1)
-    main_p, late_p = str(tmp_path / "main"), str(tmp_path / "lateout")
-    name = f"route_{uuid.uuid4().hex[:6]}"
-    h = route_late("ts", "0 seconds",
-                   lambda b, i: b.write.mode("overwrite").parquet(f"{main_p}/batch_id={i}"),
-                   lambda b, i: b.write.mode("overwrite").parquet(f"{late_p}/batch_id={i}"),
-                   str(tmp_path / "wm"))
-    q = (src.writeStream.foreachBatch(h).option("checkpointLocation", stream_checkpoint(spark, name))
-         .trigger(availableNow=True).start())
-    assert q.awaitTermination(120)
-    assert sorted(r.id for r in spark.read.parquet(late_p).collect()) == [2]
-    assert sorted(r.id for r in spark.read.parquet(main_p).collect()) == [0, 1, 3]
-
-
 def test_restart_from_checkpoint_is_exactly_once(spark, tmp_path):
     """Stop after the first files, add more, restart from the same checkpoint: the file
     sink holds every window once, equal to the batch result."""
@@ -256,24 +185,6 @@ def test_restart_from_checkpoint_is_exactly_once(spark, tmp_path):
     assert _rows(got, "window_end", "item_id", "count") == _rows(exp, "window_end", "item_id", "count")
 
 
-def test_rolling_list_and_min_stream(spark, tmp_path):
-    b = td.behavior(spark, SF001).select("event_id", "user_id", "behavior", "ts")
-    d, schema = _as_files(spark, b, tmp_path)
-    src = file_stream(spark, d, schema)
-    lists = run_available(sp.apply(src, "user_id", sp.RunningList("behavior", ("ts", "event_id"), keep=("event_id",)),
-                                   "event_id long, items array<string>"))
-    exp = rolling.rolling_list(b, "user_id", "behavior", ("ts", "event_id"))
-    assert _rows(lists.select("event_id", F.array_join("items", ",").alias("i")), "event_id", "i") == \
-        _rows(exp.select("event_id", F.array_join("items", ",").alias("i")), "event_id", "i")
-    s_b = td.sensor(spark, SF001).select("event_id", "id", "ts", "temperature")
-    d2, schema2 = _as_files(spark, s_b, tmp_path)
-    mins = run_available(sp.apply(file_stream(spark, d2, schema2), "id",
-                                  sp.RunningAggregate("temperature", ("ts", "event_id"), "min", "m", keep=("event_id",)),
-                                  "event_id long, m double"))
-    exp = rolling.rolling_min(s_b, "id", "temperature", ("ts", "event_id"), out="m")
-    assert _rows(mins, "event_id", "m") == _rows(exp, "event_id", "m")
-
-
 def test_order_pattern_timeouts_stream_equals_batch(spark, tmp_path):
     from streamlens.operators import patterns
     ev = td.order_events(spark, SF001)
@@ -314,64 +225,6 @@ def test_early_counts_update_mode(spark, tmp_path):
     assert sorted(r["count"] for r in out.collect()) == [1, 2]
 
 
-def test_repeated_failures_stream_equals_batch(spark, tmp_path):
-    from streamlens.operators import alerts
-    lg = td.login(spark, SF001).select("user_id", "ts", "event_type")
-    d, schema = _as_files(spark, lg, tmp_path, flush_row=("zz_flush", FLUSH, "view"))
-    schema_out = "key string, span_start_ms long, span_end_ms long, n_fails long"
-    for rearm in (False, True):
-        s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
-        out = run_available(sp.apply(s, "user_id", sp.RepeatedFailures("ts", "event_type", 86400 * 1000,
-                                                                       rearm=rearm), schema_out,
-                                     time_mode="EventTime"))
-        got = sorted((r.key, r.span_start_ms, r.n_fails) for r in out.collect())
-        exp = alerts.repeated_failures(lg, span="1 day", rearm=rearm)
-        exp = sorted((r.user_id, int(r.ms), r.n_fails) for r in exp.select(
-            "user_id", F.unix_millis(F.col("span_start").cast("timestamp")).alias("ms"), "n_fails").collect())
-        assert got == exp and got, rearm
-
-
-def test_sustained_rise_stream_equals_batch(spark, tmp_path):
-    from streamlens.operators import alerts
-    s_b = td.sensor(spark, SF001).select("id", "ts", "temperature", "event_id")
-    d, schema = _as_files(spark, s_b, tmp_path, flush_row=("zz_flush", FLUSH, 0.0, 0))
-    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
-    out = run_available(sp.apply(s, "id", sp.SustainedRise("temperature", "ts", 600 * 1000),
-                                 "key string, rise_ms long, alert_ms long", time_mode="EventTime"))
-    got = sorted((r.key, r.rise_ms) for r in out.filter("key <> 'zz_flush'").collect())
-    exp = alerts.sustained_rise(s_b, "id", "ts", "temperature", ("ts", "event_id"), "10 minutes", rearm=True)
-    exp = sorted((r.id, int(r.ms)) for r in exp.select(
-        "id", F.unix_millis(F.col("rise_ts").cast("timestamp")).alias("ms")).collect())
-    assert got == exp and got
-
-
-def test_order_timeout_stream_equals_batch(spark, tmp_path):
-    from streamlens.operators import match
-    ev = td.order_events(spark, SF001)
-    d, schema = _as_files(spark, ev, tmp_path, flush_row=("zz_flush", "create", FLUSH))
-    s = sa.with_event_time(file_stream(spark, d, schema), "ts", "0 seconds")
-    out = run_available(sp.apply(s, "order_id", sp.OrderTimeout("ts", "op", 30 * 86400 * 1000),
-                                 "order_id string, op string, ts_ms long", time_mode="EventTime"))
-    got = sorted(r.order_id for r in out.filter("order_id <> 'zz_flush'").collect())
-    exp = match.order_timeout(td.order_creates(spark, SF001), td.pays(spark, SF001), "30 days")
-    assert got == sorted(r.order_id for r in exp.collect()) and got
-
-
-def test_forward_switch_stream_equals_batch(spark, tmp_path):
-    from streamlens.operators import match
-    readings = td.sensor(spark, SF001)
-    e = td.events(spark, SF001).filter("event_type = 'signup'")
-    switches = e.select(F.concat(F.lit("sensor_"), (F.col("user_id") % 10 + 1).cast("string")).alias("id"), "ts")
-    tagged = readings.select("id", "ts", F.lit(1).alias("tag"), F.lit(0).cast("long").alias("dur_ms"),
-                             F.col("event_id").alias("rid")).unionByName(
-        switches.select("id", "ts", F.lit(0).alias("tag"), F.lit(600000).cast("long").alias("dur_ms"),
-                        F.lit(-1).cast("long").alias("rid")))
-    d, schema = _as_files(spark, tagged, tmp_path)
-    out = run_available(sp.apply(file_stream(spark, d, schema), "id", sp.ForwardSwitch("ts", ("rid",)), "rid long"))
-    exp = match.forward_switch(readings, switches, "id", "ts", "10 minutes", tiebreak="event_id")
-    assert sorted(r.rid for r in out.collect()) == sorted(r.event_id for r in exp.collect())
-
-
 def test_match_with_timeout_stream_equals_batch(spark, tmp_path):
     from streamlens.operators import match
     from streamlens.streaming import joins

@@ -1,23 +1,17 @@
 """Keyed-state alerts with timers, batch form (#55, #56).
 
-The default rules are relational (gaps-and-islands with skew-safe scans, partial
-aggregates, equi-joins). The re-arming variants are sequential folds; they run as
-one ``mapInPandas`` pass (:mod:`streamlens.operators.fold`) over pieces that the
-relational part has already cut into independent units (a rise run, or a burst of
-events without a ``span`` gap), so a fold sees one burst of one key, never the
-key's whole history.
+Both are relational: gaps-and-islands with skew-safe scans, partial aggregates and equi-joins; the
+re-arming variants follow chains of rows by pointer doubling (:mod:`streamlens.operators.chain`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.operators.fold import fold_pieces, ns, ts_series
+from streamlens.operators.chain import count_inside, spans
 from streamlens.operators.rolling import previous_value
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
@@ -41,51 +35,20 @@ def sustained_rise(df: DataFrame, key: str = "id", ts: str = "ts", value: str =
                        key, value, order, out="_prev")
     d = d.withColumn("_rise", F.coalesce(F.col(value) > F.col("_prev"), F.lit(False)))
     d = d.withColumn("_fall", F.coalesce(F.col(value) < F.col("_prev"), F.lit(False)).cast("long"))
+    if rearm:
+        hold_us = int(round(h * 1e6))
+        found = spans(d, key, ts, order, F.col("_rise"), F.col("_fall") == 1, hold_us)
+        kind = df.schema[ts].dataType
+        return found.select(key, F.timestamp_micros("start_us").cast(kind).alias("rise_ts"), F.timestamp_micros(F.col("start_us") + hold_us).cast(kind).alias("alert_ts"))
     d = running(d, keys=[key], order=order, value="_fall", agg="sum", out="_run")
     runs = d.groupBy(key, "_run").agg(F.min(F.when(F.col("_rise"), F.col(ts))).alias("_first_rise"),
                                       F.min(ts).alias("_start"))
     nxt = runs.select(key, (F.col("_run") - 1).alias("_run"), F.col("_start").alias("_next_fall"))
     runs = runs.join(nxt, [key, "_run"], "left")
-    if not rearm:
-        deadline = F.col("_first_rise") + hold_iv
-        return (runs.filter(F.col("_first_rise").isNotNull()
-                            & (F.col("_next_fall").isNull() | (F.col("_next_fall") > deadline)))
-                .select(key, F.col("_first_rise").alias("rise_ts"), deadline.alias("alert_ts")))
-    rows = d.filter("_rise").select(key, "_run", ts).join(runs.select(key, "_run", "_next_fall"),
-                                                          [key, "_run"])
-    ts_type = df.schema[ts].dataType.simpleString()
-    key_type = df.schema[key].dataType.simpleString()
-
-    hold_ns = int(h * 1e9)
-    nat = np.iinfo("int64").min
-
-    # fold state of a run: [key, pending deadline or None, next fall (ns)]
-    def close_run(st) -> list:
-        k, deadline, nf = st
-        return [(k, deadline - hold_ns, deadline)] if deadline is not None and (nf == nat or nf > deadline) else []
-
-    def scan_runs(b: pd.DataFrame, starts: np.ndarray, st):
-        t, nf, keys = ns(b[ts]), ns(b["_next_fall"]), b[key].to_numpy()
-        out = []
-        for i in range(len(b)):
-            if starts[i]:
-                if st is not None:
-                    out += close_run(st)
-                st = [keys[i], None, nf[i]]
-            if st[1] is not None and t[i] > st[1]:
-                out.append((st[0], st[1] - hold_ns, st[1]))
-                st[1] = None
-            if st[1] is None:
-                st[1] = t[i] + hold_ns
-        return out, st
-
-    def frame(recs: list) -> pd.DataFrame:
-        return pd.DataFrame({key: pd.Series([r[0] for r in recs], dtype=object),
-                             "rise_ts": ts_series([r[1] for r in recs]),
-                             "alert_ts": ts_series([r[2] for r in recs])})
-
-    return fold_pieces(rows, [key, "_run"], [ts], f"{key} {key_type}, rise_ts {ts_type}, alert_ts {ts_type}",
-                       scan_runs, close_run, frame)
+    deadline = F.col("_first_rise") + hold_iv
+    return (runs.filter(F.col("_first_rise").isNotNull()
+                        & (F.col("_next_fall").isNull() | (F.col("_next_fall") > deadline)))
+            .select(key, F.col("_first_rise").alias("rise_ts"), deadline.alias("alert_ts")))
 
 
 def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event: str = "event_type",
@@ -97,7 +60,7 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
     Default (the literal keyed-timer rule): only the key's first fail opens a span,
     so a key alerts at most once -- two partial aggregates and a join (AQE splits a
     hot key's side of the join). ``rearm=True``: after a cancel or an alert the next
-    fail opens a new span (a fold per burst). Output: key, span_start, span_end, n_fails.
+    fail opens a new span. Output: key, span_start, span_end, n_fails.
     """
     sp = seconds(span)
     span_iv = F.make_dt_interval(secs=F.lit(sp))
@@ -111,49 +74,11 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
             F.sum((F.col(event) == success).cast("long")).alias("_n_ok"))
         return (agg.filter((F.col("n_fails") >= min_fails) & (F.col("_n_ok") == 0))
                 .select(key, "span_start", (F.col("span_start") + span_iv).alias("span_end"), "n_fails"))
-    # bursts: a gap longer than ``span`` ends any open span, so bursts are independent
     # at one instant failures come before successes, so a success cancels them
     ev = ev.withColumn("_tb", (F.col(event) == success).cast("int"))
-    ev = previous_value(ev, key, ts, [ts, "_tb"], out="_pt")
-    gap = (F.col("_pt").isNull()
-           | (F.col(ts) > F.col("_pt") + span_iv)).cast("long")
-    ev = running(ev.withColumn("_gap", gap), keys=[key], order=[ts, "_tb"], value="_gap",
-                 agg="sum", out="_burst")
-    ts_type = df.schema[ts].dataType.simpleString()
-    key_type = df.schema[key].dataType.simpleString()
-
-    span_ns = int(sp * 1e9)
-
-    # fold state of a burst: [key, span start or None, fails in the span]
-    def close_burst(st) -> list:
-        k, t0, n = st
-        return [(k, t0, n)] if t0 is not None and n >= min_fails else []
-
-    def scan_bursts(b: pd.DataFrame, starts: np.ndarray, st):
-        t, keys, is_fail = ns(b[ts]), b[key].to_numpy(), (b[event] == fail).to_numpy()
-        out = []
-        for i in range(len(b)):
-            if starts[i]:
-                if st is not None:
-                    out += close_burst(st)
-                st = [keys[i], None, 0]
-            if st[1] is not None and t[i] > st[1] + span_ns:
-                out += close_burst(st)
-                st[1], st[2] = None, 0
-            if is_fail[i]:
-                st[2] += 1
-                if st[1] is None:
-                    st[1] = t[i]
-            else:
-                st[1], st[2] = None, 0
-        return out, st
-
-    def frame(recs: list) -> pd.DataFrame:
-        return pd.DataFrame({key: pd.Series([r[0] for r in recs], dtype=object),
-                             "span_start": ts_series([r[1] for r in recs]),
-                             "span_end": ts_series([r[1] + span_ns for r in recs]),
-                             "n_fails": pd.Series([r[2] for r in recs], dtype="int64")})
-
-    return fold_pieces(ev.select(key, ts, event, "_tb", "_burst"), [key, "_burst"], [ts, "_tb"],
-                       f"{key} {key_type}, span_start {ts_type}, span_end {ts_type}, n_fails long",
-                       scan_bursts, close_burst, frame)
+    span_us = int(round(sp * 1e6))
+    starts = spans(ev, key, ts, [ts, "_tb"], F.col(event) == fail, F.col(event) == success, span_us)
+    found = count_inside(starts, ev.filter(F.col(event) == fail), key, ts, span_us, "n_fails").filter(F.col("n_fails") >= min_fails)
+    kind = df.schema[ts].dataType
+    return found.select(key, F.timestamp_micros("start_us").cast(kind).alias("span_start"),
+                        F.timestamp_micros(F.col("start_us") + span_us).cast(kind).alias("span_end"), "n_fails")

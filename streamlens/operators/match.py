@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from collections import deque
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from streamlens.operators.fold import fold_pieces, ns, ts_series
+from streamlens.operators.fold import fold_pieces
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
 
@@ -100,7 +99,7 @@ def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key:
     Pieces: a gap of more than ``wait`` between a key's rows parts what can match, so pieces fold
     independently, in one sorted pass that carries only the waiting rows.
     """
-    w_ns = int(seconds(wait) * 1e9)
+    wait_us = int(round(seconds(wait) * 1e6))
     ts_type = orders.schema[ts].dataType
     o = orders.select(F.col(key).alias("order_id"), F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast("string").alias("channel"))
     p = pays.select(F.col(key).alias("order_id"), F.col(ts).cast(ts_type).alias("_t"), F.lit(1).alias("_side"), "channel")
@@ -108,24 +107,23 @@ def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key:
     u = running(o.unionByName(p), keys=["order_id"], order=order, value="_t", agg="last", inclusive=False, out="_prev")
     gap = F.col("_prev").isNull() | (F.col("_t") > F.col("_prev") + F.make_dt_interval(secs=F.lit(seconds(wait))))
     u = running(u.withColumn("_gap", gap.cast("long")).drop("_prev"), keys=["order_id"], order=order, value="_gap", agg="sum", out="_piece")
-    none = np.iinfo("int64").min
 
-    # fold state: [key, waiting orders, waiting pays]; records: (key, order ns, pay ns, channel, kind)
+    # fold state: [key, waiting orders, waiting pays]; records: (key, order time, pay time, channel, kind)
     def leave(k, side: int, row: tuple) -> tuple:
-        return (k, row[0], none, None, "order_only") if side == 0 else (k, none, row[0], row[1], "pay_only")
+        return (k, row[0], None, None, "order_only") if side == 0 else (k, None, row[0], row[1], "pay_only")
 
-    def close(st) -> list:
+    def close(st) -> list[tuple]:
         return [leave(st[0], side, row) for side in (0, 1) for row in st[1 + side]]
 
-    def scan(b: pd.DataFrame, starts: np.ndarray, st):
-        out: list = []
-        for i, (k, t, side, channel) in enumerate(zip(b["order_id"].tolist(), ns(b["_t"]).tolist(), b["_side"].tolist(), b["channel"].tolist())):
-            if starts[i]:
+    def scan(columns: dict[str, list], starts: list[bool], st):
+        out: list[tuple] = []
+        for start, k, t, side, channel in zip(starts, columns["order_id"], columns["_t"], columns["_side"], columns["channel"]):
+            if start:
                 if st is not None:
                     out += close(st)
                 st = [k, deque(), deque()]
             for s in (0, 1):
-                while st[1 + s] and t - st[1 + s][0][0] > w_ns:
+                while st[1 + s] and t - st[1 + s][0][0] > wait_us:
                     out.append(leave(k, s, st[1 + s].popleft()))
             other = st[2 - side]
             if other:
@@ -135,14 +133,9 @@ def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key:
                 st[1 + side].append((t, channel))
         return out, st
 
-    def frame(recs: list) -> pd.DataFrame:
-        return pd.DataFrame({"order_id": pd.Series([r[0] for r in recs], dtype=object), "order_ts": ts_series([r[1] for r in recs]),
-                             "pay_ts": ts_series([r[2] for r in recs]), "channel": pd.Series([r[3] for r in recs], dtype=object),
-                             "kind": [r[4] for r in recs]})
-
-    kind = u.schema["order_id"].dataType.simpleString()
-    t = ts_type.simpleString()
-    return fold_pieces(u, ["order_id", "_piece"], order, f"order_id {kind}, order_ts {t}, pay_ts {t}, channel string, kind string", scan, close, frame)
+    schema = T.StructType([T.StructField("order_id", u.schema["order_id"].dataType), T.StructField("order_ts", ts_type), T.StructField("pay_ts", ts_type),
+                           T.StructField("channel", T.StringType()), T.StructField("kind", T.StringType())])
+    return fold_pieces(u.select("order_id", "_t", "_side", "channel", "_piece"), ["order_id", "_piece"], order, schema, scan, close)
 
 
 def order_timeout(creates: DataFrame, pays: DataFrame, wait: str | float = "5 seconds",

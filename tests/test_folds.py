@@ -1,13 +1,15 @@
-"""Re-arming folds (no SQL form) against a brute-force Python fold on sf0.001,
-with tiny Arrow batches so that pieces straddle batch boundaries."""
+"""Re-arming timers and one-to-one matching against plain Python loops, with tiny Arrow batches so that pieces
+straddle batch boundaries; null and long keys."""
 
 from collections import defaultdict
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 
 from conftest import SF001
-from streamlens.operators import alerts
+from pyspark.sql import functions as F
+
+from streamlens.operators import alerts, match
 from streamlens.sources import testdata as td
 
 
@@ -76,3 +78,36 @@ def test_rise_rearm_equals_brute_force(spark, tiny_batches):
                  alerts.sustained_rise(s, "id", "ts", "temperature", ("ts", "event_id"), "10 minutes",
                                        rearm=True).collect())
     assert got == _brute_rise(s.collect(), timedelta(minutes=10)) and got
+
+
+KEYS = (None, 2**53 + 1, 2**53)
+
+
+def test_null_and_long_keys_alert(spark):
+    t = datetime(2024, 1, 1)
+    data = [(k, t + timedelta(seconds=s), "fail") for k in KEYS for s in (0, 1, 20, 21)]
+    df = spark.createDataFrame(data, "user_id long, ts timestamp, event_type string")
+    got = [(r.user_id, r.span_start, r.n_fails) for r in alerts.repeated_failures(df, rearm=True).collect()]
+    assert sorted(got, key=repr) == sorted(((k, t + timedelta(seconds=s), 2) for k in KEYS for s in (0, 20)), key=repr)
+    values = spark.createDataFrame([(k, t + timedelta(seconds=s), float(s)) for k in KEYS for s in range(5)], "id long, ts timestamp, temperature double")
+    got = [(r.id, r.rise_ts) for r in alerts.sustained_rise(values, hold="1 second", rearm=True).collect()]
+    assert sorted(got, key=repr) == sorted(((k, t + timedelta(seconds=s)) for k in KEYS for s in (1, 3)), key=repr)
+
+
+def test_null_and_long_keys_match(spark, tiny_batches):
+    t = datetime(2024, 1, 1)
+    orders = spark.createDataFrame([(k, t + timedelta(seconds=s)) for k in KEYS for s in (0, 1, 50)], "order_id long, ts timestamp")
+    pays = spark.createDataFrame([(k, "c", t + timedelta(seconds=s)) for k in KEYS for s in (2, 3, 99)], "order_id long, channel string, ts timestamp")
+    got = sorted(((r.order_id, r.kind, r.order_ts, r.pay_ts) for r in match.match_one_to_one(orders, pays, "5 seconds").collect()), key=repr)
+    at = lambda s: t + timedelta(seconds=s)
+    want = [(k, *x) for k in KEYS for x in (("matched", at(0), at(2)), ("matched", at(1), at(3)), ("order_only", at(50), None), ("pay_only", None, at(99)))]
+    assert got == sorted(want, key=repr)
+
+
+def test_dense_key_equals_loop(spark):
+    """One key without a gap: long chains inside runs, few cancels."""
+    n = 20_000
+    d = spark.range(n).select(F.lit(7).cast("long").alias("user_id"), F.timestamp_micros(F.col("id") * 700_000 + F.pmod(F.xxhash64("id"), F.lit(300_000))).alias("ts"),
+                              F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(200)) == 0, "success").otherwise("fail").alias("event_type"), F.col("id").alias("event_id"))
+    got = sorted((r.user_id, r.span_start, r.n_fails) for r in alerts.repeated_failures(d, span="5 seconds", rearm=True).collect())
+    assert got == _brute_failures(d.collect(), timedelta(seconds=5), 2) and len(got) > 2000

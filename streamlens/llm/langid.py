@@ -17,11 +17,11 @@ other columns pass through.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from streamlens.llm.common import slices
 
 UNKNOWN = "und"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}+")
 _LONG = 1 << 20
 
 

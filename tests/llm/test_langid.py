@@ -52,6 +52,13 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_numerals_are_no_letters(spark):
+    """Superscripts, fractions and Roman or circled numerals alone give no language."""
+    df = spark.createDataFrame([(1, "the cat", "en"), (2, "²½ ①", None), (3, "Ⅷ ৴", None), (4, "ª x", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.learn_and_identify(df).collect()}
+    assert got == {1: "en", 2: "und", 3: "und", 4: "en"}
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, "the cat", "en", "x"), (1, "the cat", "en", "x"), (None, None, None, None), (2, "", "en", "y"),
                                 (3, "12 %% 34", "fr", "z"), (4, "le chat " * 4000, "fr", None)],

@@ -58,24 +58,23 @@ def repeated_failures(df: DataFrame, key: str = "user_id", ts: str = "ts", event
     cancels it; at the span end, ``min_fails`` or more fails raise one alert.
 
     Default (the literal keyed-timer rule): only the key's first fail opens a span,
-    so a key alerts at most once -- two partial aggregates and a join (AQE splits a
-    hot key's side of the join). ``rearm=True``: after a cancel or an alert the next
+    so a key alerts at most once -- a skew-safe running minimum and a partial aggregate.
+    ``rearm=True``: after a cancel or an alert the next
     fail opens a new span. Output: key, span_start, span_end, n_fails.
     """
     sp = seconds(span)
     span_iv = F.make_dt_interval(secs=F.lit(sp))
-    ev = df.filter(F.col(event).isin(fail, success)).select(key, ts, event)
+    # at one instant failures come before successes, so a success cancels them
+    ev = df.filter(F.col(event).isin(fail, success)).select(key, ts, event, (F.col(event) == success).cast("int").alias("_tb"))
     if not rearm:
-        t0 = ev.filter(F.col(event) == fail).groupBy(key).agg(F.min(ts).alias("span_start"))
-        inside = ev.join(t0, key).filter((F.col(ts) >= F.col("span_start"))
-                                         & (F.col(ts) <= F.col("span_start") + span_iv))
+        first = F.when(F.col(event) == fail, F.col(ts))
+        inside = running(ev, keys=[key], order=[ts, "_tb"], value=first, agg="min", out="span_start").filter(
+            F.col(ts) <= F.col("span_start") + span_iv)
         agg = inside.groupBy(key, "span_start").agg(
             F.sum((F.col(event) == fail).cast("long")).alias("n_fails"),
             F.sum((F.col(event) == success).cast("long")).alias("_n_ok"))
         return (agg.filter((F.col("n_fails") >= min_fails) & (F.col("_n_ok") == 0))
                 .select(key, "span_start", (F.col("span_start") + span_iv).alias("span_end"), "n_fails"))
-    # at one instant failures come before successes, so a success cancels them
-    ev = ev.withColumn("_tb", (F.col(event) == success).cast("int"))
     span_us = int(round(sp * 1e6))
     starts = spans(ev, key, ts, [ts, "_tb"], F.col(event) == fail, F.col(event) == success, span_us)
     found = count_inside(starts, ev.filter(F.col(event) == fail), key, ts, span_us, "n_fails").filter(F.col("n_fails") >= min_fails)

@@ -9,14 +9,17 @@ on both sides.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import poly_hash
 from streamlens.operators import alerts, basic, late, match, patterns, rolling, topn, windows
-from streamlens.sources import parse, sinks
+from streamlens.session import checkpoint_dir
+from streamlens.sources import parse, sinks, store
 from streamlens.sources import testdata as td
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -355,6 +358,49 @@ def order_timeout_pattern(spark, d):
     return t
 
 
+def first_purchase_path(spark, d):
+    """#25 what each user did up to the first purchase: prefixes rebuilt from the segments of the rolling lists of all
+    users, at the row numbers of the first purchases."""
+    b = td.behavior(spark, d).select("user_id", "behavior", "ts", "event_id")
+    segments = rolling.list_segments(b, "user_id", "behavior", ("ts", "event_id"), size=32)
+    buys = segments.select("user_id", F.explode("rows").alias("r")).where("r.value = 'purchase'")
+    wanted = buys.groupBy("user_id").agg(F.min("r.seq").alias("seq"))
+    found = rolling.list_prefix(segments, wanted, "user_id", size=32)
+    return found.select("user_id", "seq", F.array_join("items", ",").alias("path"))
+
+
+def window_count_store(spark, d):
+    """#7 page views per hour, kept in the counter store: the events come as 6 micro-batches (by id), each upserts the
+    cumulative counts of the windows it changes, the fourth is replayed, hours that two batches wrote are merged, and
+    the store is read back."""
+    pv = td.behavior(spark, d, only=("pv",)).select("event_id", F.window("ts", P["count_size"]).getField("end").alias("window_end"))
+    top = pv.agg(F.max("event_id").alias("m")).scalar()
+    arrived = pv.withColumn("batch", F.floor(F.col("event_id") * 6 / (top + 1)).cast("int"))
+    changed = arrived.groupBy("window_end", "batch").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("window_end").orderBy("batch")
+    updates = changed.select("window_end", "batch", F.sum("n").over(w).alias("count")).persist()
+    path = os.path.join(checkpoint_dir(spark), f"window-counts-{uuid.uuid4().hex}")
+    counts = store.CountStore(spark, path, ("window_end",), most_runs=1)
+    for k in (0, 1, 2, 3, 3, 4, 5):
+        counts.upsert(updates.where(F.col("batch") == k).drop("batch"), k)
+    updates.unpersist()
+    return counts.read()
+
+
+def key_by(spark, d):
+    """#18 readings dealt by sensor: how many rows each has, and in how many partitions they lie."""
+    dealt = basic.key_by(td.sensor(spark, d).select("id", "event_id"), "id").withColumn("part", F.spark_partition_id())
+    return dealt.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("partitions"))
+
+
+def rich_map_lifecycle(spark, d):
+    """#16 a map that opens a resource (here the number to add) once per task and closes it."""
+    rows = td.events(spark, d).select("event_id", "user_id")
+    return basic.map_with_lifecycle(rows, "event_id long, plus_one long",
+                                    lambda pdf, r: pdf.assign(plus_one=pdf["user_id"] + r["add"])[["event_id", "plus_one"]],
+                                    open_fn=lambda: {"add": 1}, close_fn=lambda r: r.clear())
+
+
 JOBS: dict[str, Job] = {
     "hot_items_top3": hot_items_top3,
     "parse_behavior_csv": parse_behavior_csv,
@@ -412,4 +458,8 @@ JOBS: dict[str, Job] = {
     "access_rejects": access_rejects,
     "index_documents": index_documents,
     "fan_out": fan_out,
+    "first_purchase_path": first_purchase_path,
+    "window_count_store": window_count_store,
+    "key_by": key_by,
+    "rich_map_lifecycle": rich_map_lifecycle,
 }

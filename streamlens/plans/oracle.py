@@ -306,6 +306,12 @@ SELECT id, fired - {hold} AS rise_ts, fired AS alert_ts FROM o"""
     q["index_documents"] = f"""SELECT sha256(value) AS _id, '{{"myUserbe":"' || value || '"}}' AS doc FROM {csv}"""
     q["fan_out"] = f"""SELECT event_id, CASE WHEN temperature > {P['threshold']} THEN 'hot' ELSE 'cold' END AS output FROM {SENSOR} WHERE temperature IS NOT NULL
 UNION ALL SELECT event_id, 'all' FROM {SENSOR}"""
+    q["first_purchase_path"] = f"""WITH b AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM {BEHAVIOR}),
+f AS (SELECT user_id, min(seq) AS seq FROM b WHERE behavior = 'purchase' GROUP BY user_id)
+SELECT f.user_id, f.seq, string_agg(behavior, ',' ORDER BY b.seq) AS path FROM f JOIN b ON b.user_id = f.user_id AND b.seq <= f.seq GROUP BY f.user_id, f.seq"""
+    q["window_count_store"] = f"SELECT {tend('ts', P['count_size'])} AS window_end, count(*) AS count FROM {BEHAVIOR} WHERE behavior = 'pv' GROUP BY ALL"
+    q["key_by"] = f"SELECT id, count(*) AS n, CAST(1 AS BIGINT) AS partitions FROM {SENSOR} GROUP BY id"
+    q["rich_map_lifecycle"] = "SELECT event_id, user_id + 1 AS plus_one FROM events"
     return q
 
 

@@ -1,4 +1,4 @@
-"""Sinks (#5-#8): Kafka, a document index, a keyed window-count store, console.
+"""Sinks (#5, #6, #8): Kafka, a document index, console (#7: :mod:`streamlens.sources.store`).
 
 Streaming sinks go through ``foreachBatch`` where the target has no streaming
 writer; every such write is idempotent per ``batch_id`` so a replayed micro-batch
@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,26 +43,6 @@ def write_index_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "js
     batch.write.mode("overwrite").format(fmt).save(os.path.join(path, f"batch_id={batch_id}"))
 
 
-def upsert_window_counts(batch: DataFrame, batch_id: int, path: str) -> None:
-    """#7 keyed-counter store, ``foreachBatch`` body: the batch's rows become one folder named by its batch
-    id, overwritten on replay. Update-mode window counts arrive cumulative and hold only the keys that
-    changed; :func:`read_window_counts` takes each key's row from its latest batch, so others stay."""
-    batch.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
-
-
-def read_window_counts(spark: SparkSession, path: str, keys: tuple[str, ...] = ("window_end",)) -> DataFrame:
-    """The store of :func:`upsert_window_counts`: per ``keys`` the values of the latest batch that has them."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return latest.select(*keys, *[F.col("_v").getField(c).alias(c) for c in values])
-
-
-def compact_window_counts(spark: SparkSession, path: str, to: str, keys: tuple[str, ...] = ("window_end",)) -> None:
-    """Copy the store's current rows into a new store as batch -1, before all later batches."""
-    read_window_counts(spark, path, keys).write.mode("overwrite").parquet(os.path.join(to, "batch_id=-1"))
-
-
 def console(df: DataFrame, output_mode: str = "append", checkpoint: str | None = None,
             truncate: bool = False) -> StreamingQuery | None:
     """#8 print: ``show`` for a batch, the console sink for a stream."""

@@ -12,7 +12,7 @@ from streamlens.streaming.runner import file_stream
 FLUSH = datetime(2100, 1, 1)
 
 
-def parts_out_of_order(df, ts, bound_s, n, keep=True):
+def parts_out_of_order(df, ts, bound_s, n):
     """``n`` parts of ``df``; a row arrives up to ``bound_s`` seconds after its time, so parts overlap in time but no row
     is behind the watermark of a stream with that bound."""
     late = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(int(bound_s * 1000))) * 1000
@@ -23,7 +23,7 @@ def parts_out_of_order(df, ts, bound_s, n, keep=True):
     return [d.where(part == k).drop("_a") for k in range(n)]
 
 
-def run_in_parts(spark, tmp_path, parts, build, restart_after=None, flush=None, foreach=None):
+def run_in_parts(spark, tmp_path, parts, build, restart_after=None, flush=None, foreach=None, mode="append"):
     """Write each part as one file, run ``build(stream)`` over them, one file per micro-batch, stopping after
     ``restart_after`` parts and going on from the checkpoint; the rows of the file sink (or nothing with ``foreach``)."""
     run = str(tmp_path / uuid.uuid4().hex[:8])
@@ -34,7 +34,7 @@ def run_in_parts(spark, tmp_path, parts, build, restart_after=None, flush=None,
 
     def go():
         w = build(file_stream(spark, src, schema)).writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
-        w = w.foreachBatch(foreach) if foreach else w.format("parquet").option("path", out).outputMode("append")
+        w = w.outputMode(mode).foreachBatch(foreach) if foreach else w.format("parquet").option("path", out).outputMode("append")
         q = w.start()
         assert q.awaitTermination(240)
         assert q.exception() is None

@@ -89,6 +89,8 @@ def test_null_and_long_keys_alert(spark):
     df = spark.createDataFrame(data, "user_id long, ts timestamp, event_type string")
     got = [(r.user_id, r.span_start, r.n_fails) for r in alerts.repeated_failures(df, rearm=True).collect()]
     assert sorted(got, key=repr) == sorted(((k, t + timedelta(seconds=s), 2) for k in KEYS for s in (0, 20)), key=repr)
+    first = [(r.user_id, r.span_start, r.n_fails) for r in alerts.repeated_failures(df).collect()]
+    assert sorted(first, key=repr) == sorted(((k, t, 2) for k in KEYS), key=repr)
     values = spark.createDataFrame([(k, t + timedelta(seconds=s), float(s)) for k in KEYS for s in range(5)], "id long, ts timestamp, temperature double")
     got = [(r.id, r.rise_ts) for r in alerts.sustained_rise(values, hold="1 second", rearm=True).collect()]
     assert sorted(got, key=repr) == sorted(((k, t + timedelta(seconds=s)) for k in KEYS for s in (1, 3)), key=repr)

@@ -1,8 +1,13 @@
 import json
 import os
+from datetime import datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
 
-from streamlens.sources import sinks
+from stream_util import run_in_parts
+from streamlens.sources import sinks, store
+from streamlens.streaming import aggregates as sa
 
 
 def test_index_documents_deterministic(spark, tmp_path):
@@ -17,27 +22,88 @@ def test_index_documents_deterministic(spark, tmp_path):
     assert spark.read.json(os.path.join(p, "batch_id=7")).count() == 2
 
 
-def test_upsert_window_counts_replaces_only_present_windows(spark, tmp_path):
-    p = str(tmp_path / "counts")
-    b1 = spark.createDataFrame([("w1", 1), ("w2", 5)], "window_end string, uv long")
-    sinks.upsert_window_counts(b1, 0, p)
-    b2 = spark.createDataFrame([("w2", 6)], "window_end string, uv long")
-    sinks.upsert_window_counts(b2, 1, p)
-    sinks.upsert_window_counts(b2, 1, p)  # replayed batch
-    got = sorted((r.window_end, r.uv) for r in sinks.read_window_counts(spark, p).collect())
-    assert got == [("w1", 1), ("w2", 6)]
-
-
-def test_counter_store_keeps_keys_that_did_not_change(spark, tmp_path):
-    p, q = str(tmp_path / "counts"), str(tmp_path / "compact")
-    cols, keys = "window_end string, key string, n long", ("window_end", "key")
-    sinks.upsert_window_counts(spark.createDataFrame([("w1", "a", 1), ("w1", "b", 1)], cols), 0, p)
-    sinks.upsert_window_counts(spark.createDataFrame([("w1", "a", 2)], cols), 1, p)
-    want = [("w1", "a", 2), ("w1", "b", 1)]
-    assert sorted(map(tuple, sinks.read_window_counts(spark, p, keys).collect())) == want
-    sinks.compact_window_counts(spark, p, q, keys)
-    sinks.upsert_window_counts(spark.createDataFrame([("w1", "b", 5)], cols), 2, q)
-    assert sorted(map(tuple, sinks.read_window_counts(spark, q, keys).collect())) == [("w1", "a", 2), ("w1", "b", 5)]
+def at(hour, minute=0):
+    return datetime(2024, 1, 1, hour, minute)
+
+
+def counts(spark, *rows):
+    return spark.createDataFrame(list(rows), "window_end timestamp, key string, n long")
+
+
+def rows(df):
+    return sorted(((r.window_end, r.key, r.n) for r in df.collect()), key=repr)
+
+
+def test_store_keeps_keys_that_did_not_change_and_skips_replays(spark, tmp_path):
+    s = store.CountStore(spark, str(tmp_path / "counts"), ("window_end", "key"))
+    s.upsert(counts(spark, (at(1), "a", 1), (at(1), "b", 1), (None, "z", 9)), 0)
+    s.upsert(counts(spark, (at(1), "a", 2), (at(2), None, 5)), 1)
+    s.upsert(counts(spark, (at(1), "a", 100)), 1)  # a replay of an applied batch
+    want = [(at(1), "a", 2), (at(1), "b", 1), (at(2), None, 5), (None, "z", 9)]
+    assert rows(s.read()) == sorted(want, key=repr)
+    s.merge()
+    assert rows(s.read()) == sorted(want, key=repr) and len(s.manifest()["runs"]) == 3
+    s.upsert(counts(spark, (at(1), "b", 5)), 2)
+    assert rows(s.read(at(1), at(1, 59))) == [(at(1), "a", 2), (at(1), "b", 5)]
+    with pytest.raises(ValueError):
+        s.upsert(spark.createDataFrame([(at(1), 1)], "window_end timestamp, n long"), 3)
+
+
+def test_store_reads_the_runs_of_its_hours_only(spark, tmp_path):
+    s = store.CountStore(spark, str(tmp_path / "counts"), ("window_end", "key"))
+    for k in range(4):
+        s.upsert(counts(spark, (at(k, 30), "a", k), (at(k + 1, 30), "a", k)), k)
+    files = s.read(at(2), at(2, 59)).inputFiles()
+    assert len(files) == 2 and all("_hour=2024010102" in f for f in files)
+    assert rows(s.read(at(2), at(2, 59))) == [(at(2, 30), "a", 2)]
+
+
+def test_store_merges_in_the_background_and_is_cleaned(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    s = store.CountStore(spark, path, ("window_end", "key"), most_runs=2)
+    for k in range(6):
+        s.upsert(counts(spark, (at(1), "a", k), (at(1), f"k{k}", k), (at(3 + k), "x", k)), k)
+    runs = s.manifest()["runs"]
+    assert sum(h == "2024010101" for _, h in runs) <= 2
+    want = rows(s.read())
+    assert [r for r in want if r[0] == at(1)] == sorted([(at(1), "a", 5)] + [(at(1), f"k{k}", k) for k in range(6)], key=repr)
+    assert s.vacuum() > 0 and rows(s.read()) == want
+    assert len(os.listdir(os.path.join(path, "manifest"))) <= 2  # the file and its checksum
+    assert rows(store.CountStore(spark, path, ("window_end", "key")).read()) == want
+
+
+def test_store_survives_a_crash_before_the_manifest(spark, tmp_path, monkeypatch):
+    s = store.CountStore(spark, str(tmp_path / "counts"), ("window_end", "key"))
+    s.upsert(counts(spark, (at(1), "a", 1)), 0)
+    commit = s._commit
+    monkeypatch.setattr(s, "_commit", lambda m: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        s.upsert(counts(spark, (at(1), "a", 2), (at(1), "b", 2)), 1)
+    assert rows(s.read()) == [(at(1), "a", 1)]  # half a batch is never seen
+    monkeypatch.setattr(s, "_commit", commit)
+    s.upsert(counts(spark, (at(1), "a", 2)), 1)  # the replay may even bring other rows
+    assert rows(s.read()) == [(at(1), "a", 2)]
+
+
+def test_store_under_a_stream_with_restart(spark, tmp_path):
+    """Update-mode counts of a stream that is stopped and started again."""
+    path = str(tmp_path / "counts")
+    data = [("ab"[i % 2], at(i % 5, i % 50)) for i in range(60)]
+    parts = [spark.createDataFrame(data[i:i + 20], "key string, ts timestamp") for i in (0, 20, 40)]
+
+    def write(batch, batch_id):
+        store.CountStore(batch.sparkSession, path, ("window_end", "key"), most_runs=2).upsert(batch, batch_id)
+
+    def build(s):
+        c = sa.window_counts(sa.with_event_time(s, "ts", "1 day"), "key", "ts", "1 hour", out="n")
+        return c.select(F.col("window.end").alias("window_end"), "key", "n")
+
+    run_in_parts(spark, tmp_path, parts, build, restart_after=2, foreach=write, mode="update")
+    want = {}
+    for k, t in data:
+        e = t.replace(minute=0) + timedelta(hours=1)
+        want[e, k] = want.get((e, k), 0) + 1
+    assert rows(store.CountStore(spark, path, ("window_end", "key")).read()) == sorted(((e, k, n) for (e, k), n in want.items()), key=repr)
 
 
 def test_fan_out_batches_feeds_every_output(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: item-sized windows found by counts of their shingles, exact check.
+"""Benchmark decontamination: SimHash item-sized windows, multi-index Hamming search, exact check.
 
 Texts become words (lower case; runs of white space and ASCII punctuation part words). A shingle is five
 consecutive words, or the whole item if it is shorter. A document leaks an item if one of its windows of
@@ -8,13 +8,14 @@ multiplicities over the sum of the larger ones. Of a document shorter than the i
 Which windows are looked at: two multisets of m and n shingles with similarity t share x >= t(m + n) / (1 + t) of
 them, so a window that can pass holds x known shingles of an item of its length, and the first of them
 is among its first n - x + 1. Only documents with x shingles of an item, and there only the windows that
-begin that close before a known shingle with x - 1 others within reach, are verified, each against that item, on their
-shingles; no window that could pass is lost, wherever the differing words are.
+begin that close before a known shingle with x - 1 others within reach, are cut out.
 
-Fingerprints do not decide: SimHashes of windows at the threshold can differ in any number of bits. :func:`search` finds
-all pairs of equal length within a radius for those who have only fingerprints: four blocks of 16 bits; fingerprints
-within ``radius`` bits agree in one block up to ``radius // 4`` bits, so the items' blocks are entered with all
-such neighbours and the windows' blocks are looked up by equality.
+Which items they are compared with: every such window gets a SimHash of its shingles, and :func:`search` finds all items
+of its length within ``radius`` bits: the 64 bits are eight blocks, fingerprints within the radius agree in one block up
+to ``radius // 8`` bits, so the items' blocks are entered with all such neighbours and the windows' blocks are looked up
+by equality; nothing within the radius is missed. As windows at the threshold can differ in any number of bits, the
+item whose shingles led to a window is compared with it too (``counted``), and so is every document shorter than the
+item. All these pairs are verified on their shingles, so no window that can pass is lost.
 
 DataFrame expressions only. The items' shingles are broadcast if
 there are at most ``most_broadcast``, and joined by shuffle beyond it. Null and empty texts and items leak
@@ -30,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.llm.common import written
-from streamlens.llm.simhash import distance
+from streamlens.llm.simhash import distance, fingerprint, lanes
 
 WIDTH = 5
-_BLOCKS, _BLOCK = 4, 16
+_BLOCKS, _BLOCK = 8, 8
 
 
 def words(text: Column) -> Column:
@@ -53,7 +54,7 @@ def _shingles(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
 
 
 def _blocks(p: Column) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(p, i * _BLOCK).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("key")) for i in range(_BLOCKS)])
+    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(p, i * _BLOCK).bitwiseAND(F.lit((1 << _BLOCK) - 1)).cast("int").alias("key")) for i in range(_BLOCKS)])
 
 
 def search(prints: DataFrame, items: DataFrame, radius: int) -> DataFrame:
@@ -64,16 +65,23 @@ def search(prints: DataFrame, items: DataFrame, radius: int) -> DataFrame:
     entries = entries.select("key", "size_", "print_", F.col("at.block").alias("block_"), F.explode(F.lit(flips)).alias("flip"), F.col("at.key").alias("k_"))
     entries = entries.select("key", "size_", "print_", "block_", F.col("k_").bitwiseXOR(F.col("flip").cast("int")).alias("k_"))
     asked = prints.select("*", F.explode(_blocks(F.col("print"))).alias("at"))
-    # each item has thousands of entries, which the planner does not see: no broadcast
+    # each item has hundreds of entries, which the planner does not see: no broadcast
     found = asked.join(entries.hint("merge"), (F.col("at.block") == F.col("block_")) & (F.col("at.key") == F.col("k_")) & (F.col("size") == F.col("size_"))
                        & (distance(F.col("print"), F.col("print_")) <= radius))
     return found.select(*prints.columns, "key").distinct()
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, most_broadcast: int = 2_000_000,
+def _prints(grams: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., print) from the rows (keys..., h, c) of distinct shingles and their counts."""
+    sums = grams.groupBy(*keys).agg(F.sum("c").alias("n"), *lanes(F.col("h"), F.col("c")))
+    return sums.select(*keys, fingerprint("n").alias("print"))
+
+
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, most_broadcast: int = 2_000_000, radius: int = 23, counted: bool = True,
           doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows (doc_id, row, item_id, start, n_words, similarity): for each document and item it leaks, the
-    most similar window (the first of equals), by word position. ``row`` is the hash of the text."""
+    most similar window (the first of equals), by word position. ``row`` is the hash of the text. Without ``counted``
+    only the fingerprints choose the pairs that are verified."""
     own = items.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("words")).where(F.size("words") > 0)
     own = own.withColumn("key", F.xxhash64("item_id", "words")).withColumn("size", F.size("words"))
     own = written(own.dropDuplicates(["key"]), "items")
@@ -114,7 +122,13 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75, most_broa
     for width in widths:
         some = _shingles(cut.where(F.least("size", F.lit(WIDTH)) == width), width, window).groupBy(*window, "h").agg(F.count("*").alias("c_"))
         held = some if held is None else held.unionByName(some)
-    return _verified(windows, held, pairs, own, window, similarity)
+    held = written(held, "shingles")
+    near = search(_prints(held.select(*window, "h", F.col("c_").alias("c")), window),
+                  _prints(pairs, ["key"]).join(own.select(F.col("key").alias("key_"), "size"), F.col("key") == F.col("key_")).drop("key_"), radius)
+    found = near.select(*window, "key")
+    if counted:
+        found = found.unionByName(windows.select(*window, "key")).distinct()
+    return _verified(found, held, pairs, own, window, similarity)
 
 
 

@@ -94,8 +94,9 @@ def test_search_finds_all_within_the_radius(spark):
         asked.append((j, rng.choice([10, 11]), p))
     a = spark.createDataFrame([(j, n, sign(p)) for j, n, p in asked], "j long, size int, print long")
     i = spark.createDataFrame([(k, n, sign(p)) for k, n, p in items], "key long, size int, print long")
-    want = {(j, k) for j, n, p in asked for k, m, q in items if n == m and bin(p ^ q).count("1") <= 15}
-    assert {(r.j, r.key) for r in decontaminate.search(a, i, 15).collect()} == want
+    for radius in (3, 15, 23):
+        want = {(j, k) for j, n, p in asked for k, m, q in items if n == m and bin(p ^ q).count("1") <= radius}
+        assert {(r.j, r.key) for r in decontaminate.search(a, i, radius).collect()} == want != set()
 
 
 def brute_short(docs, items):
@@ -135,3 +136,10 @@ def test_cut_items(spark):
     df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     same(decontaminate.leaks(df, it).collect(), want)
     assert {r.doc_id for r in decontaminate.clean(df, it).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+    # the fingerprints alone: what they find is right, and they find nearly all item-sized windows
+    alone = {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, it, counted=False).collect()}
+    whole = {(d, i) for d, i in want if len(docs[d][1].split()) >= len(items[i][1].split())}
+    assert alone <= set(want)
+    recall = len(alone & whole) / len(whole)
+    print(f"recall of the fingerprints alone: {recall:.4f} of {len(whole)}")
+    assert recall >= 0.97

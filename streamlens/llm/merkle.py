@@ -2,13 +2,14 @@
 
 Leaves are sentences (long ones cut after words chosen by their content), a paragraph is a line,
 a section ends at a blank line or after a paragraph whose digest says so, so an edit moves no
-border elsewhere. Leaf digest: BLAKE2b of the piece; inner digest: BLAKE2b of the children's.
-The fingerprint is the tree in one line of text::
+border elsewhere. Leaf digest: 128-bit BLAKE2b of the piece and its length; inner digest: that of the children's
+whole digests, up to the root. The fingerprint is the tree in one line of text, with the whole root and the
+first 64 bits of sections and paragraphs and 48 of leaves::
 
     root|section~paragraph=leaf.size,leaf.size~paragraph=...|section~...
 
-so equal texts have equal roots, and comparing two fingerprints walks down the differing
-branches only. Likeness: share of characters in subtrees that both have (matched as sections
+so equal texts have equal roots and unequal ones unequal roots (but for one pair in 2^128, however short the
+texts), and comparing two fingerprints walks down the differing branches only. Likeness: share of characters in subtrees that both have (matched as sections
 first, then paragraphs, then leaves), 1 for equal fingerprints, also of two empty texts.
 
 Null text counts as empty. :func:`edited_pairs` gives every document's successor in descending
@@ -45,8 +46,12 @@ Section = tuple[str, list[Paragraph]]
 Tree = tuple[str, list[Section]]
 
 
-def _digest(data: bytes, size: int = 6) -> str:
-    return hashlib.blake2b(data, digest_size=size).hexdigest()
+#: Hex digits of a leaf's and of an inner node's digest in the fingerprint.
+_SHORT, _INNER = 12, 16
+
+
+def _digest(data: bytes) -> str:
+    return hashlib.blake2b(data, digest_size=16).hexdigest()
 
 
 def _leaves(text: str) -> list[str]:
@@ -72,30 +77,38 @@ def tree(text: str | None) -> Tree:
     sections: list[Section] = []
     paragraphs: list[Paragraph] = []
     leaves: list[Leaf] = []
+    whole: tuple[list[str], list[str], list[str]] = ([], [], [])  # whole digests of sections, paragraphs, leaves
 
     def close_section() -> None:
         nonlocal paragraphs
-        sections.append((_digest("".join([p for p, _ in paragraphs]).encode(), 8), paragraphs))
+        d = _digest("".join(whole[1]).encode())
+        whole[1].clear()
+        whole[0].append(d)
+        sections.append((d[:_INNER], paragraphs))
         paragraphs = []
 
     def close_paragraph(blank: bool) -> None:
         nonlocal leaves
         # a one-leaf paragraph is digested again, so a level is part of what is hashed
-        p = _digest("".join([f"{d}.{n}" for d, n in leaves]).encode(), 8)
-        paragraphs.append((p, leaves))
+        d = _digest("".join(whole[2]).encode())
+        whole[2].clear()
+        whole[1].append(d)
+        paragraphs.append((d[:_INNER], leaves))
         leaves = []
-        if blank or p[-1] in "08":
+        if blank or d[-1] in "08":
             close_section()
 
     for s in _leaves(text or ""):
-        leaves.append((_digest(s.encode()), len(s)))
+        d = _digest(s.encode())
+        whole[2].append(f"{d}.{len(s)}")
+        leaves.append((d[:_SHORT], len(s)))
         if s[-1] == "\n":
             close_paragraph(len(leaves) == 1 and s.isspace())
     if leaves:
         close_paragraph(False)
     if paragraphs:
         close_section()
-    return hashlib.blake2b("".join([d for d, _ in sections]).encode(), digest_size=16).hexdigest(), sections
+    return _digest("".join(whole[0]).encode()), sections
 
 
 def serialise(t: Tree) -> str:

@@ -34,11 +34,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as archives in the shared folder and read back."""
+    """Pages written as archives in the shared folder and read back; a record that fails its check is an error."""
     path = fresh_path(spark, "warc")
     warc.write_archives(warc.with_originals(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
     back = warc.read_archives(spark, path, payloads=False)
-    return back.where(F.col("failed_check").isNull()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    lost = F.raise_error(F.concat(F.lit("a record of the archives failed its check: "), F.col("failed_check"))).cast("long")
+    page = F.when(F.col("failed_check").isNotNull(), lost).otherwise(F.col("page_id")).alias("page_id")
+    return back.select(page, "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

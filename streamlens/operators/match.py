@@ -20,6 +20,8 @@ from streamlens.operators.fold import fold_pieces
 from streamlens.operators.scan import running
 from streamlens.operators.windows import seconds
 
+_HASHES = 1 << 18  # by which the rows of keys are counted
+
 
 def _bucket(ts: str, width_s: float) -> Column:
     if width_s <= 0:
@@ -89,24 +91,36 @@ def match_with_timeout(orders: DataFrame, pays: DataFrame, wait: str | float, ke
                                        "pay_ts", "channel", F.lit("pay_only").alias("kind"))))
 
 
+def _pieces(rows: DataFrame, order: list[str], wait: str | float, hot: int) -> DataFrame:
+    """Add ``_piece``: 0, but for keys of over ``hot`` rows the number of gaps of more than ``wait`` before the row. The scans
+    that find the gaps see only those keys' rows. Keys are counted by a hash, so the counts are few; a key that shares
+    a hot one's hash is cut as well."""
+    hashed = F.pmod(F.xxhash64("order_id"), F.lit(_HASHES))
+    many = F.broadcast(rows.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("_hash"))
+    cold = rows.join(many, hashed == F.col("_hash"), "left_anti").withColumn("_piece", F.lit(0).cast("long"))
+    u = running(rows.join(many, hashed == F.col("_hash"), "left_semi"), keys=["order_id"], order=order, value="_t", agg="last", inclusive=False, out="_prev")
+    gap = F.col("_prev").isNull() | (F.col("_t") > F.col("_prev") + F.make_dt_interval(secs=F.lit(seconds(wait))))
+    u = running(u.withColumn("_gap", gap.cast("long")).drop("_prev"), keys=["order_id"], order=order, value="_gap", agg="sum", out="_piece")
+    return cold.unionByName(u.drop("_gap"))
+
+
 def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key: str = "order_id",
-                     ts: str = "ts") -> DataFrame:
+                     ts: str = "ts", hot: int = 100_000) -> DataFrame:
     """#23, one with one: in time order (orders before pays at one instant, then by channel), a row takes the
     longest waiting row of the other side, if that waits no longer than ``wait``, or waits itself. A row
     serves once; rows that nothing took come out as ``order_only`` or ``pay_only``. Output as
     :func:`match_with_timeout`.
 
-    Pieces: a gap of more than ``wait`` between a key's rows parts what can match, so pieces fold
-    independently, in one sorted pass that carries only the waiting rows.
+    A key's rows fold in one sorted pass that carries only the waiting rows. What can match is parted by a gap of more
+    than ``wait`` between a key's rows; keys of over ``hot`` rows are cut there into pieces that fold independently
+    (:func:`_pieces`), others are one piece. Rows without a time match nothing.
     """
     wait_us = int(round(seconds(wait) * 1e6))
     ts_type = orders.schema[ts].dataType
     o = orders.select(F.col(key).alias("order_id"), F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast("string").alias("channel"))
     p = pays.select(F.col(key).alias("order_id"), F.col(ts).cast(ts_type).alias("_t"), F.lit(1).alias("_side"), "channel")
     order = ["_t", "_side", "channel"]
-    u = running(o.unionByName(p), keys=["order_id"], order=order, value="_t", agg="last", inclusive=False, out="_prev")
-    gap = F.col("_prev").isNull() | (F.col("_t") > F.col("_prev") + F.make_dt_interval(secs=F.lit(seconds(wait))))
-    u = running(u.withColumn("_gap", gap.cast("long")).drop("_prev"), keys=["order_id"], order=order, value="_gap", agg="sum", out="_piece")
+    u = _pieces(o.unionByName(p), order, wait, hot)
 
     # fold state: [key, waiting orders, waiting pays]; records: (key, order time, pay time, channel, kind)
     def leave(k, side: int, row: tuple) -> tuple:
@@ -122,6 +136,9 @@ def match_one_to_one(orders: DataFrame, pays: DataFrame, wait: str | float, key:
                 if st is not None:
                     out += close(st)
                 st = [k, deque(), deque()]
+            if t is None:
+                out.append(leave(k, side, (t, channel)))
+                continue
             for s in (0, 1):
                 while st[1 + s] and t - st[1 + s][0][0] > wait_us:
                     out.append(leave(k, s, st[1 + s].popleft()))

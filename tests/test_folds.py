@@ -1,6 +1,7 @@
 """Re-arming timers and one-to-one matching against plain Python loops, with tiny Arrow batches so that pieces
 straddle batch boundaries; null and long keys."""
 
+import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -106,6 +107,25 @@ def test_null_and_long_keys_match(spark, tiny_batches):
     assert got == sorted(want, key=repr)
 
 
+def test_match_cuts_only_hot_keys(spark, capsys):
+    """A plan without keys of many rows has no window over the rows; keys that are cut into pieces give the same rows."""
+    t = datetime(2024, 1, 1)
+    rng = random.Random(5)
+    at = lambda: None if rng.random() < 0.05 else t + timedelta(seconds=rng.randrange(600))
+    key = lambda: rng.choice([None, 1, 1, 1, 2, 3])
+    orders = spark.createDataFrame([(key(), at()) for _ in range(150)], "order_id long, ts timestamp")
+    pays = spark.createDataFrame([(key(), rng.choice("abc"), at()) for _ in range(200)], "order_id long, channel string, ts timestamp")
+    found = {hot: match.match_one_to_one(orders, pays, "2 seconds", hot=hot) for hot in (0, 60, 100_000)}
+    rows = {hot: sorted(map(tuple, df.collect()), key=repr) for hot, df in found.items()}
+    assert rows[0] == rows[60] == rows[100_000] and {r[4] for r in rows[0]} == {"matched", "order_only", "pay_only"}
+    whole = match.match_one_to_one(orders, pays, "2 seconds")
+    whole.collect()
+    capsys.readouterr()
+    whole.explain()
+    plan = capsys.readouterr().out
+    assert "Window" not in plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+
+
 def test_dense_key_equals_loop(spark):
     """One key without a gap: long chains inside runs, few cancels."""
     n = 20_000
